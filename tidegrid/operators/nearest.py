@@ -1,11 +1,13 @@
 """The nearest area of every point, exactly, without pairing all points with all areas.
 
-An area a point lies in is found by the spatial join. For the others the nearest edge
-decides, so the search runs over single edges: points are summed up by grid cell, and going
-from coarse cells to fine ones an edge stays a candidate of a cell only while its least
-possible distance to the cell does not exceed the greatest possible distance of the best
-edge. What is left is joined to the points on the cell, and only those distances are
-computed. An area with very many vertices is no burden, as only its edges near a cell stay.
+An area a point lies in is found by the spatial join. For the others the nearest edge decides,
+so the search runs over single edges; an area with very many vertices is no burden.
+
+Points are summed up by grid cell, and edges are listed under the cells they run through, at
+several cell sizes. A cell looks around itself at every size; the best edge seen bounds the
+distance of all its points. Edges that can beat the bound lie in the eight neighbours of the cell
+size just wider than it, or in the cell itself. All of these are equi-joins on cell numbers. What
+is left is joined to the points, and only those distances are computed.
 """
 
 from __future__ import annotations
@@ -20,142 +22,153 @@ from tidegrid.operators.skew import spread_hot_keys
 from tidegrid.operators.spatial import within_join
 from tidegrid.session import materialise
 
-# the first step pairs all edges with few coarse cells, up to this much work
-FIRST_PAIRS = 500_000
-FIRST_CELLS = 65_536
-# a cell with no more candidates than this, or no more points, is not divided further
-ENOUGH_EDGES = 12
-ENOUGH_POINTS = 16
-TOP_SIDE = 8.0
+WORLD_SIDE = 512.0
 FINEST_SIDE = 2.0**-12
 STEP_BITS = 2
 
 _EDGE = ["x1", "y1", "x2", "y2"]
 
 
-def _measured(pairs: DataFrame, side: float) -> DataFrame:
-    """Adds the least and greatest metres between a point of cell (_cx, _cy) and the edge."""
-    boxes = pairs.selectExpr(
+def _with_scales(cells: DataFrame, side: float, reach_deg: str) -> DataFrame:
+    """Adds the least and greatest metres per degree within ``reach_deg`` of latitude of a cell."""
+    wide = cells.selectExpr(
         "*",
-        f"_cx * {side!r}D AS _x0", f"(_cx + 1) * {side!r}D AS _x1",
-        f"_cy * {side!r}D AS _y0", f"(_cy + 1) * {side!r}D AS _y1",
-    )
-    # scale is least at the far latitude for x and at the near one for y
-    latitudes = boxes.selectExpr(
-        "*",
-        "greatest(least(_y0, y1, y2), -90D) AS _low", "least(greatest(_y1, y1, y2), 90D) AS _high",
+        f"greatest(_cy * {side!r}D - {reach_deg}, -90D) AS _low",
+        f"least((_cy + 1) * {side!r}D + {reach_deg}, 90D) AS _high",
     ).selectExpr(
         "*",
         "least(greatest(abs(_low), abs(_high)), 90D) AS _far",
-        "CASE WHEN _low <= 0 AND _high >= 0 THEN 0D ELSE least(abs(_low), abs(_high)) END AS _near",
+        "CASE WHEN _low <= 0 AND _high >= 0 THEN 0D ELSE least(abs(_low), abs(_high), 90D) END AS _near",
     )
-    scales = latitudes.selectExpr(
-        "*",
+    # a degree of longitude is shortest at the far latitude, one of latitude at the near one
+    return wide.selectExpr(
+        *cells.columns, "_low", "_high",
         f"{metres_per_degree_lon('_far')} AS _kx0", f"{metres_per_degree_lon('_near')} AS _kx1",
         f"{metres_per_degree_lat('_near')} AS _ky0", f"{metres_per_degree_lat('_far')} AS _ky1",
-    )
-    # the start of the edge is a point of the area: measure to it from the farthest corner, and
-    # allow for the change of scale between the latitudes involved
-    reach = scales.selectExpr(
+    ).selectExpr(
         "*",
-        "greatest(least(x1, x2) - _x1, _x0 - greatest(x1, x2), 0D) * _kx0 AS _gx",
-        "greatest(least(y1, y2) - _y1, _y0 - greatest(y1, y2), 0D) * _ky0 AS _gy",
-        "greatest(abs(x1 - _x0), abs(x1 - _x1)) * _kx1 AS _fx",
-        "greatest(abs(y1 - _y0), abs(y1 - _y1)) * _ky1 AS _fy",
         "greatest(coalesce(_kx1 / nullif(_kx0, 0D), double('Infinity')), _ky1 / _ky0) AS _stretch",
     )
-    return reach.selectExpr(
-        *pairs.columns,
-        "sqrt(_gx * _gx + _gy * _gy) AS _least", "sqrt(_fx * _fx + _fy * _fy) * _stretch AS _most",
-    )
 
 
-def _prune(pairs: DataFrame, side: float) -> DataFrame:
-    measured = _measured(pairs, side)
-    best = measured.groupBy("_cx", "_cy").agg(F.expr("min(_most) AS _best"))
-    kept = measured.join(best, ["_cx", "_cy"]).filter("_least * (1D - 1e-9D) <= _best")
-    return kept.select(*pairs.columns)
+_SCALES = ["_low", "_high", "_kx0", "_kx1", "_ky0", "_ky1", "_stretch"]
 
 
-def _first_step(cells: int, width: int, height: int, side: float, n_edges: int) -> int:
-    """How many bits above the finest cells to start, given what they cover."""
-    bits = 0
-    while side * 2**bits < TOP_SIDE:
-        at_most = min(cells, (width // 2**bits + 2) * (height // 2**bits + 2))
-        if at_most <= FIRST_CELLS and at_most * n_edges <= FIRST_PAIRS:
-            break
-        bits += 1
-    # at TOP_SIDE there are at most 47 x 25 cells, whatever the data
-    return bits
+def _most_metres(side: float) -> str:
+    """No point of cell (_cx, _cy) is farther than this from the edge.
 
+    The start of the edge is a point of the area: measured from the farthest corner, allowing for
+    the change of scale between the latitudes the cell's scales were taken for.
+    """
+    fx = f"(greatest(abs(x1 - _cx * {side!r}D), abs(x1 - (_cx + 1) * {side!r}D)) * _kx1)"
+    fy = f"(greatest(abs(y1 - _cy * {side!r}D), abs(y1 - (_cy + 1) * {side!r}D)) * _ky1)"
+    far = f"sqrt({fx} * {fx} + {fy} * {fy}) * _stretch"
+    # never null, which spares the optimizer a second evaluation below the join
+    return f"coalesce(CASE WHEN y1 BETWEEN _low AND _high THEN {far} END, double('Infinity'))"
+
+
+def _least_metres(side: float) -> str:
+    """No point of the edge within the latitudes of the scales is nearer than this to the cell."""
+    gx = f"(greatest(least(x1, x2) - (_cx + 1) * {side!r}D, _cx * {side!r}D - greatest(x1, x2), 0D) * _kx0)"
+    gy = f"(greatest(least(y1, y2) - (_cy + 1) * {side!r}D, _cy * {side!r}D - greatest(y1, y2), 0D) * _ky0)"
+    return f"(sqrt({gx} * {gx} + {gy} * {gy}) * (1D - 1e-9D))"
+
+
+def _listed_edges(areas: DataFrame, area_id: str, side: float, bits: list[int]) -> DataFrame:
+    """Edges under every cell they may run through: ``_bits, _ux, _uy``, the area id, the edge."""
+    edges = areas.selectExpr(f"`{area_id}`", f"inline({edges_of('ring')}) AS (x1, y1, x2, y2)")
+    slack = "1e-6D"
+    in_columns = edges.selectExpr(
+        "*", f"(y2 - y1) / nullif(x2 - x1, 0D) AS slope",
+        f"explode(sequence(floor(least(x1, x2) / {side!r}D), floor(greatest(x1, x2) / {side!r}D))) AS c",
+    ).selectExpr(
+        "*",
+        f"greatest(least(x1, x2), (c - {slack}) * {side!r}D) AS xa",
+        f"least(greatest(x1, x2), (c + 1 + {slack}) * {side!r}D) AS xb",
+    ).selectExpr(
+        f"`{area_id}`", *_EDGE, "c",
+        "coalesce(y1 + slope * (xa - x1), y1) AS ya", "coalesce(y1 + slope * (xb - x1), y2) AS yb",
+    )
+    finest = in_columns.selectExpr(
+        f"`{area_id}`", *_EDGE, "c AS _ux",
+        f"explode(sequence(floor(least(ya, yb) / {side!r}D - {slack}), "
+        f"floor(greatest(ya, yb) / {side!r}D + {slack}))) AS _uy",
+    )
+    places = ", ".join(
+        f"struct({b} AS _bits, shiftright(_ux, {b}) AS _ux, shiftright(_uy, {b}) AS _uy)" for b in bits
+    )
+    return finest.selectExpr(f"`{area_id}`", *_EDGE, f"inline(array({places})) AS (_bits, _ux, _uy)").distinct()
 
-def candidate_edges(points: DataFrame, areas: DataFrame, area_id: str) -> tuple[DataFrame, DataFrame, float]:
-    """Which edges may be nearest where.
 
-    Returns ``(leaves, cells, side)``: ``leaves`` has ``_bits, _cx, _cy``, the area id and the edge,
-    with cells of side ``side * 2**_bits``, every point lying in exactly one of them; ``cells``
-    lists the finest cells that hold points, with their number.
-    """
-    boxes = with_bounds(areas.select(area_id, "ring"))
-    sizes = boxes.selectExpr(
-        "sum(size(ring) - 1) AS n", "percentile_approx(greatest(_xmax - _xmin, _ymax - _ymin), 0.5) AS m"
-    ).first()
-    side = min(max(power_of_two((sizes["m"] or 0.0) / 4), FINEST_SIDE), TOP_SIDE)
-    edges = boxes.selectExpr(f"`{area_id}`", f"inline({edges_of('ring')}) AS (x1, y1, x2, y2)")
+def _around(cells: DataFrame, columns: list[str]) -> DataFrame:
+    """Each row once for its cell (_ux, _uy) and for each of the eight cells around."""
+    return cells.selectExpr(
+        *columns, "_uy", "explode(array(_ux - 1, _ux, _ux + 1)) AS _ux"
+    ).selectExpr(*columns, "_ux", "explode(array(_uy - 1, _uy, _uy + 1)) AS _uy")
+
 
+def candidate_edges(points: DataFrame, areas: DataFrame, area_id: str) -> tuple[DataFrame, float]:
+    """Which edges may be nearest where: ``(_cx, _cy, area id, edge)`` and the cell side."""
+    boxes = with_bounds(areas.select(area_id, "ring"))
+    median = boxes.selectExpr(
+        "percentile_approx(greatest(_xmax - _xmin, _ymax - _ymin), 0.5) AS m"
+    ).first()["m"]
+    side = max(power_of_two((median or 0.0) / 4), FINEST_SIDE)
+    bits = [0]
+    while side * 2 ** bits[-1] < WORLD_SIDE:
+        bits.append(bits[-1] + STEP_BITS)
+
+    listed = materialise(_listed_edges(boxes, area_id, side, bits), "listed-edges")
     cells = materialise(
         points.selectExpr(f"{cell_no('lon', side)} AS _cx", f"{cell_no('lat', side)} AS _cy")
         .filter("_cx IS NOT NULL AND _cy IS NOT NULL")
-        .groupBy("_cx", "_cy")
-        .agg(F.expr("count(*) AS _points")),
+        .distinct(),
         "point-cells",
     )
-    seen = cells.selectExpr(
-        "count(*) AS n", "max(_cx) - min(_cx) AS w", "max(_cy) - min(_cy) AS h"
-    ).first()
-    top = _first_step(seen["n"], seen["w"] or 0, seen["h"] or 0, side, sizes["n"] or 0)
-
-    def cells_at(bits: int, parent_bits: int | None) -> DataFrame:
-        up = None if parent_bits is None else parent_bits - bits
-        return (
-            cells.groupBy(F.expr(f"shiftright(_cx, {bits}) AS _cx"), F.expr(f"shiftright(_cy, {bits}) AS _cy"))
-            .agg(F.expr("sum(_points) AS _points"))
-            .selectExpr(
-                "_cx", "_cy", "_points",
-                "0L AS _px" if up is None else f"shiftright(_cx, {up}) AS _px",
-                "0L AS _py" if up is None else f"shiftright(_cy, {up}) AS _py",
-            )
-        )
-
-    open_cells = edges.selectExpr("*", "0L AS _px", "0L AS _py")
-    parts: list[DataFrame] = []
-    bits, parent_bits = top, None
-    while True:
-        children = cells_at(bits, parent_bits)
-        if parent_bits is None:
-            children = F.broadcast(children)  # few by the choice of the first step
-        pairs = open_cells.join(children, ["_px", "_py"])
-        kept = _prune(pairs.select("_cx", "_cy", "_points", area_id, *_EDGE), side * 2**bits)
-        if bits == 0:
-            parts.append(kept.selectExpr(f"{bits} AS _bits", "_cx", "_cy", f"`{area_id}`", *_EDGE))
-            break
-        kept = materialise(kept, "candidates")
-        per_cell = kept.groupBy("_cx", "_cy").agg(
-            F.expr(f"count(*) <= {ENOUGH_EDGES} OR any_value(_points) <= {ENOUGH_POINTS} AS _done")
-        )
-        marked = kept.join(per_cell, ["_cx", "_cy"])
-        parts.append(
-            marked.filter("_done").selectExpr(f"{bits} AS _bits", "_cx", "_cy", f"`{area_id}`", *_EDGE)
-        )
-        open_cells = marked.filter("NOT _done").selectExpr(
-            f"`{area_id}`", *_EDGE, "_cx AS _px", "_cy AS _py"
-        )
-        parent_bits, bits = bits, max(0, bits - STEP_BITS)
-
-    leaves = parts[0]
-    for part in parts[1:]:
-        leaves = leaves.unionByName(part)
-    return leaves, cells, side
+
+    # 1. a bound for every cell, from one edge of each cell seen around it at any size
+    seen = listed.groupBy("_bits", "_ux", "_uy").agg(F.expr("min(struct(y1, x1)) AS v"))
+    places = ", ".join(
+        f"struct({b} AS _bits, shiftright(_cx, {b}) AS _ux, shiftright(_cy, {b}) AS _uy)" for b in bits
+    )
+    looks = _around(
+        cells.selectExpr("_cx", "_cy", f"inline(array({places})) AS (_bits, _ux, _uy)"),
+        ["_cx", "_cy", "_bits"],
+    )
+    found = looks.join(seen, ["_bits", "_ux", "_uy"]).selectExpr("_cx", "_cy", "v.x1 AS x1", "v.y1 AS y1")
+    most = _most_metres(side)
+    bound = (
+        _with_scales(found, side, f"greatest(abs(y1 - _cy * {side!r}D), {side!r}D)")
+        .selectExpr("_cx", "_cy", f"{most} AS _most")
+        .groupBy("_cx", "_cy")
+        .agg(F.expr("min(_most) AS _best"))
+    )
+
+    # 2. the edges within that bound, looked up at the cell size just wider than it
+    reach_y = f"(_best / {110500.0!r}D)"
+    scaled = _with_scales(bound, side, reach_y)
+    wide_enough = "CASE " + " ".join(
+        f"WHEN 1.001D * greatest({reach_y}, coalesce(_best / nullif(_kx0, 0D), 360D)) <= {side * 2**b!r}D THEN {b}"
+        for b in bits
+    ) + f" ELSE {bits[-1]} END"
+    own = ["_cx", "_cy", "_best", *_SCALES]
+    windows = _around(
+        scaled.selectExpr(*own, f"{wide_enough} AS _bits").selectExpr(
+            "*", "shiftright(_cx, _bits) AS _ux", "shiftright(_cy, _bits) AS _uy"
+        ),
+        [*own, "_bits"],
+    )
+    near = materialise(
+        windows.join(listed, ["_bits", "_ux", "_uy"])
+        .filter(f"{_least_metres(side)} <= _best")
+        .selectExpr(*[c for c in own if c != "_best"], f"`{area_id}`", *_EDGE, f"{most} AS _most"),
+        "near-edges",
+    )
+
+    # 3. a tighter bound from all of these
+    best = near.groupBy("_cx", "_cy").agg(F.expr("min(_most) AS _best"))
+    kept = near.join(best, ["_cx", "_cy"]).filter(f"{_least_metres(side)} <= _best")
+    return kept.select("_cx", "_cy", area_id, *_EDGE).distinct(), side
 
 
 def _edge_metres(pairs: DataFrame, columns: list[str]) -> DataFrame:
@@ -196,32 +209,18 @@ def nearest_pairs(
     inside = within_join(points, areas.select(area_id, "ring"), "inner", [area_id], row_id, broadcast_bytes)
     inside = inside.selectExpr(*points.columns, f"`{area_id}`", "0D AS distance_m")
 
-    found, cells, side = candidate_edges(points, areas, area_id)
-    leaves = materialise(found, "nearest-leaves")
-    stats = leaves.selectExpr("count(*) * 80 AS bytes", "sort_array(collect_set(_bits)) AS bits").first()
-    all_bits = stats["bits"] or [0]
-    lon, lat = cell_no("lon", side), cell_no("lat", side)
-
-    if stats["bytes"] <= broadcast_bytes:
-        # a point looks itself up at every size of cell in use, and is found at one
-        places = ", ".join(
-            f"struct({b} AS _bits, shiftright({lon}, {b}) AS _cx, shiftright({lat}, {b}) AS _cy)"
-            for b in all_bits
-        )
-        placed = points.selectExpr("*", f"inline(array({places})) AS (_bits, _cx, _cy)")
-        joined = placed.join(F.broadcast(leaves), ["_bits", "_cx", "_cy"])
+    found, side = candidate_edges(points, areas, area_id)
+    candidates = materialise(found, "nearest-edges")
+    keys = ["_cx", "_cy"]
+    placed = points.selectExpr(
+        "*", f"{cell_no('lon', side)} AS _cx", f"{cell_no('lat', side)} AS _cy"
+    )
+    if candidates.count() * 64 <= broadcast_bytes:
+        candidates = F.broadcast(candidates)
     else:
-        # too much to broadcast: spell the leaves out for the finest cells, then shuffle by those
-        places = ", ".join(
-            f"struct({b} AS _bits, shiftright(_cx, {b}) AS _ux, shiftright(_cy, {b}) AS _uy)"
-            for b in all_bits
-        )
-        up = cells.selectExpr("_cx", "_cy", f"inline(array({places})) AS (_bits, _ux, _uy)")
-        by_leaf = leaves.withColumnsRenamed({"_cx": "_ux", "_cy": "_uy"})
-        fine = up.join(by_leaf, ["_bits", "_ux", "_uy"]).select("_cx", "_cy", area_id, *_EDGE)
-        placed = points.selectExpr("*", f"{lon} AS _cx", f"{lat} AS _cy")
-        placed, fine = spread_hot_keys(placed, fine, ["_cx", "_cy"], row_id or points.columns)
-        joined = placed.join(fine, ["_cx", "_cy", "_salt"])
+        placed, candidates = spread_hot_keys(placed, candidates, keys, row_id or points.columns)
+        keys = [*keys, "_salt"]
+    joined = placed.join(candidates, keys)
     return _edge_metres(joined, [*points.columns, f"`{area_id}`"]).unionByName(inside)
 
 
