@@ -35,6 +35,13 @@ def rows_of(columns: list[str], rows) -> list[str]:
     return sorted(repr([_cell(row[i]) for i in order]) for row in rows)
 
 
+# how each side names the same type
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP",
+}
+
+
 def compare(spark, con, sf_dir: str, name: str) -> str | None:
     """None when both sides agree, else what differs."""
     df = queries()[name](spark, sf_dir)
@@ -44,6 +51,10 @@ def compare(spark, con, sf_dir: str, name: str) -> str | None:
     want = rows_of(columns, result.fetchall())
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(columns)}"
+    kinds = {d[0]: str(d[1]) for d in result.description}
+    wrong = {c: (t, kinds[c]) for c, t in df.dtypes if TYPES.get(t) != kinds[c]}
+    if wrong:
+        return f"types {wrong}"
     if got != want:
         extra = [r for r in got if r not in set(want)][:2]
         lost = [r for r in want if r not in set(got)][:2]
