@@ -67,9 +67,13 @@ def read_geojson(
             "get_json_object(value, '$.type') IS NULL OR get_json_object(value, '$.type') <> 'FeatureCollection'"
         )
         text = F.regexp_replace("value", r",\s*$", "")
-        features = candidates.select(F.from_json(text, wanted).alias("f")).selectExpr(
+        parsed = F.from_json(
+            text, T.StructType([*wanted.fields, T.StructField("_broken", T.StringType())]),
+            {"columnNameOfCorruptRecord": "_broken"},
+        )
+        features = candidates.select(parsed.alias("f")).selectExpr(
             "f.type AS type", "f.properties AS properties", "f.geometry AS geometry",
-            "f IS NULL OR f.type IS NULL AS malformed",
+            "f IS NULL OR f.type IS NULL OR f._broken IS NOT NULL AS malformed",
         )
     else:
         raise ValueError(f"layout must be auto, lines or collection, not {layout!r}")
