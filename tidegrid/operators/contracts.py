@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import point_problem, ring_problem
+from tidegrid.operators.skew import spread_hot_keys
 
 
 @dataclass(frozen=True)
@@ -77,13 +78,15 @@ def _row_problem(contract: Contract) -> str:
 def violations(df: DataFrame, contract: Contract) -> DataFrame:
     """Rows breaking the contract, with ``violation``; one row for each reason of a row.
 
-    Keys are counted first and only those occurring twice are looked up again.
+    Keys are counted first and only those occurring twice are looked up again, a key with very
+    many rows in pieces.
     """
     key = contract.key
     by_row = df.selectExpr("*", f"{_row_problem(contract)} AS violation").filter("violation IS NOT NULL")
     twice = df.filter(f"`{key}` IS NOT NULL").groupBy(key).count().filter("count > 1").select(key)
-    by_key = df.join(twice, key, "left_semi").select(*df.columns, F.lit("duplicate_key").alias("violation"))
-    return by_row.unionByName(by_key)
+    rows, keys = spread_hot_keys(df, twice, [key], df.columns)
+    by_key = rows.join(keys, [key, "_salt"], "left_semi")
+    return by_row.unionByName(by_key.select(*df.columns, F.lit("duplicate_key").alias("violation")))
 
 
 def violation_counts(df: DataFrame, contract: Contract) -> DataFrame:

@@ -107,7 +107,17 @@ def _around(cells: DataFrame, columns: list[str]) -> DataFrame:
     ).selectExpr(*columns, "_ux", "explode(array(_uy - 1, _uy, _uy + 1)) AS _uy")
 
 
-def candidate_edges(points: DataFrame, areas: DataFrame, area_id: str) -> tuple[DataFrame, float]:
+def _meet(left: DataFrame, right: DataFrame, keys: list[str], left_id: list[str], small: bool) -> DataFrame:
+    """An equi-join: the right side broadcast if measured small, else hot keys spread."""
+    if small:
+        return left.join(F.broadcast(right), keys)
+    left, right = spread_hot_keys(left, right, keys, left_id)
+    return left.join(right, [*keys, "_salt"]).drop("_salt")
+
+
+def candidate_edges(
+    points: DataFrame, areas: DataFrame, area_id: str, broadcast_bytes: int = BROADCAST_BYTES
+) -> tuple[DataFrame, float]:
     """Which edges may be nearest where: ``(_cx, _cy, area id, edge)`` and the cell side."""
     boxes = with_bounds(areas.select(area_id, "ring"))
     median = boxes.selectExpr(
@@ -119,6 +129,8 @@ def candidate_edges(points: DataFrame, areas: DataFrame, area_id: str) -> tuple[
         bits.append(bits[-1] + STEP_BITS)
 
     listed = materialise(_listed_edges(boxes, area_id, side, bits), "listed-edges")
+    small = listed.count() * 80 <= broadcast_bytes
+    at = ["_bits", "_ux", "_uy"]
     cells = materialise(
         points.selectExpr(f"{cell_no('lon', side)} AS _cx", f"{cell_no('lat', side)} AS _cy")
         .filter("_cx IS NOT NULL AND _cy IS NOT NULL")
@@ -135,7 +147,7 @@ def candidate_edges(points: DataFrame, areas: DataFrame, area_id: str) -> tuple[
         cells.selectExpr("_cx", "_cy", f"inline(array({places})) AS (_bits, _ux, _uy)"),
         ["_cx", "_cy", "_bits"],
     )
-    found = looks.join(seen, ["_bits", "_ux", "_uy"]).selectExpr("_cx", "_cy", "v.x1 AS x1", "v.y1 AS y1")
+    found = _meet(looks, seen, at, ["_cx", "_cy"], small).selectExpr("_cx", "_cy", "v.x1 AS x1", "v.y1 AS y1")
     most = _most_metres(side)
     bound = (
         _with_scales(found, side, f"greatest(abs(y1 - _cy * {side!r}D), {side!r}D)")
@@ -159,7 +171,7 @@ def candidate_edges(points: DataFrame, areas: DataFrame, area_id: str) -> tuple[
         [*own, "_bits"],
     )
     near = materialise(
-        windows.join(listed, ["_bits", "_ux", "_uy"])
+        _meet(windows, listed, at, ["_cx", "_cy"], small)
         .filter(f"{_least_metres(side)} <= _best")
         .selectExpr(*[c for c in own if c != "_best"], f"`{area_id}`", *_EDGE, f"{most} AS _most"),
         "near-edges",
@@ -209,18 +221,13 @@ def nearest_pairs(
     inside = within_join(points, areas.select(area_id, "ring"), "inner", [area_id], row_id, broadcast_bytes)
     inside = inside.selectExpr(*points.columns, f"`{area_id}`", "0D AS distance_m")
 
-    found, side = candidate_edges(points, areas, area_id)
+    found, side = candidate_edges(points, areas, area_id, broadcast_bytes)
     candidates = materialise(found, "nearest-edges")
-    keys = ["_cx", "_cy"]
     placed = points.selectExpr(
         "*", f"{cell_no('lon', side)} AS _cx", f"{cell_no('lat', side)} AS _cy"
     )
-    if candidates.count() * 64 <= broadcast_bytes:
-        candidates = F.broadcast(candidates)
-    else:
-        placed, candidates = spread_hot_keys(placed, candidates, keys, row_id or points.columns)
-        keys = [*keys, "_salt"]
-    joined = placed.join(candidates, keys)
+    small = candidates.count() * 64 <= broadcast_bytes
+    joined = _meet(placed, candidates, ["_cx", "_cy"], row_id or points.columns, small)
     return _edge_metres(joined, [*points.columns, f"`{area_id}`"]).unionByName(inside)
 
 

@@ -27,8 +27,10 @@ def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if key not in _written:
         df = _TABLES[name](spark, sf_dir)
         path = work_path(spark, f"bronze-{name}")
-        # the supplied files are one row group each; spread them over the cores there are
-        df.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:  # small files are one split each
+            df = df.repartition(cores)
+        df.write.parquet(path)
         _written[key] = (path, df.schema)
     path, schema = _written[key]
     return spark.read.schema(schema).parquet(path)

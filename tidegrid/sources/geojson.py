@@ -11,7 +11,14 @@ from tidegrid.functions.formats import feature, geojson_point, geojson_ring, poi
 # Names under which collections state longitude/latitude on WGS84.
 ACCEPTED_CRS = ("EPSG:4326", "urn:ogc:def:crs:EPSG::4326", "urn:ogc:def:crs:OGC:1.3:CRS84")
 
-_FEATURE_LINE = r"^\s*\{.*\"Feature\".*\}\s*,?\s*$"
+# lines of a collection that surround its features
+_AROUND = "|".join([
+    r"[\s\[\]{}]*,?\s*",
+    r"\s*\{?\s*\"type\"\s*:\s*\"FeatureCollection\"\s*,?\s*(\"features\"\s*:\s*\[\s*)?",
+    r"\s*\"name\"\s*:\s*\"[^\"]*\"\s*,?\s*",
+    r"\s*\"(crs|bbox)\"\s*:\s*[\[{].*[\]}]\s*,?\s*",
+    r"\s*\"features\"\s*:\s*\[\s*",
+])
 
 
 def _layout(spark: SparkSession, path: str) -> str:
@@ -38,8 +45,9 @@ def read_geojson(
 
     ``layout`` is ``lines`` for files with one feature per line, as most tools write them (with or
     without the surrounding collection), which Spark can split; ``collection`` for any other
-    file, which one task must parse as a whole. Lines that look like a feature and are none
-    come out with ``malformed`` set. Geometries other than points and single rings have
+    file, which one task must parse as a whole. ``auto`` looks at the head of the first file. A line
+    that is neither a feature nor part of the frame around them comes out with ``malformed`` set,
+    so a file of the other layout among many is noticed. Geometries other than points and single rings have
     neither coordinates nor ring, and so fail validation rather than vanish.
     """
     if layout == "auto":
@@ -55,7 +63,7 @@ def read_geojson(
         whole = spark.read.option("multiLine", True).schema(schema).json(path)
         for row in whole.select("crs.properties.name").distinct().limit(100).collect():
             _check_crs(row["name"])
-        features = whole.selectExpr("inline(features)").selectExpr("*", "type IS NULL AS malformed")
+        features = whole.selectExpr("inline(features)").selectExpr("*", "NOT type <=> 'Feature' AS malformed")
     elif layout == "lines":
         lines = spark.read.text(path)
         crs = lines.limit(50).selectExpr(
@@ -63,9 +71,7 @@ def read_geojson(
         )
         for row in crs.filter("name <> ''").limit(1).collect():
             _check_crs(row["name"])
-        candidates = lines.filter(F.col("value").rlike(_FEATURE_LINE)).filter(
-            "get_json_object(value, '$.type') IS NULL OR get_json_object(value, '$.type') <> 'FeatureCollection'"
-        )
+        candidates = lines.filter(~F.col("value").rlike(f"^({_AROUND})$"))
         text = F.regexp_replace("value", r",\s*$", "")
         parsed = F.from_json(
             text, T.StructType([*wanted.fields, T.StructField("_broken", T.StringType())]),
@@ -73,7 +79,7 @@ def read_geojson(
         )
         features = candidates.select(parsed.alias("f")).selectExpr(
             "f.type AS type", "f.properties AS properties", "f.geometry AS geometry",
-            "f IS NULL OR f.type IS NULL OR f._broken IS NOT NULL AS malformed",
+            "f IS NULL OR f._broken IS NOT NULL OR NOT f.type <=> 'Feature' AS malformed",
         )
     else:
         raise ValueError(f"layout must be auto, lines or collection, not {layout!r}")
