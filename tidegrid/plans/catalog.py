@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.functions import formats, geometry, text
+from tidegrid.functions import formats, geometry, registry, text
 from tidegrid.operators import classify as cls
 from tidegrid.operators import cleaning, contracts, merge, nearest, reports, spatial, validity
 from tidegrid.operators.grid import index_areas
@@ -625,6 +625,14 @@ def w5(spark, sf):
     ).orderBy("citizen_id").limit(10)
 
 
+@query("w5_geometry_listing")
+def w5_listing(spark, sf):
+    return areas(spark, sf).selectExpr(
+        "area_id AS id", f"{formats.ring_geojson('ring')} AS geometry",
+        "to_json(struct(area_name, severity, affected_population)) AS properties",
+    ).orderBy("id").limit(100)
+
+
 @query("w6_nearest_area")
 def w6(spark, sf):
     return nearest.nearest_area(citizens(spark, sf), reference_areas(spark), ["citizen_id"]).selectExpr(
@@ -727,6 +735,20 @@ def f6(spark, sf):
     return points.unionByName(areas(spark, sf).selectExpr("-area_id AS id", f"{formats.ring_wkt('ring')} AS wkt"))
 
 
+@query("f6_sql_functions")
+def f6_sql(spark, sf):
+    """The same formulas called by their SQL names."""
+    registry.register(spark)
+    return spark.sql(
+        """SELECT area_id, st_astext(ring) AS wkt, round(st_x(st_centroid(ring)), 9) AS lon,
+                  round(st_y(st_centroid(ring)), 9) AS lat, st_asgeojson(ring) AS geojson,
+                  round(st_distance_m(ring, -51.2093D, -30.0326D), 2) AS distance_m,
+                  size(st_polygonfromtext(st_astext(ring))) AS vertices
+           FROM {areas}""",
+        areas=areas(spark, sf),
+    )
+
+
 @query("f7_geojson")
 def f7(spark, sf):
     points = citizens(spark, sf).selectExpr("citizen_id AS id", f"{formats.point_geojson('lon', 'lat')} AS geojson")

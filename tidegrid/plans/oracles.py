@@ -311,6 +311,15 @@ _cte("starts", "SELECT area_id AS start_id, ring[1].x AS lon, ring[1].y AS lat F
 _cte("holding", f"""SELECT area_id, start_id FROM starts, edges GROUP BY area_id, start_id, lon, lat
     HAVING {_inside('lon', 'lat')}""", "starts", "edges")
 
+_cte("centre_distances", f"""SELECT area_id, round(CASE WHEN {_inside('lon', 'lat')} THEN 0e0 ELSE min(metres) END, 2) AS distance_m
+        FROM ({_edge_distances('(SELECT 0 AS one, -51.2093e0 AS lon, -30.0326e0 AS lat)', 'edges', 'one')}) AS m
+        GROUP BY area_id, lon, lat""", "edges")
+_cte("centroids", """SELECT area_id, round(ox + sum((x1 + x2 - 2 * ox) * w) / (3 * sum(w)), 9) AS lon,
+        round(oy + sum((y1 + y2 - 2 * oy) * w) / (3 * sum(w)), 9) AS lat
+        FROM (SELECT e.*, ring[1].x AS ox, ring[1].y AS oy,
+          (x1 - ring[1].x) * (y2 - ring[1].y) - (x2 - ring[1].x) * (y1 - ring[1].y) AS w
+          FROM edges AS e JOIN areas ON e.area_id = areas.area_id) AS m GROUP BY area_id, ox, oy""", "edges", "areas")
+
 # --- the queries -------------------------------------------------------------
 
 ORACLES: dict[str, str] = {
@@ -460,6 +469,9 @@ ORACLES: dict[str, str] = {
         GROUP BY p.citizen_id, p.name ORDER BY min_distance_meters, p.citizen_id LIMIT 10""", "people", "ref_distances", "ref_hits"),
     "w5_first_affected": sql(f"""SELECT citizen_id, name, address, {_point_wkt('lon', 'lat')} AS location, affected_by_flooding
         FROM table_now WHERE affected_by_flooding ORDER BY citizen_id LIMIT 10""", "table_now"),
+    "w5_geometry_listing": sql(f"""SELECT area_id AS id, {_RING_JSON} AS geometry, '{{"area_name":"' || area_name || '","severity":"'
+        || severity || '","affected_population":' || CAST(affected_population AS VARCHAR) || '}}' AS properties
+        FROM areas ORDER BY area_id LIMIT 100""", "areas"),
     "w6_nearest_area": sql("""SELECT citizen_id, area_id, round(metres, 2) AS min_distance_meters FROM (SELECT *, row_number() OVER
         (PARTITION BY citizen_id ORDER BY metres, area_id) AS rn FROM ref_distances) AS r WHERE rn = 1""", "ref_distances"),
     "u1_summary": sql(_SUMMARY, "table_now"),
@@ -478,16 +490,13 @@ ORACLES: dict[str, str] = {
         (min(x1) OVER (PARTITION BY area_id) + max(x1) OVER (PARTITION BY area_id)) / 2e0 AS mx,
         (min(y1) OVER (PARTITION BY area_id) + max(y1) OVER (PARTITION BY area_id)) / 2e0 AS my FROM edges AS e) AS m
         GROUP BY area_id""", "edges"),
-    "f4_distance": sql(f"""SELECT area_id, round(CASE WHEN {_inside('lon', 'lat')} THEN 0e0 ELSE min(metres) END, 2) AS distance_m
-        FROM ({_edge_distances('(SELECT 0 AS one, -51.2093e0 AS lon, -30.0326e0 AS lat)', 'edges', 'one')}) AS m
-        GROUP BY area_id, lon, lat""", "edges"),
-    "f5_centroid": sql("""SELECT area_id, round(ox + sum((x1 + x2 - 2 * ox) * w) / (3 * sum(w)), 9) AS lon,
-        round(oy + sum((y1 + y2 - 2 * oy) * w) / (3 * sum(w)), 9) AS lat
-        FROM (SELECT e.*, ring[1].x AS ox, ring[1].y AS oy,
-          (x1 - ring[1].x) * (y2 - ring[1].y) - (x2 - ring[1].x) * (y1 - ring[1].y) AS w
-          FROM edges AS e JOIN areas ON e.area_id = areas.area_id) AS m GROUP BY area_id, ox, oy""", "edges", "areas"),
+    "f4_distance": sql("SELECT area_id, distance_m FROM centre_distances", "centre_distances"),
+    "f5_centroid": sql("SELECT area_id, lon, lat FROM centroids", "centroids"),
     "f6_wkt": sql(f"""SELECT citizen_id AS id, {_point_wkt('lon', 'lat')} AS wkt FROM people
         UNION ALL SELECT -area_id, {_RING_WKT} FROM areas""", "people", "areas"),
+    "f6_sql_functions": sql(f"""SELECT c.area_id, {_RING_WKT} AS wkt, lon, lat, {_RING_JSON} AS geojson, distance_m,
+        CAST(len(ring) AS INTEGER) AS vertices FROM centroids AS c JOIN areas ON c.area_id = areas.area_id
+        JOIN centre_distances AS d ON c.area_id = d.area_id""", "centroids", "areas", "centre_distances"),
     "f7_geojson": sql(f"""SELECT citizen_id AS id, {_POINT_JSON} AS geojson FROM people
         UNION ALL SELECT -area_id, {_RING_JSON} FROM areas""", "people", "areas"),
     "f8_from_wkt": sql("""SELECT area_id, CAST(len(ring) AS INTEGER) AS vertices, ring[1].x AS first_x, ring[1].y AS first_y,
