@@ -5,9 +5,10 @@ so the search runs over single edges; an area with very many vertices is no burd
 
 Points are summed up by grid cell, and edges are listed under the cells they run through, at
 several cell sizes. A cell looks around itself at every size; the best edge seen bounds the
-distance of all its points. Edges that can beat the bound lie in the eight neighbours of the cell
-size just wider than it, or in the cell itself. All of these are equi-joins on cell numbers. What
-is left is joined to the points, and only those distances are computed.
+distance of all its points. Cells far from every edge are put together in larger ones, as from
+afar they all see the same edges. Edges that can beat the bound lie in the eight neighbours of
+the cell size just wider than it, or in the cell itself. All of these are equi-joins on cell
+numbers. What is left is joined to the points, and only those distances are computed.
 """
 
 from __future__ import annotations
@@ -23,18 +24,30 @@ from tidegrid.operators.spatial import within_join
 from tidegrid.session import materialise
 
 WORLD_SIDE = 512.0
-FINEST_SIDE = 2.0**-12
-STEP_BITS = 2
+FINEST_SIDE = 2.0**-20
+LOOK_STEP = 2
+# a cell this many times smaller than its distance is merged into a larger one
+FAR = 8
+# fewer points than this in the average cell, and cells are made wider, at most this often
+POINTS_PER_CELL = 16
+WIDEN = 2
+CELLS_PER_TASK = 50_000
 
 _EDGE = ["x1", "y1", "x2", "y2"]
 
 
-def _with_scales(cells: DataFrame, side: float, reach_deg: str) -> DataFrame:
-    """Adds the least and greatest metres per degree within ``reach_deg`` of latitude of a cell."""
+_SCALES = ["_low", "_high", "_kx0", "_kx1", "_ky0", "_ky1", "_stretch"]
+
+
+def _with_scales(cells: DataFrame, reach_deg: str) -> DataFrame:
+    """Adds the least and greatest metres per degree within ``reach_deg`` of latitude of a cell.
+
+    The cell is ``_cx``, ``_cy`` with side ``_s``.
+    """
     wide = cells.selectExpr(
         "*",
-        f"greatest(_cy * {side!r}D - {reach_deg}, -90D) AS _low",
-        f"least((_cy + 1) * {side!r}D + {reach_deg}, 90D) AS _high",
+        f"greatest(_cy * _s - {reach_deg}, -90D) AS _low",
+        f"least((_cy + 1) * _s + {reach_deg}, 90D) AS _high",
     ).selectExpr(
         "*",
         "least(greatest(abs(_low), abs(_high)), 90D) AS _far",
@@ -51,27 +64,19 @@ def _with_scales(cells: DataFrame, side: float, reach_deg: str) -> DataFrame:
     )
 
 
-_SCALES = ["_low", "_high", "_kx0", "_kx1", "_ky0", "_ky1", "_stretch"]
-
-
-def _most_metres(side: float) -> str:
-    """No point of cell (_cx, _cy) is farther than this from the edge.
-
-    The start of the edge is a point of the area: measured from the farthest corner, allowing for
-    the change of scale between the latitudes the cell's scales were taken for.
-    """
-    fx = f"(greatest(abs(x1 - _cx * {side!r}D), abs(x1 - (_cx + 1) * {side!r}D)) * _kx1)"
-    fy = f"(greatest(abs(y1 - _cy * {side!r}D), abs(y1 - (_cy + 1) * {side!r}D)) * _ky1)"
-    far = f"sqrt({fx} * {fx} + {fy} * {fy}) * _stretch"
-    # never null, which spares the optimizer a second evaluation below the join
-    return f"coalesce(CASE WHEN y1 BETWEEN _low AND _high THEN {far} END, double('Infinity'))"
-
-
-def _least_metres(side: float) -> str:
-    """No point of the edge within the latitudes of the scales is nearer than this to the cell."""
-    gx = f"(greatest(least(x1, x2) - (_cx + 1) * {side!r}D, _cx * {side!r}D - greatest(x1, x2), 0D) * _kx0)"
-    gy = f"(greatest(least(y1, y2) - (_cy + 1) * {side!r}D, _cy * {side!r}D - greatest(y1, y2), 0D) * _ky0)"
-    return f"(sqrt({gx} * {gx} + {gy} * {gy}) * (1D - 1e-9D))"
+# No point of the cell is farther than this from the edge. The start of the edge is a point of the
+# area: measured from the farthest corner, allowing for the change of scale between the latitudes
+# the scales were taken for. Never null, which spares the optimizer a second evaluation.
+_FX = "(greatest(abs(x1 - _cx * _s), abs(x1 - (_cx + 1) * _s)) * _kx1)"
+_FY = "(greatest(abs(y1 - _cy * _s), abs(y1 - (_cy + 1) * _s)) * _ky1)"
+_MOST = (
+    f"coalesce(CASE WHEN y1 BETWEEN _low AND _high THEN sqrt({_FX} * {_FX} + {_FY} * {_FY}) * _stretch END, "
+    "double('Infinity'))"
+)
+# No point of the edge within the latitudes of the scales is nearer than this to the cell.
+_GX = "(greatest(least(x1, x2) - (_cx + 1) * _s, _cx * _s - greatest(x1, x2), 0D) * _kx0)"
+_GY = "(greatest(least(y1, y2) - (_cy + 1) * _s, _cy * _s - greatest(y1, y2), 0D) * _ky0)"
+_LEAST = f"(sqrt({_GX} * {_GX} + {_GY} * {_GY}) * (1D - 1e-9D))"
 
 
 def _listed_edges(areas: DataFrame, area_id: str, side: float, bits: list[int]) -> DataFrame:
@@ -115,72 +120,119 @@ def _meet(left: DataFrame, right: DataFrame, keys: list[str], left_id: list[str]
     return left.join(right, [*keys, "_salt"]).drop("_salt")
 
 
+def _cell_side(boxes: DataFrame) -> float:
+    """About one edge per cell where edges are spread out, about eight along a fine outline."""
+    middles = boxes.selectExpr(f"inline({edges_of('ring')}) AS (x1, y1, x2, y2)").selectExpr(
+        "count(*) AS n",
+        "percentile_approx((x1 + x2) / 2D, array(0.05D, 0.95D)) AS px",
+        "percentile_approx((y1 + y2) / 2D, array(0.05D, 0.95D)) AS py",
+        "percentile_approx(greatest(abs(x2 - x1), abs(y2 - y1)), 0.5) AS len",
+    ).first()
+    if not middles["n"]:
+        return 1.0
+    (x0, x1), (y0, y1) = middles["px"], middles["py"]
+    spaced = ((x1 - x0) * (y1 - y0) / (0.81 * middles["n"])) ** 0.5
+    sizes = [v for v in (spaced, 8 * middles["len"]) if v > 0]
+    return max(power_of_two(min(sizes, default=1.0)), FINEST_SIDE)
+
+
 def candidate_edges(
     points: DataFrame, areas: DataFrame, area_id: str, broadcast_bytes: int = BROADCAST_BYTES
-) -> tuple[DataFrame, float]:
-    """Which edges may be nearest where: ``(_cx, _cy, area id, edge)`` and the cell side."""
-    boxes = with_bounds(areas.select(area_id, "ring"))
-    median = boxes.selectExpr(
-        "percentile_approx(greatest(_xmax - _xmin, _ymax - _ymin), 0.5) AS m"
-    ).first()["m"]
-    side = max(power_of_two((median or 0.0) / 4), FINEST_SIDE)
-    bits = [0]
-    while side * 2 ** bits[-1] < WORLD_SIDE:
-        bits.append(bits[-1] + STEP_BITS)
+) -> tuple[DataFrame, DataFrame, float]:
+    """Which edges may be nearest where.
 
-    listed = materialise(_listed_edges(boxes, area_id, side, bits), "listed-edges")
-    small = listed.count() * 80 <= broadcast_bytes
-    at = ["_bits", "_ux", "_uy"]
+    Returns ``(leaves, cells, side)``: ``leaves`` has ``_bits, _cx, _cy``, the area id and the edge
+    for cells of side ``side * 2**_bits``; ``cells`` gives for each finest cell holding points the
+    ``_bits`` of the leaf that covers it.
+    """
+    boxes = with_bounds(areas.select(area_id, "ring"))
+    side = _cell_side(boxes)
     cells = materialise(
         points.selectExpr(f"{cell_no('lon', side)} AS _cx", f"{cell_no('lat', side)} AS _cy")
         .filter("_cx IS NOT NULL AND _cy IS NOT NULL")
-        .distinct(),
+        .groupBy("_cx", "_cy")
+        .agg(F.expr("count(*) AS _points")),
         "point-cells",
     )
+    levels = range(WIDEN + 1)
+    seen = cells.selectExpr(
+        "sum(_points) AS points", "count(*) AS n",
+        *[f"approx_count_distinct(struct(shiftright(_cx, {b}), shiftright(_cy, {b}))) AS n{b}" for b in levels],
+    ).first()
+    widen = next((b for b in levels if (seen["points"] or 0) >= POINTS_PER_CELL * seen[f"n{b}"]), WIDEN)
+    side *= 2**widen
+    bits = [0]
+    while side * 2 ** bits[-1] < WORLD_SIDE:
+        bits.append(bits[-1] + 1)
+
+    # each cell is about to become some hundred rows: cut them finer than their size suggests, by the
+    # key the steps below group by, so that they need no shuffle of their own
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    parts = max(min(cores, -(-seen["n"] // 256)), -(-seen["n"] // CELLS_PER_TASK), 1)
+    cells = (
+        cells.selectExpr(f"shiftright(_cx, {widen}) AS _cx", f"shiftright(_cy, {widen}) AS _cy")
+        .repartition(parts, "_cx", "_cy")
+        .distinct()
+    )
+    listed = materialise(_listed_edges(boxes, area_id, side, bits), "listed-edges")
+    small = listed.count() * 80 <= broadcast_bytes
+    at = ["_bits", "_ux", "_uy"]
 
-    # 1. a bound for every cell, from one edge of each cell seen around it at any size
-    seen = listed.groupBy("_bits", "_ux", "_uy").agg(F.expr("min(struct(y1, x1)) AS v"))
+    # 1. a bound for every cell, from one edge of each cell seen around it at several sizes
+    look_bits = sorted({*bits[::LOOK_STEP], bits[-1]})
+    one_each = listed.filter(F.col("_bits").isin(look_bits)).groupBy(*at).agg(F.expr("min(struct(y1, x1)) AS v"))
     places = ", ".join(
-        f"struct({b} AS _bits, shiftright(_cx, {b}) AS _ux, shiftright(_cy, {b}) AS _uy)" for b in bits
+        f"struct({b} AS _bits, shiftright(_cx, {b}) AS _ux, shiftright(_cy, {b}) AS _uy)" for b in look_bits
     )
     looks = _around(
         cells.selectExpr("_cx", "_cy", f"inline(array({places})) AS (_bits, _ux, _uy)"),
         ["_cx", "_cy", "_bits"],
     )
-    found = _meet(looks, seen, at, ["_cx", "_cy"], small).selectExpr("_cx", "_cy", "v.x1 AS x1", "v.y1 AS y1")
-    most = _most_metres(side)
+    found = _meet(looks, one_each, at, ["_cx", "_cy"], small).selectExpr(
+        "_cx", "_cy", f"{side!r}D AS _s", "v.x1 AS x1", "v.y1 AS y1"
+    )
     bound = (
-        _with_scales(found, side, f"greatest(abs(y1 - _cy * {side!r}D), {side!r}D)")
-        .selectExpr("_cx", "_cy", f"{most} AS _most")
+        _with_scales(found, "greatest(abs(y1 - _cy * _s), _s)")
+        .selectExpr("_cx", "_cy", f"{_MOST} AS _most")
         .groupBy("_cx", "_cy")
         .agg(F.expr("min(_most) AS _best"))
     )
+    own = f"CAST(floor(log2(greatest(_best / 111320D / {FAR * side!r}D, 1D))) AS INT)"
+    bound = materialise(bound.selectExpr("*", f"least({own}, {bits[-1]}) AS _bits"), "cell-bounds")
 
     # 2. the edges within that bound, looked up at the cell size just wider than it
+    merged = (
+        bound.selectExpr("_bits", "shiftright(_cx, _bits) AS _cx", "shiftright(_cy, _bits) AS _cy", "_best")
+        .groupBy("_bits", "_cx", "_cy")
+        .agg(F.expr("max(_best) AS _best"))
+        .selectExpr("*", f"{side!r}D * pow(2D, _bits) AS _s")
+    )
     reach_y = f"(_best / {110500.0!r}D)"
-    scaled = _with_scales(bound, side, reach_y)
     wide_enough = "CASE " + " ".join(
-        f"WHEN 1.001D * greatest({reach_y}, coalesce(_best / nullif(_kx0, 0D), 360D)) <= {side * 2**b!r}D THEN {b}"
+        f"WHEN 1.001D * greatest({reach_y}, coalesce(_best / nullif(_kx0, 0D), 1000D)) <= {side * 2**b!r}D THEN {b}"
         for b in bits
     ) + f" ELSE {bits[-1]} END"
-    own = ["_cx", "_cy", "_best", *_SCALES]
+    cell = ["_own", "_cx", "_cy", "_s", "_best", *_SCALES]
     windows = _around(
-        scaled.selectExpr(*own, f"{wide_enough} AS _bits").selectExpr(
-            "*", "shiftright(_cx, _bits) AS _ux", "shiftright(_cy, _bits) AS _uy"
+        _with_scales(merged, reach_y)
+        .selectExpr("_bits AS _own", *cell[1:], f"greatest({wide_enough}, _bits) AS _bits")
+        .selectExpr(
+            "*", "shiftright(_cx, _bits - _own) AS _ux", "shiftright(_cy, _bits - _own) AS _uy"
         ),
-        [*own, "_bits"],
+        [*cell, "_bits"],
     )
     near = materialise(
-        _meet(windows, listed, at, ["_cx", "_cy"], small)
-        .filter(f"{_least_metres(side)} <= _best")
-        .selectExpr(*[c for c in own if c != "_best"], f"`{area_id}`", *_EDGE, f"{most} AS _most"),
+        _meet(windows, listed, at, ["_own", "_cx", "_cy"], small)
+        .filter(f"{_LEAST} <= _best")
+        .selectExpr(*[c for c in cell if c != "_best"], f"`{area_id}`", *_EDGE, f"{_MOST} AS _most"),
         "near-edges",
     )
 
     # 3. a tighter bound from all of these
-    best = near.groupBy("_cx", "_cy").agg(F.expr("min(_most) AS _best"))
-    kept = near.join(best, ["_cx", "_cy"]).filter(f"{_least_metres(side)} <= _best")
-    return kept.select("_cx", "_cy", area_id, *_EDGE).distinct(), side
+    best = near.groupBy("_own", "_cx", "_cy").agg(F.expr("min(_most) AS _best"))
+    kept = near.join(best, ["_own", "_cx", "_cy"]).filter(f"{_LEAST} <= _best")
+    leaves = kept.selectExpr("_own AS _bits", "_cx", "_cy", f"`{area_id}`", *_EDGE).distinct()
+    return leaves, bound.select("_cx", "_cy", "_bits"), side
 
 
 def _edge_metres(pairs: DataFrame, columns: list[str]) -> DataFrame:
@@ -221,13 +273,29 @@ def nearest_pairs(
     inside = within_join(points, areas.select(area_id, "ring"), "inner", [area_id], row_id, broadcast_bytes)
     inside = inside.selectExpr(*points.columns, f"`{area_id}`", "0D AS distance_m")
 
-    found, side = candidate_edges(points, areas, area_id, broadcast_bytes)
-    candidates = materialise(found, "nearest-edges")
-    placed = points.selectExpr(
-        "*", f"{cell_no('lon', side)} AS _cx", f"{cell_no('lat', side)} AS _cy"
-    )
-    small = candidates.count() * 64 <= broadcast_bytes
-    joined = _meet(placed, candidates, ["_cx", "_cy"], row_id or points.columns, small)
+    found, cells, side = candidate_edges(points, areas, area_id, broadcast_bytes)
+    leaves = materialise(found, "nearest-edges")
+    stats = leaves.selectExpr("count(*) * 64 AS bytes", "sort_array(collect_set(_bits)) AS bits").first()
+    lon, lat = cell_no("lon", side), cell_no("lat", side)
+    if stats["bytes"] <= broadcast_bytes:
+        # a point looks itself up at every size of leaf in use; one found at a size that is not its
+        # own brings edges that do not matter, but none is missed
+        places = ", ".join(
+            f"struct({b} AS _bits, shiftright({lon}, {b}) AS _cx, shiftright({lat}, {b}) AS _cy)"
+            for b in stats["bits"] or [0]
+        )
+        placed = points.selectExpr("*", f"inline(array({places})) AS (_bits, _cx, _cy)")
+        joined = placed.join(F.broadcast(leaves), ["_bits", "_cx", "_cy"])
+    else:
+        # too much to broadcast: give each finest cell its leaf's edges, then shuffle by those
+        by_leaf = leaves.withColumnsRenamed({"_cx": "_ux", "_cy": "_uy"})
+        fine = cells.selectExpr(
+            "_cx", "_cy", "_bits", "shiftright(_cx, _bits) AS _ux", "shiftright(_cy, _bits) AS _uy"
+        )
+        fine, by_leaf = spread_hot_keys(fine, by_leaf, ["_bits", "_ux", "_uy"], ["_cx", "_cy"])
+        fine = fine.join(by_leaf, ["_bits", "_ux", "_uy", "_salt"]).select("_cx", "_cy", area_id, *_EDGE)
+        placed = points.selectExpr("*", f"{lon} AS _cx", f"{lat} AS _cy")
+        joined = _meet(placed, fine, ["_cx", "_cy"], row_id or points.columns, False)
     return _edge_metres(joined, [*points.columns, f"`{area_id}`"]).unionByName(inside)
 
 
