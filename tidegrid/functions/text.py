@@ -27,7 +27,8 @@ def try_parse_date(value: str) -> str:
         f"CASE WHEN {text} RLIKE '{pattern}' THEN try_to_timestamp({text}, '{layout}') END"
         for pattern, layout in DATE_LAYOUTS
     ]
-    return f"coalesce({', '.join(tries)})"
+    # no layout is longer than 26 characters, so long texts need no closer look
+    return f"(CASE WHEN length(trim({value})) <= 26 THEN coalesce({', '.join(tries)}) END)"
 
 
 def iso_date(value: str) -> str:
