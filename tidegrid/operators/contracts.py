@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import point_problem, ring_problem
-from tidegrid.operators.skew import spread_hot_keys
+from tidegrid.operators.skew import meet
 
 
 @dataclass(frozen=True)
@@ -84,8 +84,7 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
     key = contract.key
     by_row = df.selectExpr("*", f"{_row_problem(contract)} AS violation").filter("violation IS NOT NULL")
     twice = df.filter(f"`{key}` IS NOT NULL").groupBy(key).count().filter("count > 1").select(key)
-    rows, keys = spread_hot_keys(df, twice, [key], df.columns)
-    by_key = rows.join(keys, [key, "_salt"], "left_semi")
+    by_key = meet(df, twice, [key], df.columns, small=False, how="left_semi")
     return by_row.unionByName(by_key.select(*df.columns, F.lit("duplicate_key").alias("violation")))
 
 

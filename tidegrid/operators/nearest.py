@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions.geodesy import metres_per_degree_lat, metres_per_degree_lon
 from tidegrid.functions.geometry import edges_of
 from tidegrid.operators.grid import BROADCAST_BYTES, cell_no, power_of_two, with_bounds
-from tidegrid.operators.skew import spread_hot_keys
+from tidegrid.operators.skew import meet
 from tidegrid.operators.spatial import within_join
 from tidegrid.session import materialise
 
@@ -112,14 +112,6 @@ def _around(cells: DataFrame, columns: list[str]) -> DataFrame:
     ).selectExpr(*columns, "_ux", "explode(array(_uy - 1, _uy, _uy + 1)) AS _uy")
 
 
-def _meet(left: DataFrame, right: DataFrame, keys: list[str], left_id: list[str], small: bool) -> DataFrame:
-    """An equi-join: the right side broadcast if measured small, else hot keys spread."""
-    if small:
-        return left.join(F.broadcast(right), keys)
-    left, right = spread_hot_keys(left, right, keys, left_id)
-    return left.join(right, [*keys, "_salt"]).drop("_salt")
-
-
 def _cell_side(boxes: DataFrame) -> float:
     """About one edge per cell where edges are spread out, about eight along a fine outline."""
     middles = boxes.selectExpr(f"inline({edges_of('ring')}) AS (x1, y1, x2, y2)").selectExpr(
@@ -188,7 +180,7 @@ def candidate_edges(
         cells.selectExpr("_cx", "_cy", f"inline(array({places})) AS (_bits, _ux, _uy)"),
         ["_cx", "_cy", "_bits"],
     )
-    found = _meet(looks, one_each, at, ["_cx", "_cy"], small).selectExpr(
+    found = meet(looks, one_each, at, ["_cx", "_cy"], small).selectExpr(
         "_cx", "_cy", f"{side!r}D AS _s", "v.x1 AS x1", "v.y1 AS y1"
     )
     bound = (
@@ -222,7 +214,7 @@ def candidate_edges(
         [*cell, "_bits"],
     )
     near = materialise(
-        _meet(windows, listed, at, ["_own", "_cx", "_cy"], small)
+        meet(windows, listed, at, ["_own", "_cx", "_cy"], small)
         .filter(f"{_LEAST} <= _best")
         .selectExpr(*[c for c in cell if c != "_best"], f"`{area_id}`", *_EDGE, f"{_MOST} AS _most"),
         "near-edges",
@@ -292,10 +284,10 @@ def nearest_pairs(
         fine = cells.selectExpr(
             "_cx", "_cy", "_bits", "shiftright(_cx, _bits) AS _ux", "shiftright(_cy, _bits) AS _uy"
         )
-        fine, by_leaf = spread_hot_keys(fine, by_leaf, ["_bits", "_ux", "_uy"], ["_cx", "_cy"])
-        fine = fine.join(by_leaf, ["_bits", "_ux", "_uy", "_salt"]).select("_cx", "_cy", area_id, *_EDGE)
+        fine = meet(fine, by_leaf, ["_bits", "_ux", "_uy"], ["_cx", "_cy"], False)
+        fine = fine.select("_cx", "_cy", area_id, *_EDGE)
         placed = points.selectExpr("*", f"{lon} AS _cx", f"{lat} AS _cy")
-        joined = _meet(placed, fine, ["_cx", "_cy"], row_id or points.columns, False)
+        joined = meet(placed, fine, ["_cx", "_cy"], row_id or points.columns, False)
     return _edge_metres(joined, [*points.columns, f"`{area_id}`"]).unionByName(inside)
 
 

@@ -54,3 +54,13 @@ def spread_hot_keys(
         .select(*small.columns, "_salt")
     )
     return salted_big, salted_small
+
+
+def meet(
+    left: DataFrame, right: DataFrame, keys: list[str], row_id: list[str], small: bool, how: str = "inner"
+) -> DataFrame:
+    """An equi-join: the right side broadcast if it was measured small, else hot keys spread."""
+    if small:
+        return left.join(F.broadcast(right), keys, how)
+    left, right = spread_hot_keys(left, right, keys, row_id)
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")

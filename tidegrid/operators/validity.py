@@ -13,6 +13,9 @@ from tidegrid.functions.geometry import (
     ring_problem,
     segments_touch,
 )
+from tidegrid.operators.grid import BROADCAST_BYTES
+from tidegrid.operators.skew import meet
+from tidegrid.session import materialise
 
 
 def check_points(points: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
@@ -89,12 +92,13 @@ def check_rings(areas: DataFrame) -> DataFrame:
         .groupBy("_ring_id")
         .agg(F.expr("any_value(ring) AS ring"))
     )
-    crossed = self_intersecting(to_check).selectExpr("_ring_id AS _crossed_id")
+    crossed = materialise(self_intersecting(to_check).withColumn("_crossed", F.lit(True)), "crossed-rings")
+    small = crossed.count() * 128 <= BROADCAST_BYTES
     return (
-        first_look.join(crossed, F.expr("_ring_id = _crossed_id"), "left")
+        meet(first_look, crossed, ["_ring_id"], areas.columns, small, "left")
         .selectExpr(
             *areas.columns,
-            "coalesce(_problem, CASE WHEN _crossed_id IS NOT NULL THEN 'self_intersection' END) AS invalid_reason",
+            "coalesce(_problem, CASE WHEN _crossed THEN 'self_intersection' END) AS invalid_reason",
         )
         .selectExpr("*", "invalid_reason IS NULL AS geometry_valid")
     )

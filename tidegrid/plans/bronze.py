@@ -7,6 +7,7 @@ pushdown rather than working out coordinates again.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegrid.plans import derived
@@ -24,13 +25,17 @@ _written: dict[tuple[str, str, str], tuple[str, object]] = {}
 
 def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _written:
-        df = _TABLES[name](spark, sf_dir)
-        path = work_path(spark, f"bronze-{name}")
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:  # small files are one split each
-            df = df.repartition(cores)
-        df.write.parquet(path)
-        _written[key] = (path, df.schema)
-    path, schema = _written[key]
-    return spark.read.schema(schema).parquet(path)
+    if key in _written:
+        path, schema = _written[key]
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException:  # the shared folder was cleaned meanwhile
+            pass
+    df = _TABLES[name](spark, sf_dir)
+    path = work_path(spark, f"bronze-{name}")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:  # small files are one split each
+        df = df.repartition(cores)
+    df.write.parquet(path)
+    _written[key] = (path, df.schema)
+    return spark.read.schema(df.schema).parquet(path)

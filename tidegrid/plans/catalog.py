@@ -668,8 +668,8 @@ def u3(spark, sf):
 
 @query("u4_point_union")
 def u4(spark, sf):
-    near = sample.citizens_from_ids(table(spark, sf, "customer").filter("c_custkey % 100 < 60"), "c_custkey")
-    away = sample.citizens_from_ids(table(spark, sf, "customer").filter("c_custkey % 100 >= 60"), "c_custkey")
+    near = sample.citizens_from_ids(table(spark, sf, "customer"), "c_custkey")
+    away = sample.citizens_from_ids(table(spark, sf, "supplier"), "s_suppkey")
     return near.union(away).selectExpr("citizen_id", "name", "round(lon, 6) AS lon", "round(lat, 6) AS lat")
 
 

@@ -268,21 +268,26 @@ def _normal(key: str, stream: str, mean: str, sigma: float) -> str:
     return f"({mean} + {sigma}e0 * sqrt(-2e0 * ln({u1})) * cos(6.283185307179586e0 * {u2}))"
 
 
-def _sample_axis(name: str, i: int) -> str:
+def _sample_axis(key: str, name: str, i: int) -> str:
     def base(stream: str, bases: list) -> str:
         values = ", ".join(f"{b[i]}e0" for b in bases)
-        return f"[{values}][1 + CAST({_hash('c_custkey', stream)} AS BIGINT) % {len(bases)}]"
+        return f"[{values}][1 + CAST({_hash(key, stream)} AS BIGINT) % {len(bases)}]"
 
-    risk = _normal("c_custkey", f"risk/{name}", base("risk/base", RISK_BASES), RISK_SIGMA)
-    safe = _normal("c_custkey", f"safe/{name}", base("safe/base", SAFE_BASES), SAFE_SIGMA)
-    return f"round(CASE WHEN c_custkey % 100 < 60 THEN {risk} ELSE {safe} END, 6) AS {name}"
+    risk = _normal(key, f"risk/{name}", base("risk/base", RISK_BASES), RISK_SIGMA)
+    safe = _normal(key, f"safe/{name}", base("safe/base", SAFE_BASES), SAFE_SIGMA)
+    return f"round(CASE WHEN {key} % 100 < 60 THEN {risk} ELSE {safe} END, 6) AS {name}"
 
 
-_cte("sample", f"""SELECT c_custkey AS citizen_id, 'Citizen_' || printf('%03d', c_custkey) AS name,
-    'Rua ' || CAST(c_custkey AS VARCHAR) || ', nº ' || CAST(1 + CAST({_hash('c_custkey', 'house')} AS BIGINT) % 999 AS VARCHAR)
-      || ', Porto Alegre' AS address, '51 99999-' || printf('%04d', c_custkey) AS phone,
-    strftime(DATE '2024-01-01' + CAST(c_custkey % 36500 AS INTEGER), '%Y-%m-%d') AS registration_date,
-    {_sample_axis('lon', 0)}, {_sample_axis('lat', 1)} FROM customer""")
+def _sample(table: str, key: str) -> str:
+    return f"""SELECT {key} AS citizen_id, 'Citizen_' || printf('%03d', {key}) AS name,
+        'Rua ' || CAST({key} AS VARCHAR) || ', nº ' || CAST(1 + CAST({_hash(key, 'house')} AS BIGINT) % 999 AS VARCHAR)
+          || ', Porto Alegre' AS address, '51 99999-' || printf('%04d', {key}) AS phone,
+        strftime(DATE '2024-01-01' + CAST({key} % 36500 AS INTEGER), '%Y-%m-%d') AS registration_date,
+        {_sample_axis(key, 'lon', 0)}, {_sample_axis(key, 'lat', 1)} FROM {table}"""
+
+
+_cte("sample", _sample("customer", "c_custkey"))
+_cte("more_sample", _sample("supplier", "s_suppkey"))
 
 _cte("drops", """SELECT citizen_id, name || ' v1' AS name, lon, lat, 1 AS drop_no FROM people
     UNION ALL SELECT citizen_id, name || ' v2', lon, lat, 2 FROM people WHERE phone IS NULL
@@ -479,7 +484,8 @@ ORACLES: dict[str, str] = {
     "u2_feature_union": sql(f"""SELECT citizen_id AS id, 'citizen' AS type, {_CITIZEN_FEATURE} AS feature FROM table_now
         UNION ALL SELECT area_id, 'flood_area', {_AREA_FEATURE} FROM areas""", "table_now", "areas"),
     "u3_id_difference": sql("SELECT citizen_id FROM people EXCEPT SELECT citizen_id FROM hits", "people", "hits"),
-    "u4_point_union": sql("SELECT citizen_id, name, lon, lat FROM sample", "sample"),
+    "u4_point_union": sql("""SELECT citizen_id, name, lon, lat FROM sample
+        UNION ALL SELECT citizen_id, name, lon, lat FROM more_sample""", "sample", "more_sample"),
     "u5_view": sql(f"SELECT * FROM ({_SUMMARY}) AS v WHERE count > 0", "table_now"),
     "u6_list_tables": sql("""SELECT 'tidegrid_areas' AS table_name, count(*) AS rows FROM areas
         UNION ALL SELECT 'tidegrid_citizens', count(*) FROM people UNION ALL SELECT 'tidegrid_raw_citizens', count(*) FROM raw_people""",
