@@ -46,14 +46,29 @@ def test_several_levels_are_in_play(fixture):
 
 def test_edges_vertices_and_lost_points(spark):
     square = ring_of([(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)])
-    areas = spark.sql(f"SELECT 1L AS area_id, {square} AS ring")
+    broken = ring_of([(0, 0), (1, 0), ("double('NaN')", 1), (0, 0)])
+    endless = ring_of([(0, 0), ("double('Infinity')", 0), (1, 1), (0, 0)])
+    areas = spark.sql(f"SELECT * FROM VALUES (1L, {square}), (2L, {broken}), (3L, {endless}) AS t(area_id, ring)")
     points = spark.createDataFrame(
-        [(1, 0.5, 0.5), (2, 0.0, 0.5), (3, 1.0, 1.0), (4, None, 0.5), (5, float("nan"), 0.5), (6, 500.0, 0.5), (7, 0.999, 0.001)],
+        [(1, 0.5, 0.5), (2, 0.0, 0.5), (3, 1.0, 1.0), (4, None, 0.5), (5, float("nan"), 0.5), (6, 500.0, 0.5), (7, 0.999, 0.001),
+         (8, float("inf"), 0.5)],
         "id long, lon double, lat double",
     )
     for options in OPTIONS:
         got = spatial.within_join(points, areas, "left", ["area_id"], **options).collect()
-        assert {r["id"]: r["area_id"] for r in got} == {1: 1, 2: None, 3: None, 4: None, 5: None, 6: None, 7: 1}
+        assert {r["id"]: r["area_id"] for r in got} == {1: 1, 2: None, 3: None, 4: None, 5: None, 6: None, 7: 1, 8: None}
+
+
+def test_nearest_skips_lost_points(spark):
+    square = ring_of([(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)])
+    areas = spark.sql(f"SELECT 1L AS area_id, {square} AS ring")
+    points = spark.createDataFrame(
+        [(1, 0.5, 0.5), (2, None, 0.5), (3, float("inf"), 0.5), (4, float("nan"), 0.5), (5, 1.0, 2.0)],
+        "id long, lon double, lat double",
+    )
+    got = {r["id"]: r["min_distance_m"] for r in nearest.min_distance(points, areas, ["id"]).collect()}
+    assert sorted(got) == [1, 5] and got[1] == 0.0 and got[5] == pytest.approx(110_600, rel=1e-3)
+    assert nearest.min_distance(points, areas.filter("false"), ["id"]).count() == 0
 
 
 def test_no_areas_and_no_points(spark, fixture):

@@ -50,8 +50,8 @@ class AreaIndex:
 
 
 def cell_no(value: str, side: float) -> str:
-    """The cell number along one axis, as SQL text; null for null and NaN."""
-    return f"(CASE WHEN NOT isnan({value}) THEN floor({value} / {side!r}D) END)"
+    """The cell number along one axis, as SQL text; null for null, NaN and infinity."""
+    return f"(CASE WHEN abs({value}) < double('Infinity') THEN floor({value} / {side!r}D) END)"
 
 
 def power_of_two(value: float) -> float:
@@ -62,6 +62,10 @@ def power_of_two(value: float) -> float:
 def with_bounds(areas: DataFrame, margin_m: float = 0.0) -> DataFrame:
     """Areas with a usable ring, plus bounds and the margin in degrees on each axis."""
     bounds = areas.filter("size(ring) >= 4").selectExpr("*", f"{ring_bounds('ring')} AS _b")
+    # NaN counts as greater than infinity, so this leaves out both
+    bounds = bounds.filter(
+        "greatest(abs(_b.xmin), abs(_b.ymin), abs(_b.xmax), abs(_b.ymax)) < double('Infinity')"
+    )
     if margin_m > 0:
         # the smallest metres per degree within reach give a margin that is surely enough
         my = f"{1.001 * margin_m / 110500.0!r}D"
