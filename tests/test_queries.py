@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check_queries import compare, connect
+from tidegrid.plans.catalog import QUERIES
+from tidegrid.plans.oracles import ORACLES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,10 +16,10 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert sorted(queries()) == sorted(oracle_sql())
+    assert sorted(QUERIES) == sorted(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     assert compare(spark, duck, SF_DIR, name) is None
 
