@@ -1,7 +1,7 @@
 """Byte-level BPE: encoding and decoding whole texts by a published rank file.
 
 Each match of the pattern is merged on its own. A rank queue holds the adjacent pairs that can
-still merge: one bucket of positions per rank, and over the buckets a bitmap of three levels, in
+still merge: one bucket of positions per rank, and over the buckets a bitmap of two levels, in
 which find-first-set gives the lowest rank in a fixed number of steps however many pairs wait.
 Positions form a linked list. A merge changes at most two pairs; what it makes stale stays in its
 bucket and is skipped when its turn comes, so a match of n bytes takes O(n) queue operations plus
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,9 +32,16 @@ from pyspark.sql import types as T
 from tidegrid.llm.common import fresh, table
 
 #: Matches kept with their ids in each Python worker; the store is emptied when full.
-CACHE_SIZE = 200_000
-#: Longer matches are not kept.
-CACHE_BYTES = 64
+CACHE_SIZE = 400_000
+#: Longer matches are not kept, so the store stays below 150 MB.
+CACHE_LENGTH = 40
+#: What the classes of the pattern hold up to U+00FF, for use within a class.
+LATIN = {
+    r"\p{L}": "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff",
+    r"\p{N}": "0-9\xb2\xb3\xb9\xbc-\xbe",
+    r"\s": "\t-\r \x85\xa0",
+    r"\S": "^\t-\r \x85\xa0",
+}
 
 #: Letters and numbers of Unicode versions after 16, which the published library does
 #: not know as such yet; the pattern takes them for other characters.
@@ -48,41 +56,36 @@ NEWER = (
 NEWER_SET = "[" + "".join("-".join(f"\\U{int(x, 16):08x}" for x in r.split("-")) for r in NEWER.split()) + "]"
 
 
-class RankQueue:
-    """Positions by rank; ``pop`` gives the lowest rank with all its positions, left to right."""
-
-    def __init__(self, ranks: int):
-        self.buckets: dict[int, list[int]] = {}
-        self.low = [0] * ((ranks >> 6) + 1)
-        self.mid = [0] * ((ranks >> 12) + 1)
-        self.top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(position)
-            return
-        self.buckets[rank] = [position]
-        word = rank >> 6
-        self.low[word] |= 1 << (rank & 63)
-        self.mid[word >> 6] |= 1 << (word & 63)
-        self.top |= 1 << (word >> 6)
-
-    def pop(self) -> tuple[int, list[int]] | None:
-        if not self.top:
-            return None
-        block = (self.top & -self.top).bit_length() - 1
-        bits = self.mid[block]
-        word = (block << 6) + (bits & -bits).bit_length() - 1
-        bits = self.low[word]
-        bit = bits & -bits
-        rank = (word << 6) + bit.bit_length() - 1
-        self.low[word] ^= bit
-        if not self.low[word]:
-            self.mid[block] ^= 1 << (word & 63)
-            if not self.mid[block]:
-                self.top ^= 1 << block
-        return rank, sorted(self.buckets.pop(rank))
+class Known(dict):
+    """The ids of each match met so far, as little-endian unsigned 32-bit integers."""
+
+    def __init__(self, merge):
+        super().__init__()
+        self.merge = merge
+
+    def __missing__(self, match: str) -> bytes:
+        ids = np.array(self.merge(match.encode("utf-8")), "<u4").tobytes()
+        if len(match) <= CACHE_LENGTH:
+            if len(self) >= CACHE_SIZE:
+                self.clear()
+            self[match] = ids
+        return ids
+
+
+def latin_pattern(pattern: str) -> str:
+    """``pattern`` with its classes spelled out for characters up to U+00FF."""
+    out, inside, i = [], False, 0
+    while i < len(pattern):
+        name = next((c for c in LATIN if pattern.startswith(c, i)), None)
+        if name:
+            out.append(LATIN[name] if inside else f"[{LATIN[name]}]")
+            i += len(name)
+            continue
+        step = pattern[i : i + 2] if pattern[i] == "\\" else pattern[i]
+        inside = (inside or step == "[") and step != "]"
+        out.append(step)
+        i += len(step)
+    return "".join(out)
 
 
 class BytePairs:
@@ -90,71 +93,104 @@ class BytePairs:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        size = max(ranks.values(), default=-1) + 1
+        self.tokens: list[bytes | None] = [None] * size
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+        self.low = [0] * ((size >> 8) + 1)
+        self.known = Known(self.merge)
         self.matches = regex.compile(pattern).findall
         self.newer = regex.compile(NEWER_SET).search
+        strict = pattern
         for known in (r"\p{L}", r"\p{N}"):
-            pattern = pattern.replace(known, f"[{known}--{NEWER_SET}]")
-        self.strict = regex.compile("(?V1)" + pattern).findall
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
-        self.known: dict[str, list[int]] = {}
+            strict = strict.replace(known, f"[{known}--{NEWER_SET}]")
+        self.strict = regex.compile("(?V1)" + strict).findall
+        #: the same pattern for texts without characters above U+00FF, which most are
+        self.latin = re.compile(latin_pattern(pattern)).findall
+
+    def split(self, text: str) -> list[str]:
+        """The matches of the pattern, with the classes of characters the library knows."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return (self.strict if self.newer(text) else self.matches)(text)
+        return self.latin(text)
 
     def merge(self, piece: bytes) -> list[int]:
-        """The ids of one match."""
-        ranks = self.ranks
-        whole = ranks.get(piece)
+        """The ids of one match.
+
+        The queue is spelled out here, as calls would cost more than its steps: ``buckets`` has the
+        positions waiting at a rank, ``low`` a bit for each rank with a bucket, ``top`` one for each
+        word of ``low`` that is not zero. The lowest set bit of ``top`` names the word, the lowest
+        of that word the rank. All words are zero again at the end.
+        """
+        rank_of = self.ranks.get
+        whole = rank_of(piece)
         if whole is not None:
             return [whole]
         n = len(piece)
-        end = list(range(1, n + 1))  # where the part that starts here ends
-        before = list(range(-1, n - 1))
-        alive = [True] * n
-        pair = [-1] * n  # rank of the part that starts here with its neighbour, -1 if none
-        queue = self.queue
-        for i in range(n - 1):
-            rank = ranks.get(piece[i : i + 2])
-            if rank is not None:
-                pair[i] = rank
-                queue.push(rank, i)
-        while (least := queue.pop()) is not None:
-            rank, positions = least
+        end = list(range(1, n + 1))  # where the part that starts here ends, 0 if none starts here
+        before = list(range(-1, n))  # where the part starts that ends here
+        # rank of the part that starts here joined to the next, -1 if none
+        pair = [rank_of(piece[i : i + 2], -1) for i in range(n - 1)]
+        pair.append(-1)
+        low, top = self.low, 0
+        buckets: dict[int, list[int]] = {}
+        for i, rank in enumerate(pair):
+            if rank >= 0:
+                if rank in buckets:
+                    buckets[rank].append(i)
+                else:
+                    buckets[rank] = [i]
+                    low[rank >> 8] |= 1 << (rank & 255)
+                    top |= 1 << (rank >> 8)
+        while top:
+            word = (top & -top).bit_length() - 1
+            bits = low[word]
+            bit = bits & -bits
+            rank = (word << 8) + bit.bit_length() - 1
+            low[word] = bits = bits ^ bit
+            if not bits:
+                top ^= 1 << word
+            positions = buckets.pop(rank)
+            if len(positions) > 1:
+                positions.sort()
             for i in positions:
-                if not alive[i] or pair[i] != rank:
+                if pair[i] != rank:
                     continue  # stale
                 j = end[i]
-                alive[j] = False
                 stop = end[i] = end[j]
+                end[j], pair[j] = 0, -1
+                before[stop] = i
                 if stop < n:
-                    before[stop] = i
-                    joined = ranks.get(piece[i : end[stop]], -1)
+                    joined = pair[i] = rank_of(piece[i : end[stop]], -1)
+                    if joined >= 0:
+                        if joined in buckets:
+                            buckets[joined].append(i)
+                        else:
+                            buckets[joined] = [i]
+                            low[joined >> 8] |= 1 << (joined & 255)
+                            top |= 1 << (joined >> 8)
                 else:
-                    joined = -1
-                pair[i] = joined
-                if joined >= 0:
-                    queue.push(joined, i)
-                h = before[i]
-                if h >= 0:
-                    joined = pair[h] = ranks.get(piece[h:stop], -1)
+                    pair[i] = -1
+                if i:
+                    h = before[i]
+                    joined = pair[h] = rank_of(piece[h:stop], -1)
                     if joined >= 0:
-                        queue.push(joined, h)
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i : end[i]]])
-            i = end[i]
-        return out
+                        if joined in buckets:
+                            buckets[joined].append(h)
+                        else:
+                            buckets[joined] = [h]
+                            low[joined >> 8] |= 1 << (joined & 255)
+                            top |= 1 << (joined >> 8)
+        return [rank_of(piece[i:stop]) for i, stop in enumerate(end) if stop]
+
+    def encode_bytes(self, text: str | None) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
+        return b"".join(map(self.known.__getitem__, self.split(text or "")))
 
     def encode(self, text: str | None) -> list[int]:
-        known, out, text = self.known, [], text or ""
-        for match in (self.strict if self.newer(text) else self.matches)(text):
-            ids = known.get(match)
-            if ids is None:
-                ids = self.merge(match.encode("utf-8"))
-                if len(match) <= CACHE_BYTES:
-                    if len(known) >= CACHE_SIZE:
-                        known.clear()
-                    known[match] = ids
-            out += ids
-        return out
+        return np.frombuffer(self.encode_bytes(text), "<u4").tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of the ids; an id outside the file is an error."""
@@ -197,12 +233,13 @@ def encode_column(
         for batch in batches:
             counts, digests, decoded, all_ids = [], [], [], []
             for value in batch.column(hidden):
-                ids = model.encode(value.as_py())
+                packed = model.encode_bytes(value.as_py())
+                ids = np.frombuffer(packed, "<u4")
                 counts.append(len(ids))
-                digests.append(hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
-                decoded.append(hashlib.sha256(model.decode(ids)).hexdigest())
+                digests.append(hashlib.sha256(packed).hexdigest())
+                decoded.append(hashlib.sha256(model.decode(ids.tolist())).hexdigest())
                 if with_ids:
-                    all_ids.append(pa.array(ids, pa.int32()))
+                    all_ids.append(pa.array(ids.astype("int32"), pa.int32()))
             columns = [batch.column(c) for c in kept]
             columns += [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
             if with_ids:
