@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidegrid.llm import bpe, quality, toxicity
+from tidegrid.llm import bpe, neardup, quality, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality.op1,
+    "op3_near_dedup": neardup.op3,
     "op5_toxicity": toxicity.op5,
     "op9_byte_bpe": bpe.op9,
 }
