@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from tidegrid.llm import bpe, neardup, quality, toxicity
+import corpus_pipeline
+from tidegrid.llm import bpe, decontaminate, neardup, quality, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality.op1,
     "op3_near_dedup": neardup.op3,
     "op5_toxicity": toxicity.op5,
+    "op8_decontaminate": decontaminate.op8,
     "op9_byte_bpe": bpe.op9,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
