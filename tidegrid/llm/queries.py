@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidegrid.llm import bpe, decontaminate, neardup, quality, toxicity
+from tidegrid.llm import bpe, decontaminate, neardup, quality, toxicity, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1,
+    "op2_warc_salvage": warc.op2,
     "op3_near_dedup": neardup.op3,
     "op5_toxicity": toxicity.op5,
     "op8_decontaminate": decontaminate.op8,
@@ -16,4 +17,5 @@ QUERIES = {
 
 ORACLES = {
     "op1_quality_rules": quality.op1_sql(),
+    "op2_warc_salvage": warc.OP2_SQL,
 }
