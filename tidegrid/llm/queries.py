@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidegrid.llm import bpe, decontaminate, neardup, quality, sharding, toxicity, urlfilter, warc
+from tidegrid.llm import bpe, decontaminate, neardup, pseudolm, quality, sharding, tokencount, toxicity, urlfilter, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1,
     "op2_warc_salvage": warc.op2,
     "op3_near_dedup": neardup.op3,
+    "op4_token_counts": tokencount.op4,
     "op5_toxicity": toxicity.op5,
     "op6_sharding": sharding.op6,
+    "op7_lm_scoring": pseudolm.op7,
     "op8_decontaminate": decontaminate.op8,
     "op9_byte_bpe": bpe.op9,
     "op10_url_filters": urlfilter.op10,
