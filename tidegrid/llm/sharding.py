@@ -1,8 +1,8 @@
 """Shards of equal row counts that keep linked documents together, by balanced label propagation.
 
 Documents of a group (here: with equal texts) are linked. Each linked document starts in a shard that
-its hash gives. In a round, each group counts its members by shard; the shards with most of them are
-those it settles in, as few as its size allows. Members elsewhere ask to move there. How many of
+its hash gives. In a round, each group counts its members by shard; the shards with most of them, and
+with room for the others, are those it settles in, as few as its size allows. Members elsewhere ask to move there. How many of
 those that ask to go from one shard to another may move follows from the quotas: what a shard has,
 less what leaves, plus what comes, stays within its share of all rows. The rounds are joins and
 aggregates over the linked documents, each written to the shared folder, and end when nothing moves.
@@ -92,13 +92,27 @@ def propagate(linked: DataFrame, quota: list[int]) -> DataFrame:
         linked.withColumn("shard", F.pmod(F.xxhash64(F.lit("start"), "key"), F.lit(shards)).cast("int")), "shards-0"
     )
     for turn in range(1, ROUNDS + 1):
-        votes = state.groupBy("group", "shard").agg(F.count("*").alias("c"), F.max("n").alias("n"))
-        # equal counts are told apart by a hash, so that groups do not all prefer the same shards
+        votes = materialise(state.groupBy("group", "shard").agg(F.count("*").alias("c"), F.max("n").alias("n")), "votes")
+        load = [0] * shards
+        for row in votes.groupBy("shard").agg(F.sum("c").alias("c")).collect():
+            load[row["shard"]] = row["c"]
+        room = f"array({', '.join(str(q - x) for q, x in zip(quota, load, strict=True))})"
+        # Shards with room for the rest of the group come first, then those with most of it. Equal counts
+        # are told apart by a hash, so that groups do not all prefer the same shards.
         homes = votes.groupBy("group").agg(
-            F.sort_array(F.collect_list(F.struct("c", F.xxhash64("group", "shard").alias("h"), "shard")), False).alias("order"),
+            F.sort_array(F.collect_list(F.struct(
+                F.expr(f"get({room}, shard) >= n - c").alias("fits"), "c", F.xxhash64("group", "shard").alias("h"), "shard"
+            )), False).alias("order"),
             F.max("n").alias("n"),
         ).selectExpr(
-            "group", "n AS members", f"transform(slice(order, 1, CAST(ceil(n / {least}) AS INT)), x -> x.shard) AS homes"
+            "group", "n AS members", "order",
+            # where none of its shards has room for a group that a shard can hold, one that has
+            f"CASE WHEN n <= {least} AND NOT order[0].fits THEN"
+            f" filter(sequence(0, {shards - 1}), s -> get({room}, s) >= n) ELSE array() END AS roomy",
+        ).selectExpr(
+            "group", "members",
+            f"CASE WHEN size(roomy) > 0 THEN array(get(roomy, CAST(pmod(xxhash64('roomy', {turn}, group), size(roomy)) AS INT)))"
+            f" ELSE transform(slice(order, 1, CAST(ceil(members / {least}) AS INT)), x -> x.shard) END AS homes",
         )
         homes = materialise(homes, "homes")
         wish = materialise(
@@ -108,13 +122,8 @@ def propagate(linked: DataFrame, quota: list[int]) -> DataFrame:
                        f" ELSE get(homes, CAST(pmod(xxhash64('home', {turn}, key), size(homes)) AS INT)) END"),
             ).drop("homes", "members"), "wishes"
         )
-        moves = wish.groupBy("shard", "wish").count().collect()
-        load = [0] * shards
-        asked = {}
-        for row in moves:
-            load[row["shard"]] += row["count"]
-            if row["shard"] != row["wish"]:
-                asked[row["shard"], row["wish"]] = row["count"]
+        moves = wish.filter("shard <> wish").groupBy("shard", "wish").count().collect()
+        asked = {(row["shard"], row["wish"]): row["count"] for row in moves}
         share = admitted(asked, load, quota)
         parts = 1 << 20
         allowed = {k: int(v * parts) for k, v in share.items() if int(v * parts) > 0}
@@ -123,7 +132,9 @@ def propagate(linked: DataFrame, quota: list[int]) -> DataFrame:
         # at most shards * shards numbers, looked up by position
         limits = [allowed.get((a, b), 0) for a in range(shards) for b in range(shards)]
         limit = F.get(F.expr(f"array({', '.join(map(str, limits))})"), (F.col("shard") * shards + F.col("wish")).cast("int"))
-        draw = F.pmod(F.xxhash64(F.lit("move"), F.lit(turn), "key"), F.lit(parts))
+        # a group that fits in a shard moves as one
+        unit = F.when(F.col("n") <= least, F.xxhash64("group")).otherwise(F.col("key"))
+        draw = F.pmod(F.xxhash64(F.lit("move"), F.lit(turn), unit), F.lit(parts))
         state = materialise(
             wish.withColumn("shard", F.when(draw < limit, F.col("wish")).otherwise(F.col("shard"))).drop("wish"),
             f"shards-{turn}",
