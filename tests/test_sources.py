@@ -163,7 +163,7 @@ def test_stream_of_drops_equals_batch(spark, tmp_path):
             if kind == "merge":
                 run = drops.merge_drops(stream, out, checkpoint, ["citizen_id"], ["drop_no"])
             elif kind == "classified":
-                run = drops.append_to(drops.classify_stream(stream, index), out, checkpoint)
+                run = drops.classify_drops(stream, index, out, checkpoint)
             else:
                 run = drops.append_to(stream if kind == "plain" else drops.first_seen(stream, ["citizen_id"]), out, checkpoint)
             run.awaitTermination()

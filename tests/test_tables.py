@@ -181,13 +181,18 @@ def test_summaries_agree(spark):
     }
 
 
-def test_feature_collection_is_json(spark):
+def test_feature_collection_is_json(spark, tmp_path):
     table = people(spark).selectExpr(
         "citizen_id", "name || '\"x' AS name", "CAST(NULL AS STRING) AS address", "'5' AS phone",
         "true AS affected_by_flooding", "lon", "lat",
     )
-    whole = json.loads(reports.feature_collection(reports.citizen_features(table), 3).first()["collection"])
-    assert whole["type"] == "FeatureCollection" and len(whole["features"]) == 3
+    def written(features):
+        reports.write_collection(features, str(tmp_path / "out"))
+        return json.loads("".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*"))))
+
+    whole = written(reports.citizen_features(table.repartition(3)))
+    assert whole["type"] == "FeatureCollection" and [f["properties"]["id"] for f in whole["features"]] == [1, 2, 3, 4]
+    assert written(reports.citizen_features(table.filter("false"))) == {"type": "FeatureCollection", "features": []}
     first = whole["features"][0]
     assert first["properties"] == {
         "id": 1, "name": 'a"x', "address": None, "phone": "5", "affected": True, "type": "citizen"

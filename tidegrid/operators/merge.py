@@ -18,12 +18,16 @@ def upsert(current: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame
 
 
 def upsert_column(current: DataFrame, incoming: DataFrame, key: list[str], column: str) -> DataFrame:
-    """As :func:`upsert`, but for a key that exists only ``column`` is taken over."""
+    """As :func:`upsert`, but for a key that exists only ``column`` is taken over.
+
+    Of several rows of one side with a key, the one whose text sorts first or last counts.
+    """
     columns = current.columns
     rest = ", ".join(f"`{c}`" for c in columns if c not in key and c != column)
     both = current.withColumn("_new", F.lit(0)).unionByName(incoming.select(*columns).withColumn("_new", F.lit(1)))
     merged = both.groupBy(*key).agg(
-        F.expr(f"min_by(struct({rest}), _new) AS _old"), F.expr(f"max_by(`{column}`, _new) AS `{column}`")
+        F.expr(f"min_by(struct({rest}), struct(_new, to_json(struct({rest})))) AS _old"),
+        F.expr(f"max_by(`{column}`, struct(_new, to_json(struct(`{column}`, {rest})))) AS `{column}`"),
     )
     return merged.select(*key, "_old.*", column).select(*columns)
 

@@ -612,8 +612,7 @@ def w3(spark, sf):
 
 @query("w4_top_nearest")
 def w4(spark, sf):
-    outside = spatial.within_join(citizens(spark, sf), reference_areas(spark), "anti", ["area_id"], ["citizen_id"])
-    return nearest.min_distance(outside, reference_areas(spark), ["citizen_id", "name"]).selectExpr(
+    return nearest.min_distance(citizens(spark, sf), reference_areas(spark), ["citizen_id", "name"]).selectExpr(
         "citizen_id", "name", "round(min_distance_m, 2) AS min_distance_meters"
     ).orderBy("min_distance_meters", "citizen_id").limit(10)
 
@@ -845,10 +844,17 @@ def f18(spark, sf):
 
 @query("f18_feature_collection")
 def f18_collection(spark, sf):
-    return reports.feature_collection(reports.citizen_features(flagged(spark, sf)), 100).selectExpr(
-        "get_json_object(collection, '$.type') AS type",
-        "CAST(json_array_length(get_json_object(collection, '$.features')) AS BIGINT) AS features",
-        "get_json_object(collection, '$.features[0].properties.name') AS first_name",
+    path = work_path(spark, "f18")
+    dated = areas(spark, sf).withColumn("flood_date", F.expr("CAST(flood_date AS DATE)"))
+    reports.write_collection(reports.all_features(flagged(spark, sf), dated), path)
+    kind = "get_json_object(rtrim(',', value), '$.properties.type')"
+    return spark.read.text(path).selectExpr(
+        "max(CASE WHEN startswith(value, '{\"type\":\"FeatureCollection\"') THEN 'FeatureCollection' END) AS type",
+        f"count({kind}) AS features",
+        f"count_if({kind} = 'flood_area') AS areas",
+        "count_if(endswith(value, ',')) AS continued",
+        f"min_by(get_json_object(rtrim(',', value), '$.properties.name'),"
+        f" CASE WHEN {kind} = 'citizen' THEN CAST(get_json_object(rtrim(',', value), '$.properties.id') AS BIGINT) END) AS first_name",
     )
 
 
@@ -906,8 +912,8 @@ def t2(spark, sf):
     index = index_areas(reference_areas(spark), ["area_id", "area_name"])
     for frame in _drop_frames(spark, sf):
         frame.write.mode("append").parquet(f"{base}/inbox")
-        stream = drops.classify_stream(drops.watch_parquet(spark, f"{base}/inbox", DROP_SCHEMA), index)
-        drops.append_to(stream, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+        stream = drops.watch_parquet(spark, f"{base}/inbox", DROP_SCHEMA)
+        drops.classify_drops(stream, index, f"{base}/table", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/table").select(
         "citizen_id", "drop_no", "affected_by_flooding", "affected_area_id"
     )

@@ -470,8 +470,7 @@ ORACLES: dict[str, str] = {
         ORDER BY run_date DESC, run_id""",
     "w4_top_nearest": sql("""SELECT p.citizen_id, p.name, round(min(metres), 2) AS min_distance_meters
         FROM people AS p JOIN ref_distances AS d ON p.citizen_id = d.citizen_id
-        WHERE p.citizen_id NOT IN (SELECT citizen_id FROM ref_hits)
-        GROUP BY p.citizen_id, p.name ORDER BY min_distance_meters, p.citizen_id LIMIT 10""", "people", "ref_distances", "ref_hits"),
+        GROUP BY p.citizen_id, p.name ORDER BY min_distance_meters, p.citizen_id LIMIT 10""", "people", "ref_distances"),
     "w5_first_affected": sql(f"""SELECT citizen_id, name, address, {_point_wkt('lon', 'lat')} AS location, affected_by_flooding
         FROM table_now WHERE affected_by_flooding ORDER BY citizen_id LIMIT 10""", "table_now"),
     "w5_geometry_listing": sql(f"""SELECT area_id AS id, {_RING_JSON} AS geometry, '{{"area_name":"' || area_name || '","severity":"'
@@ -523,8 +522,9 @@ ORACLES: dict[str, str] = {
     "f17_daily_dates": """SELECT c_custkey, strftime(DATE '2024-01-01' + CAST(c_custkey % 3650 AS INTEGER), '%Y-%m-%d') AS day
         FROM customer""",
     "f18_feature_text": sql(f"SELECT citizen_id AS id, {_CITIZEN_FEATURE} AS feature FROM table_now", "table_now"),
-    "f18_feature_collection": sql("""SELECT 'FeatureCollection' AS type, least(count(*), 100) AS features,
-        min_by(name, citizen_id) AS first_name FROM people""", "people"),
+    "f18_feature_collection": sql("""SELECT 'FeatureCollection' AS type, p.n + a.n AS features, a.n AS areas, p.n + a.n - 1 AS continued, first_name
+        FROM (SELECT count(*) AS n, min_by(name, citizen_id) AS first_name FROM people) AS p, (SELECT count(*) AS n FROM areas) AS a""",
+        "people", "areas"),
     "f19_json_geometry": sql("""SELECT area_id, 'Polygon' AS type, CAST(len(ring) AS INTEGER) AS vertices, ring[2].x AS second_x
         FROM areas""", "areas"),
     "f20_properties": "SELECT event_id, CAST(regexp_extract(props, '\"k\": (\\d+)', 1) AS BIGINT) AS k FROM events",

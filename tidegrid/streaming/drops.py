@@ -49,17 +49,6 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def classify_stream(points: DataFrame, index: AreaIndex) -> DataFrame:
-    """Each arriving point joined to the areas, which stay fixed while the stream runs.
-
-    Stateless. With areas of several sizes the left join would need the stream twice, so each
-    micro-batch must then go through :func:`classify_drops`.
-    """
-    if len(index.levels) > 1:
-        raise ValueError("areas lie on several levels; use classify_drops")
-    return flag_pairs(join_index(points, index, "left", row_id=["citizen_id"]))
-
-
 def classify_drops(points: DataFrame, index: AreaIndex, path: str, checkpoint: str) -> StreamingQuery:
     """Classified micro-batches under ``path/epoch=N``, for any set of areas."""
 
