@@ -71,6 +71,29 @@ def test_broken_feature_line_is_reported(spark, tmp_path):
     assert sorted(r["malformed"] for r in got.collect()) == [False, True]
 
 
+def test_layout_is_decided_for_each_file(spark, tmp_path):
+    (tmp_path / "a.geojson").write_text(collection(indent=2))
+    (tmp_path / "b.geojson").write_text(by_line())
+    (tmp_path / "c.geojson").write_text("\n".join(f"// note {i}" for i in range(70)) + "\n" + json.dumps(features()[0]))
+    (tmp_path / "d.geojson").write_text(json.dumps(features()[1], indent=1))
+    (tmp_path / "e.geojson").write_text(collection() + "\n" + collection())
+    (tmp_path / "f.geojson").write_text('{"type": "FeatureCollection", "features": null}')
+    (tmp_path / "g.geojson").write_text("")
+    rows = geojson.read_geojson(spark, str(tmp_path)).collect()
+    good = sorted((r["source_file"][-9], r["id"]) for r in rows if not r["malformed"])
+    assert good == [*[("a", i) for i in (1, 2, 3, 4)], *[("b", i) for i in (1, 2, 3, 4)], ("c", 1), ("d", 2),
+                    *[("e", i) for i in (1, 1, 2, 2, 3, 3, 4, 4)]]
+    assert sorted(r["source_file"][-9] for r in rows if r["malformed"]) == ["c"] * 70 + ["f"]
+
+
+@pytest.mark.parametrize("other", [collection("EPSG:31982"), collection("EPSG:31982", indent=2), "\n" * 60 + by_line("EPSG:31982")])
+def test_crs_of_every_file_counts(spark, tmp_path, other):
+    (tmp_path / "a.geojson").write_text(by_line("EPSG:4326"))
+    (tmp_path / "b.geojson").write_text(other)
+    with pytest.raises(ValueError, match="31982"):
+        geojson.read_geojson(spark, str(tmp_path))
+
+
 def test_geojson_round_trip(spark, tmp_path):
     df = spark.createDataFrame(
         [(1, None, [{"x": 0.0, "y": 0.0}, {"x": 1.0, "y": 0.0}, {"x": 1.0, "y": 1.0}, {"x": 0.0, "y": 0.0}])],

@@ -103,6 +103,21 @@ def s2_areas(spark, sf):
     )
 
 
+@query("s2_mixed_folder")
+def s2_mixed(spark, sf):
+    """Points a line each, and areas as one document over many lines, read together."""
+    path = work_path(spark, "s2")
+    geojson.write_geojson(citizens(spark, sf).select("citizen_id", "lon", "lat"), f"{path}/points")
+    dated = areas(spark, sf).withColumn("flood_date", F.expr("CAST(flood_date AS DATE)"))
+    reports.area_features(dated).selectExpr(
+        """concat('{\n"type": "FeatureCollection",\n"features": [\n',
+            array_join(collect_list(replace(feature, ',"', ',\n"')), ',\n'), '\n]\n}') AS value"""
+    ).write.text(f"{path}/areas")
+    return geojson.read_geojson(spark, [f"{path}/points", f"{path}/areas"]).groupBy("geometry_type", "malformed").agg(
+        F.count("*").alias("features"), F.sum(F.size("ring").cast("long")).alias("vertices")
+    )
+
+
 @query("s3_layer_scan")
 def s3(spark, sf):
     base = work_path(spark, "s3")

@@ -341,6 +341,8 @@ ORACLES: dict[str, str] = {
     "s6_geojson_export": sql(f"""SELECT '{{"type":"Feature","properties":{{"citizen_id":' || CAST(citizen_id AS VARCHAR)
         || ',"name":"' || name || '","phone":' || {_json_text('phone')} || '}},"geometry":' || {_POINT_JSON} || '}}' AS feature
         FROM people""", "people"),
+    "s2_mixed_folder": sql("""SELECT 'Point' AS geometry_type, false AS malformed, count(*) AS features, CAST(NULL AS BIGINT) AS vertices
+        FROM people UNION ALL SELECT 'Polygon', false, count(*), CAST(sum(len(ring)) AS BIGINT) FROM areas""", "people", "areas"),
     "s7_ingest_sources": sql("SELECT * FROM ingested", "ingested"),
     "s8_source_report": sql("""SELECT count(*) AS total_files, count(*) FILTER (WHERE status = 'success') AS successful,
         count(*) FILTER (WHERE status = 'error') AS failed, CAST(sum(records) AS BIGINT) AS total_records FROM ingested""", "ingested"),

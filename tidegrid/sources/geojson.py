@@ -21,86 +21,135 @@ _AROUND = "|".join([
 ])
 
 
-def _layout(spark: SparkSession, path: str) -> str:
-    """``lines`` when the head of the file has a whole feature on one line, else ``collection``."""
-    head = spark.read.text(path).filter("trim(value) <> ''").limit(50)
-    kinds = head.selectExpr(
-        f"get_json_object(regexp_replace(value, ',\\\\s*$', ''), '$.type') AS kind"
-    ).filter("kind = 'Feature'")
-    return "lines" if kinds.limit(1).count() else "collection"
+# the name in a crs member; the member's own type is "name" too
+_CRS_NAME = r'"crs"\s*:\s*\{.*?"name"\s*:\s*"(?!name")([^"]*)"'
 
 
-def _check_crs(name: str | None) -> None:
+def _sources(spark: SparkSession, path: str | list[str], layout: str) -> tuple[list[str], list[str]]:
+    """The files to be read line by line, and those to be parsed as a whole.
+
+    One pass over the text, one row per file back: Spark's driver lists the files anyhow. A file is
+    read by line if some line is a whole feature or collection. The reference system is looked for
+    in every line of every file, and one that is not accepted stops the read.
+    """
+    text = "regexp_replace(value, ',\\\\s*$', '')"
+    lines = spark.read.text(path).selectExpr(
+        "_metadata.file_path AS file", f"get_json_object({text}, '$.type') AS kind",
+        f"CASE WHEN contains(value, '\"crs\"') THEN regexp_extract(value, r'{_CRS_NAME}', 1) END AS crs",
+        "trim(value) <> '' AS filled",
+    )
+    files = lines.groupBy("file").agg(
+        F.expr("bool_or(coalesce(kind IN ('Feature', 'FeatureCollection'), false))").alias("by_line"),
+        F.expr("bool_or(filled)").alias("filled"),
+        F.collect_set("crs").alias("crs"),
+    ).filter("filled").collect()
+    by_line, whole = [], []
+    for row in files:
+        for name in row["crs"]:
+            _check_crs(name, row["file"])
+        (by_line if layout == "lines" or (layout == "auto" and row["by_line"]) else whole).append(row["file"])
+    return sorted(by_line), sorted(whole)
+
+
+def _check_crs(name: str | None, file: str) -> None:
     if name and name not in ACCEPTED_CRS:
-        raise ValueError(f"only longitude/latitude on WGS84 is supported, not {name}")
+        raise ValueError(f"only longitude/latitude on WGS84 is supported, not {name} as in {file}")
+
+
+def _documents(texts: DataFrame, wanted: T.StructType, lines: bool) -> DataFrame:
+    """Features of texts (``source_file``, ``value``), each of which is a feature or a collection."""
+    crs = T.StructType().add("properties", T.StructType().add("name", "string"))
+    document = T.StructType(
+        [*wanted.fields, T.StructField("crs", crs), T.StructField("features", T.ArrayType(wanted)), T.StructField("_broken", T.StringType())]
+    )
+    parsed = texts.select(
+        "source_file",
+        F.from_json(F.regexp_replace("value", r",\s*$", ""), document, {"columnNameOfCorruptRecord": "_broken"}).alias("f"),
+    )
+    if not lines:
+        for row in parsed.filter("f.crs.properties.name IS NOT NULL").select(
+            "source_file", "f.crs.properties.name"
+        ).filter(~F.col("name").isin(*ACCEPTED_CRS)).limit(1).collect():
+            _check_crs(row["name"], row["source_file"])
+    one = "struct(f.type AS type, f.properties AS properties, f.geometry AS geometry)"
+    return parsed.selectExpr(
+        "source_file",
+        # a collection without a list of features is malformed, an empty one has no rows
+        f"explode(CASE WHEN f.type = 'FeatureCollection' AND f.features IS NOT NULL AND f._broken IS NULL"
+        f" THEN f.features ELSE array({one}) END) AS feature",
+        "f IS NULL OR f._broken IS NOT NULL AS broken",
+    ).selectExpr(
+        "source_file", "feature.type", "feature.properties", "feature.geometry",
+        "broken OR NOT feature.type <=> 'Feature' AS malformed",
+    )
 
 
 def read_geojson(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     properties: T.StructType | None = None,
     layout: str = "auto",
 ) -> DataFrame:
-    """One row per feature: its properties, ``geometry_type``, ``lon``, ``lat``, ``ring``.
-
-    ``layout`` is ``lines`` for files with one feature per line, as most tools write them (with or
-    without the surrounding collection), which Spark can split; ``collection`` for any other
-    file, which one task must parse as a whole. ``auto`` looks at the head of the first file. A line
-    that is neither a feature nor part of the frame around them comes out with ``malformed`` set,
-    so a file of the other layout among many is noticed. Geometries other than points and single rings have
-    neither coordinates nor ring, and so fail validation rather than vanish.
+    """One row per feature: its properties, ``geometry_type``, ``lon``, ``lat``, ``ring``, ``source_file``.
+
+    Files with one feature (or one collection) per line, as most tools write them, with or without
+    the collection around them, are read by line, which Spark can split. Any other file is one
+    document, a collection or a single feature, which one task must parse as a whole. ``layout``
+    ``auto`` decides that for each file from all its lines; ``lines`` and ``collection`` hold for all. What is
+    neither a feature nor part of the frame around features comes out with ``malformed`` set and the
+    name of its file, so nothing is lost without a trace. Geometries other than points and single rings
+    have neither coordinates nor ring, and so fail validation rather than vanish.
     """
-    if layout == "auto":
-        layout = _layout(spark, path)
+    if layout not in ("auto", "lines", "collection"):
+        raise ValueError(f"layout must be auto, lines or collection, not {layout!r}")
+    by_line, whole = _sources(spark, path, layout)
     if properties is None:
-        properties = _infer_properties(spark, path, layout)
+        properties = _infer_properties(spark, by_line, whole)
     geometry = T.StructType().add("type", "string").add("coordinates", "string")
     wanted = T.StructType().add("type", "string").add("properties", properties).add("geometry", geometry)
 
-    if layout == "collection":
-        crs = T.StructType().add("properties", T.StructType().add("name", "string"))
-        schema = T.StructType().add("crs", crs).add("features", T.ArrayType(wanted))
-        whole = spark.read.option("multiLine", True).schema(schema).json(path)
-        for row in whole.select("crs.properties.name").distinct().limit(100).collect():
-            _check_crs(row["name"])
-        features = whole.selectExpr("inline(features)").selectExpr("*", "NOT type <=> 'Feature' AS malformed")
-    elif layout == "lines":
-        lines = spark.read.text(path)
-        crs = lines.limit(50).selectExpr(
-            "regexp_extract(value, '\"crs\"\\\\s*:.*\"name\"\\\\s*:\\\\s*\"(?!name)([^\"]+)\"\\\\s*\\\\}', 1) AS name"
-        )
-        for row in crs.filter("name <> ''").limit(1).collect():
-            _check_crs(row["name"])
-        candidates = lines.filter(~F.col("value").rlike(f"^({_AROUND})$"))
-        text = F.regexp_replace("value", r",\s*$", "")
-        parsed = F.from_json(
-            text, T.StructType([*wanted.fields, T.StructField("_broken", T.StringType())]),
-            {"columnNameOfCorruptRecord": "_broken"},
-        )
-        features = candidates.select(parsed.alias("f")).selectExpr(
-            "f.type AS type", "f.properties AS properties", "f.geometry AS geometry",
-            "f IS NULL OR f._broken IS NOT NULL OR NOT f.type <=> 'Feature' AS malformed",
-        )
-    else:
-        raise ValueError(f"layout must be auto, lines or collection, not {layout!r}")
+    parts = []
+    if by_line:
+        lines = spark.read.text(by_line).filter(~F.col("value").rlike(f"^({_AROUND})$"))
+        parts.append(_documents(lines.selectExpr("_metadata.file_path AS source_file", "value"), wanted, True))
+    if whole:
+        texts = spark.read.text(whole, wholetext=True)
+        parts.append(_documents(texts.selectExpr("_metadata.file_path AS source_file", "value"), wanted, False))
+    if not parts:
+        empty = T.StructType().add("source_file", "string").add("value", "string")
+        parts.append(_documents(spark.createDataFrame([], empty), wanted, True))
+    features = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     return features.selectExpr(
         *[f"properties.`{f.name}` AS `{f.name}`" for f in properties.fields],
         "geometry.type AS geometry_type",
         f"{geojson_point('geometry')} AS _p",
         f"{geojson_ring('geometry')} AS ring",
-        "malformed",
+        "malformed", "source_file",
     ).selectExpr(
         *[f"`{f.name}`" for f in properties.fields],
-        "geometry_type", "_p.x AS lon", "_p.y AS lat", "ring", "malformed",
+        "geometry_type", "_p.x AS lon", "_p.y AS lat", "ring", "malformed", "source_file",
     )
 
 
-def _infer_properties(spark: SparkSession, path: str, layout: str) -> T.StructType:
-    if layout == "collection":
-        schema = spark.read.option("multiLine", True).json(path).schema
-        return schema["features"].dataType.elementType["properties"].dataType
-    return spark.read.json(path).schema["properties"].dataType
+def _infer_properties(spark: SparkSession, by_line: list[str], whole: list[str]) -> T.StructType:
+    """Types of the properties in all files; a name with several types becomes text."""
+    found: dict[str, T.DataType] = {}
+
+    def add(schema: T.DataType) -> None:
+        inner = [schema["features"].dataType.elementType] if "features" in schema.names and isinstance(
+            schema["features"].dataType, T.ArrayType) else []
+        for kind in [schema, *inner]:
+            if isinstance(kind, T.StructType) and "properties" in kind.names and isinstance(kind["properties"].dataType, T.StructType):
+                for f in kind["properties"].dataType.fields:
+                    same = found.get(f.name, f.dataType) == f.dataType
+                    found[f.name] = f.dataType if same else T.StringType()
+
+    if by_line:
+        add(spark.read.json(by_line).schema)
+    if whole:
+        add(spark.read.option("multiLine", True).json(whole).schema)
+    return T.StructType([T.StructField(n, t) for n, t in sorted(found.items())])
 
 
 def write_geojson(df: DataFrame, path: str) -> None:
