@@ -9,11 +9,11 @@ darts up to the rank that a document needs are thrown, so a signature costs abou
 the document once.
 
 Documents that agree in a band of coordinates share a bucket. Exact copies are one node. In a
-bucket each node is compared with the bucket's hub, the node that meets most others; nodes that
-this has not joined are then compared with those left that they could still match, as the distance
-to the hub and the number of shingles allow. So a group of m near copies takes about m comparisons,
-not m * m, and two nodes of a bucket that are similar enough always end in one group. Comparisons
-are exact, over the whole bags.
+bucket each node is compared with the bucket's hub, the node that meets most others. That settles
+most buckets: a group of m near copies takes about m comparisons. Where a bucket still holds several
+groups, the nodes outside its largest are compared with the rest, in a small bucket pair by pair,
+in a larger one in blocks of bounded size, within which no pair becomes a row. So two nodes of a bucket
+that are similar enough always end in one group. Comparisons are exact, over the whole bags.
 
 Groups are the connected components of the pairs at or above the threshold. Signatures have 24 bands
 of 6 coordinates: a pair at the threshold of 0.8 meets in a bucket with probability 0.9993, more
@@ -52,6 +52,9 @@ DARTS = COORDINATES * (np.log(COORDINATES) + 2)
 WORD = re.compile("[^\x20\x09-\x0d]+")
 #: Odd constants of the integer hash.
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: Buckets up to this size are compared pair by pair, larger ones in blocks of so many shingles.
+SMALL = 24
+BLOCK = 250_000
 #: Words whose hash a Python worker keeps.
 KNOWN_WORDS = 500_000
 
@@ -241,13 +244,15 @@ def near_links(sketch: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFr
     labelled = materialise(
         member.filter("n > 2").join(labels.withColumnRenamed("label", "got"), "node", "left")
         .join(tested.select(F.col("a").alias("hub"), F.col("b").alias("node"), "similarity"), ["hub", "node"], "left")
-        .select("bucket", "node", "size", "hub", F.coalesce("got", "node").alias("label"),
-                # a pair that sizes ruled out has some distance above the limit
+        .select("bucket", "n", "node", "size", "hub", F.coalesce("got", "node").alias("label"),
+                # unknown for a pair that sizes ruled out
                 F.when(F.col("node") != F.col("hub"), 1 - F.col("similarity")).alias("far")), "labelled"
     )
-    more = materialise(_left_over(labelled), "left-over")
-    rest = compared(more, bag_table).filter(F.col("similarity") >= THRESHOLD).select("a", "b")
-    return materialise(links.union(rest), "links")
+    still = materialise(_unsettled(labelled), "unsettled")
+    pairs = materialise(_left_over(still.filter(F.col("n") <= SMALL)), "left-over")
+    rest = compared(pairs, bag_table).filter(F.col("similarity") >= THRESHOLD).select("a", "b")
+    blocks = _links_in_blocks(still.filter(F.col("n") > SMALL), bag_table)
+    return materialise(links.union(rest).union(blocks), "links")
 
 
 def _texts(nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -259,39 +264,116 @@ def _texts(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return found.filter(node_of(F.col("text")) == F.col("node")).select("node", "text").dropDuplicates(["node"])
 
 
-def _left_over(labelled: DataFrame) -> DataFrame:
-    """Pairs of a bucket that the star has neither compared nor joined and that could be similar.
+def _unsettled(labelled: DataFrame) -> DataFrame:
+    """Members of buckets that still hold several groups, but for the hub, with the bucket's largest group.
 
-    Of two nodes in different groups at least one is outside the bucket's largest group, so only
-    those nodes look for partners. By the triangle inequality partners are about as far from the hub.
+    Of two nodes in different groups at least one is outside the largest, so only such nodes need
+    to look for partners.
     """
-    groups = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    groups = labelled.groupBy("bucket", "label").agg(F.count("*").alias("c"))
     largest = groups.groupBy("bucket").agg(
-        F.max(F.struct("n", "label")).getField("label").alias("main"), F.count("*").alias("groups"),
-        F.sum("n").alias("n"),
+        F.max(F.struct("c", "label")).getField("label").alias("main"), F.count("*").alias("groups"),
+        F.sum("c").alias("members"),
     ).filter("groups > 1")
-    largest = materialise(largest, "open-buckets")
-    still = materialise(
-        lookup(labelled, largest.select("bucket", "main", "n"), "bucket", F.col("n"), "inner").filter("node <> hub"),
-        "open-members"
-    )
-    outside = still.filter("label <> main").select(
+    largest = materialise(largest.select("bucket", "main", "members"), "open-buckets")
+    return lookup(labelled, largest, "bucket", F.col("members"), "inner").filter("node <> hub")
+
+
+def _left_over(still: DataFrame) -> DataFrame:
+    """Pairs within buckets of at most ``SMALL`` nodes that could be similar: half as many per node at most.
+
+    By the triangle inequality partners are about as far from the hub.
+    """
+    a = still.filter("label <> main").select(
         "bucket", F.col("node").alias("a"), F.col("label").alias("la"), F.col("size").alias("sa"), F.col("far").alias("fa")
     )
-    inside = still.select(
+    b = still.select(
         "bucket", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("size").alias("sb"), F.col("far").alias("fb"),
         (F.col("label") == F.col("main")).alias("in_main"),
     )
-    reach = 1 - THRESHOLD + 1e-9
-    # buckets are spread by the rows that look for partners; each piece gets the bucket's members
-    pairs = meet(inside, outside, ["bucket"], ["b"], False).filter(
-        "la <> lb AND (in_main OR a < b)"
-    ).filter(_could("sa", "sb")).filter(
-        F.coalesce(F.abs(F.col("fa") - F.col("fb")) <= reach, F.lit(True))
-    )
+    near = F.coalesce(F.abs(F.col("fa") - F.col("fb")) <= 1 - THRESHOLD + 1e-9, F.lit(True))
+    pairs = a.join(b, "bucket").filter("la <> lb AND (in_main OR a < b)").filter(_could("sa", "sb")).filter(near)
     return pairs.select("a", "b").distinct()
 
 
+def _links_in_blocks(still: DataFrame, bag_table: DataFrame) -> DataFrame:
+    """Links within larger buckets, from blocks of nodes that look for partners against blocks of members.
+
+    A block has about ``BLOCK`` shingles, so a task's memory is bounded however large the bucket. The
+    shared shingles of all pairs of two blocks are one product of matrices; no pair is a row. A node
+    that finds several members of a group is linked to one of them.
+    """
+    per_bucket = materialise(
+        still.groupBy("bucket").agg(
+            F.sum("size").alias("all"), F.sum(F.when(F.expr("label <> main"), F.col("size"))).alias("seek"), F.count("*").alias("c"),
+        ).select(
+            "bucket", "c", F.ceil(F.col("all") / BLOCK).cast("int").alias("pieces"),
+            F.ceil(F.coalesce("seek", F.lit(0)) / BLOCK).cast("int").alias("blocks"),
+        ), "large-buckets"
+    )
+    sized = lookup(still.select("bucket", "node", "size", "label", "main"), per_bucket, "bucket", F.col("c"), "inner")
+    place = F.xxhash64("node")
+    members = sized.filter("blocks > 0").select(
+        "bucket", "node", "label", F.lit(False).alias("seeks"), F.pmod(place, F.col("pieces")).cast("int").alias("piece"),
+        F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
+    )
+    seekers = sized.filter("label <> main").select(
+        "bucket", "node", "label", F.lit(True).alias("seeks"), F.explode(F.expr("sequence(0, pieces - 1)")).alias("piece"),
+        F.pmod(place, F.col("blocks")).cast("int").alias("block"),
+    )
+    return members.unionByName(seekers).join(bag_table, "node").groupBy("bucket", "piece", "block").applyInArrow(
+        _block_links, "a binary, b binary"
+    ).distinct()
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    seeks = table["seeks"].to_numpy(zero_copy_only=False)
+    nodes, labels = table["node"].to_pylist(), table["label"].to_pylist()
+    bags = table["bag"].combine_chunks()
+    values, ends = bags.flatten().to_numpy(), np.concatenate([[0], np.cumsum(bags.value_lengths().to_numpy())])
+    rows = np.repeat(np.arange(len(nodes)), np.diff(ends))
+    out_a, out_b = [], []
+    own, other = np.flatnonzero(seeks), np.flatnonzero(~seeks)
+    if len(own) and len(other):
+        at = np.zeros(len(nodes), np.int64)
+        at[own], at[other] = np.arange(len(own)), np.arange(len(other))
+        _, element = np.unique(values, return_inverse=True)
+        # only elements on both sides can be shared
+        both = np.zeros((2, element.max() + 1), bool)
+        both[seeks[rows].astype(int), element] = True
+        new = np.cumsum(both.all(axis=0)) - 1
+        used = both.all(axis=0)[element]
+        rows, element = rows[used], new[element[used]]
+        order = np.argsort(element, kind="stable")
+        rows, element = rows[order], element[order]
+        shared = np.zeros((len(own), len(other)), np.float32)
+        step = 4096
+        for low in range(0, int(element[-1]) + 1 if len(element) else 0, step):
+            cut = slice(*np.searchsorted(element, [low, low + step]))
+            part = [np.zeros((len(x), step), np.float32) for x in (other, own)]
+            for side in (0, 1):
+                some = seeks[rows[cut]] == bool(side)
+                part[side][at[rows[cut][some]], element[cut][some] - low] = 1
+            shared += part[1] @ part[0].T
+        sizes = np.diff(ends)
+        union = sizes[own][:, None] + sizes[other][None, :] - shared
+        for i, j in zip(*np.nonzero(shared >= THRESHOLD * union - 1e-9), strict=True):
+            out_a.append(own[i])
+            out_b.append(other[j])
+    seen, a, b = set(), [], []
+    for x, y in zip(out_a, out_b, strict=True):
+        # exactly as the similarity is computed elsewhere
+        if labels[x] != labels[y] and (x, labels[y]) not in seen:
+            both_sizes, common = ends[x + 1] - ends[x] + ends[y + 1] - ends[y], np.intersect1d(
+                values[ends[x] : ends[x + 1]], values[ends[y] : ends[y + 1]], assume_unique=True
+            ).size
+            if common / (both_sizes - common) >= THRESHOLD:
+                seen.add((x, labels[y]))
+                a.append(nodes[x])
+                b.append(nodes[y])
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """For each row of ``docs``: its id and digest, class, group and whether it leads the group.
 
