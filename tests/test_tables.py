@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions.geometry import RING_TYPE
 from tidegrid.operators import classify, cleaning, contracts, merge, reports, validity
 from tidegrid.plans.derived import reference_areas
+from tidegrid.session import replace_table
 
 RUN_TS = "2024-07-01 02:00:00"
 
@@ -198,3 +199,24 @@ def test_feature_collection_is_json(spark, tmp_path):
         "id": 1, "name": 'a"x', "address": None, "phone": "5", "affected": True, "type": "citizen"
     }
     assert first["geometry"] == {"type": "Point", "coordinates": [-51.25, -30.0]}
+
+
+def test_a_table_is_replaced_by_what_is_made_from_it(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(10).selectExpr("id", "id % 2 = 0 AS flag").write.parquet(path)
+    left = merge.rewrite_without(spark, path, "flag")
+    assert sorted(r["id"] for r in left.collect()) == [1, 3, 5, 7, 9]
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t.parquet"]
+    assert replace_table(spark.range(3), str(tmp_path / "new.parquet")).count() == 3
+
+
+def test_flag_of_a_key_given_twice_does_not_depend_on_partitions(spark):
+    schema = "k int, v string, flag boolean"
+    current = spark.createDataFrame([(1, "a", None)], schema)
+    incoming = [(1, "b", True), (1, "c", False), (1, "d", True)]
+    out = {
+        str(merge.upsert_column(current, spark.createDataFrame(incoming, schema).repartition(n, "v"), ["k"], "flag").collect())
+        for n in (1, 2, 5)
+    }
+    assert len(out) == 1

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import point_problem, ring_problem
+from tidegrid.operators.grid import BROADCAST_BYTES
 from tidegrid.operators.skew import meet
+from tidegrid.session import materialise
 
 
 @dataclass(frozen=True)
@@ -83,8 +85,11 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
     """
     key = contract.key
     by_row = df.selectExpr("*", f"{_row_problem(contract)} AS violation").filter("violation IS NOT NULL")
-    twice = df.filter(f"`{key}` IS NOT NULL").groupBy(key).count().filter("count > 1").select(key)
-    by_key = meet(df, twice, [key], df.columns, small=False, how="left_semi")
+    twice = materialise(
+        df.filter(f"`{key}` IS NOT NULL").groupBy(key).count().filter("count > 1").select(key), "twice"
+    )
+    size = twice.selectExpr(f"sum(octet_length(CAST(`{key}` AS STRING)) + 64)").first()[0] or 0
+    by_key = meet(df, twice, [key], df.columns, small=size <= BROADCAST_BYTES, how="left_semi")
     return by_row.unionByName(by_key.select(*df.columns, F.lit("duplicate_key").alias("violation")))
 
 

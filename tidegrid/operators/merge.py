@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.operators.cleaning import keep_last
+from tidegrid.session import replace_table
 
 
 def upsert(current: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
@@ -53,10 +54,6 @@ def delete_rows(df: DataFrame, condition: str) -> DataFrame:
     return df.filter(f"NOT coalesce({condition}, false)")
 
 
-def rewrite_without(spark: SparkSession, path: str, new_path: str, condition: str) -> DataFrame:
-    """DELETE on a Parquet table: survivors go to ``new_path``, which then takes over.
-
-    Readers of ``path`` are not disturbed, and a job that dies leaves it whole.
-    """
-    delete_rows(spark.read.parquet(path), condition).write.mode("overwrite").parquet(new_path)
-    return spark.read.parquet(new_path)
+def rewrite_without(spark: SparkSession, path: str, condition: str) -> DataFrame:
+    """DELETE on a Parquet table: the survivors are written beside it and then take its place."""
+    return replace_table(delete_rows(spark.read.parquet(path), condition), path)

@@ -21,7 +21,7 @@ from tidegrid.operators.grid import (
     power_of_two,
     with_bounds,
 )
-from tidegrid.operators.skew import spread_hot_keys
+from tidegrid.operators.skew import meet, spread_hot_keys
 
 
 class _Probe:
@@ -176,9 +176,9 @@ def areas_intersect_join(
 ) -> DataFrame:
     """Pairs ``(left_id, right_id)`` of areas that share at least one point.
 
-    Both sides are listed under the cells of their bounds, at their own level and at every
-    coarser level in use; a pair meets at the coarser of its two levels. A pair that shares
-    several cells is kept in the one holding the lower left corner of the common box.
+    Areas are listed under the cells of their bounds at their own level, and those of the other side
+    at that level or a coarser one, by two joins: a pair meets at the coarser of its two levels. A pair
+    that shares several cells is kept in the one holding the lower left corner of the common box.
     """
     if left_id == right_id:
         raise ValueError("the two id columns need different names")
@@ -198,28 +198,44 @@ def areas_intersect_join(
         sides.append(sides[-1] * LEVEL_RATIO)
     side_list = "array(" + ", ".join(f"{s!r}D" for s in sides) + ")"
 
-    def listed(tag: str) -> DataFrame:
+    def listed(tag: str, levels: str) -> DataFrame:
         own = f"size(filter({side_list}, s -> 4 * s < {extent}))"
-        placed = (
-            boxes[tag].selectExpr("*", f"{own} AS own")
-            .selectExpr("*", f"explode(sequence(own, {len(sides) - 1})) AS _level")
+        return (
+            boxes[tag].selectExpr("id", "_xmin", "_ymin", "_xmax", "_ymax", f"{own} AS own")
+            .selectExpr("*", f"explode({levels}) AS _level")
             .selectExpr("*", f"{side_list}[_level] AS _side")
             .selectExpr("*", "explode(sequence(floor(_xmin / _side), floor(_xmax / _side))) AS _cx")
             .selectExpr("*", "explode(sequence(floor(_ymin / _side), floor(_ymax / _side))) AS _cy")
-        )
-        return placed.selectExpr(
-            "_level", "_cx", "_cy",
-            "struct(id, own, _side AS side, _xmin AS x0, _ymin AS y0, _xmax AS x1, _ymax AS y1, ring)"
-            f" AS {tag}",
+            .selectExpr(
+                "_level", "_cx", "_cy",
+                f"struct(id, _side AS side, _xmin AS x0, _ymin AS y0, _xmax AS x1, _ymax AS y1) AS {tag}",
+            )
         )
 
+    own_level, top = "array(own)", len(sides) - 1
+    own_or_coarser = f"sequence(own, {top})"
+    coarser = f"CASE WHEN own < {top} THEN sequence(own + 1, {top}) ELSE CAST(array() AS array<int>) END"
     keys = ["_level", "_cx", "_cy"]
-    a, b = spread_hot_keys(listed("l"), listed("r"), keys, ["l.id"])
     x0, y0 = "greatest(l.x0, r.x0)", "greatest(l.y0, r.y0)"
     x1, y1 = "least(l.x1, r.x1)", "least(l.y1, r.y1)"
-    pairs = a.join(b, [*keys, "_salt"]).filter(
-        f"""_level = greatest(l.own, r.own) AND {x0} <= {x1} AND {y0} <= {y1}
-            AND _cx = floor({x0} / l.side) AND _cy = floor({y0} / l.side)"""
+
+    def meeting(l_levels: str, r_levels: str) -> DataFrame:
+        a, b = spread_hot_keys(listed("l", l_levels), listed("r", r_levels), keys, ["l.id"])
+        return a.join(b, [*keys, "_salt"]).filter(
+            f"{x0} <= {x1} AND {y0} <= {y1} AND _cx = floor({x0} / l.side) AND _cy = floor({y0} / l.side)"
+        ).select("l", "r")
+
+    # one side only at its own level, so that small areas do not meet each other in coarse cells
+    met = meeting(own_level, own_or_coarser).unionByName(meeting(coarser, own_level))
+    # rings join the pairs whose boxes meet; an area that meets very many is repeated in pieces
+    pairs = met
+    for tag, other in (("l", "r"), ("r", "l")):
+        rings = boxes[tag].selectExpr(f"id AS _{tag}id", f"ring AS _{tag}ring")
+        pairs = meet(
+            pairs.selectExpr("*", f"{tag}.id AS _{tag}id", f"{other}.id AS _{other}key"), rings, [f"_{tag}id"], [f"_{other}key"], False
+        ).drop(f"_{tag}id", f"_{other}key")
+    pairs = pairs.selectExpr(
+        "struct(l.*, _lring AS ring) AS l", "struct(r.*, _rring AS ring) AS r"
     )
 
     def edges_in_common_box(ring: str) -> str:

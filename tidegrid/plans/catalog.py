@@ -229,8 +229,8 @@ def s11_flag(spark, sf):
 @query("s12_run_log")
 def s12(spark, sf):
     path = work_path(spark, "s12")
-    runlog.append_run(flagged(spark, sf), path, RUN_TS)
-    runlog.append_run(flagged(spark, sf, areas(spark, sf)), path, LATER_TS)
+    runlog.append_run(flagged(spark, sf), path, RUN_TS, run_id="first", seconds=1.5)
+    runlog.append_run(flagged(spark, sf, areas(spark, sf)), path, LATER_TS, run_id="second", seconds=2.0)
     return runlog.run_history(spark, path).withColumn("run_date", F.expr(text.iso_timestamp("run_date")))
 
 
@@ -246,7 +246,7 @@ def s13(spark, sf):
 def s14(spark, sf):
     path = work_path(spark, "s14")
     flagged(spark, sf).write.parquet(path)
-    return merge.rewrite_without(spark, path, f"{path}-next", reports.FLAG).select("citizen_id", "name")
+    return merge.rewrite_without(spark, path, reports.FLAG).select("citizen_id", "name")
 
 
 @query("s15_medallion")
@@ -514,7 +514,7 @@ def a2(spark, sf):
 
 @query("a3_filtered_counts")
 def a3(spark, sf):
-    return reports.run_record(flagged(spark, sf), RUN_TS).drop("run_date")
+    return reports.run_record(flagged(spark, sf), RUN_TS).drop("run_date", "run_id", "processing_time_seconds")
 
 
 @query("a4_share")

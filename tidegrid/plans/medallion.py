@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from tidegrid.operators.cleaning import clean_areas, clean_citizens, keep_column
 from tidegrid.operators.contracts import CITIZENS, FLOODING_AREAS, conform
 from tidegrid.operators.merge import refresh
 from tidegrid.operators.reports import status_share
+from tidegrid.session import replace_table
 from tidegrid.sources import layers
 from tidegrid.sources.runlog import append_run
 
@@ -38,6 +40,7 @@ def run(
     The classified pairs are written once, split by status, and the three published tables
     are made from them, so that the join runs once.
     """
+    started = time.monotonic()
     silver_citizens, bad_citizens = clean_citizens(raw_citizens, order, run_ts)
     silver_areas, bad_areas = clean_areas(raw_areas, order, run_ts)
     layers.write_layer(silver_citizens, base, "silver", f"silver_{layers.CITIZENS}")
@@ -60,10 +63,10 @@ def run(
     )
 
     loaded = load_citizens(affected, unaffected, current)
-    layers.write_layer(loaded, base, "tables", "citizens")
-    layers.write_layer(conform(areas, FLOODING_AREAS), base, "tables", "flooding_areas")
-    table = layers.read_layer(spark, base, "tables", "citizens")
-    append_run(table, f"{base}/tables/pipeline_runs.parquet", run_ts)
+    # the current table may be the one that is replaced
+    table = replace_table(loaded, layers.layer_path(base, "tables", "citizens"))
+    replace_table(conform(areas, FLOODING_AREAS), layers.layer_path(base, "tables", "flooding_areas"))
+    append_run(table, f"{base}/tables/pipeline_runs.parquet", run_ts, seconds=round(time.monotonic() - started, 3))
     return Published(
         affected, unaffected, evaluated, table, layers.read_layer(spark, base, "tables", "flooding_areas")
     )

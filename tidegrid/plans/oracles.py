@@ -359,9 +359,10 @@ ORACLES: dict[str, str] = {
         FROM table_before AS b LEFT JOIN table_now AS n ON b.citizen_id = n.citizen_id""", "table_now", "table_before"),
     "s12_run_log": sql("""SELECT '2024-07-01T02:00:00' AS run_date, count(*) AS total_citizens,
         count(*) FILTER (WHERE affected_by_flooding) AS affected_citizens,
-        count(*) FILTER (WHERE NOT affected_by_flooding) AS unaffected_citizens, 'success' AS status FROM table_now
+        count(*) FILTER (WHERE NOT affected_by_flooding) AS unaffected_citizens, 'success' AS status, 'first' AS run_id,
+        15e-1 AS processing_time_seconds FROM table_now
         UNION ALL SELECT '2024-07-02T02:00:00', count(*), count(*) FILTER (WHERE affected_by_flooding),
-        count(*) FILTER (WHERE NOT affected_by_flooding), 'success' FROM table_later""", "table_now", "table_later"),
+        count(*) FILTER (WHERE NOT affected_by_flooding), 'success', 'second', 2e0 FROM table_later""", "table_now", "table_later"),
     "s13_sample_citizens": sql("SELECT * FROM sample", "sample"),
     "s14_delete_rows": sql("SELECT citizen_id, name FROM table_now WHERE NOT affected_by_flooding", "table_now"),
     "s15_medallion": sql(f"SELECT {_SHARE} FROM silver_pairs", "silver_pairs"),

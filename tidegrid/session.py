@@ -47,6 +47,27 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def replace_table(df: DataFrame, path: str) -> DataFrame:
+    """``df`` in the place of the table at ``path``, which it may itself be made from.
+
+    Written next to it first, then switched by two renames, so a job that dies in the writing leaves
+    the old table, and one that dies in between leaves both beside each other.
+    """
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex[:12]
+    fresh, old = f"{path}-next-{mark}", f"{path}-old-{mark}"
+    df.write.parquet(fresh)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(place(path)) and not fs.rename(place(path), place(old)):
+        raise OSError(f"{path} cannot be moved aside")
+    if not fs.rename(place(fresh), place(path)):
+        raise OSError(f"{fresh} cannot take the place of {path}")
+    fs.delete(place(old), True)
+    spark.catalog.refreshByPath(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 

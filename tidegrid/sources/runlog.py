@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegrid.operators.reports import run_record
 
 
-def append_run(citizens: DataFrame, path: str, run_ts: str, status: str = "success") -> None:
-    run_record(citizens, run_ts, status).write.mode("append").parquet(path)
+def append_run(
+    citizens: DataFrame, path: str, run_ts: str, status: str = "success", run_id: str | None = None,
+    seconds: float | None = None,
+) -> None:
+    run_record(citizens, run_ts, status, run_id, seconds).write.mode("append").parquet(path)
 
 
 def run_history(spark: SparkSession, path: str) -> DataFrame:
