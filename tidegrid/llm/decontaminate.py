@@ -6,7 +6,7 @@ a random matrix; from that product the driver gets the leading right singular ve
 SVD in one pass, by Nystroem's formula). Its size is a constant: terms times dimensions.
 
 Benchmark items, in segments of at most 64 words, and windows of the documents of about the same
-length are projected on these vectors. A window whose cosine with a segment reaches a limit is a
+length are projected on these vectors, each weighted against how common it is. A window whose cosine with a segment reaches a limit is a
 candidate. For each candidate the longest common subsequence of words is taken between the segment
 and the text around the window. It is a leak if most of the segment is found in order, or somewhat
 less of it together with its answer, the words the segment ends with (or the item's own answer if a
@@ -40,15 +40,17 @@ from tidegrid.session import materialise
 
 #: Buckets that terms are hashed to in the TF-IDF matrix.
 TERMS = 1 << 13
-#: Random directions, of which ``KEPT`` leading ones stay.
+#: Dimensions of the latent space. Those whose singular value is a thousandth of the largest are left out.
 DIRECTIONS = 48
-KEPT = 40
+LEAST_VALUE = 1e-3
 #: Words of a passage of the TF-IDF matrix.
 PASSAGE = 64
 #: Window lengths in words; a segment is compared with the windows nearest to its length.
 SCALES = (16, 32, 64)
+#: Windows start every quarter of their length, which is a multiple of so many words.
+STEP = 4
 #: Least cosine of a candidate.
-COSINE = 0.7
+COSINE = 0.55
 #: Least share of a segment's words found in order: alone, and together with the answer.
 SHARE = 0.75
 SHARE_WITH_ANSWER = 0.6
@@ -119,8 +121,7 @@ def passage_counts(terms: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, total = np.zeros(TERMS, np.int64), 0
         for batch in batches:
-            arrays = (np.frombuffer(t.as_buffer(), "<u4") for t in batch.column(0))
-            for _, parts in _groups(arrays, 0):
+            for _, parts in _groups(arrays_of(batch.column(0)), 0):
                 _, buckets, _, passages = _passages(parts)
                 found += np.bincount(buckets, minlength=TERMS)
                 total += passages
@@ -146,8 +147,7 @@ def products(terms: DataFrame, idf: np.ndarray) -> DataFrame:
         weight, omega = shared.value, random_directions()
         y = np.zeros((TERMS, DIRECTIONS))
         for batch in batches:
-            arrays = (np.frombuffer(t.as_buffer(), "<u4") for t in batch.column(0))
-            for _, parts in _groups(arrays, 0):
+            for _, parts in _groups(arrays_of(batch.column(0)), 0):
                 rows, buckets, counts, passages = _passages(parts)
                 if not len(rows):
                     continue
@@ -172,16 +172,17 @@ def products(terms: DataFrame, idf: np.ndarray) -> DataFrame:
     return summed.agg(*[F.sum(n).alias(n) for n in names])
 
 
-def leading_vectors(y: np.ndarray, omega: np.ndarray) -> np.ndarray:
-    """Leading right singular vectors from ``y`` = A'A omega: Nystroem's formula for the matrix A'A."""
+def leading_vectors(y: np.ndarray, omega: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Leading right singular vectors and values from ``y`` = A'A omega: Nystroem's formula for the matrix A'A."""
     shift = 1e-7 * np.linalg.norm(y) + 1e-12
     y = y + shift * omega
     core = omega.T @ y
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     good = values > values.max() * 1e-10
     half = y @ (vectors[:, good] / np.sqrt(values[good]))
-    left, _, _ = np.linalg.svd(half, full_matrices=False)
-    return left[:, :KEPT]
+    left, values, _ = np.linalg.svd(half, full_matrices=False)
+    kept = values > values.max() * LEAST_VALUE
+    return left[:, kept], values[kept]
 
 
 @dataclass
@@ -252,49 +253,47 @@ class Searcher:
 
     def search(self, arrays: Iterator[np.ndarray]) -> Iterator[tuple[int, Segment, float, int, bool]]:
         """Number of the document, segment, cosine, common words and answer of every leak."""
-        reach = 2 * max(SCALES)
-        for owners, parts in _groups(arrays, reach):
-            lengths = np.array([len(p) for p in parts])
-            offsets = np.concatenate([[0], np.cumsum(lengths)])
-            words = np.concatenate(parts)
-            sums = np.zeros((len(words) + 1, self.vectors.shape[1]), np.float32)
-            np.cumsum(self.vectors[words & np.uint32(TERMS - 1)], axis=0, out=sums[1:])
+        table = np.vstack([self.vectors, np.zeros((1, self.vectors.shape[1]), np.float32)])
+        for owners, parts in _groups(arrays, 2 * max(SCALES)):
+            # windows start and end every STEP words, so sums over as many words are enough
+            counts = np.array([-(-len(p) // STEP) for p in parts])
+            offsets = np.concatenate([[0], np.cumsum(counts)])
+            ids = np.full((offsets[-1], STEP), TERMS, np.int64)
+            for p, part in enumerate(parts):
+                ids[offsets[p] : offsets[p + 1]].reshape(-1)[: len(part)] = part & np.uint32(TERMS - 1)
+            steps = table[ids[:, 0]]
+            for k in range(1, STEP):
+                steps += table[ids[:, k]]
+            sums = np.zeros((len(steps) + 1, table.shape[1]), np.float32)
+            np.cumsum(steps, axis=0, out=sums[1:])
             for scale, (rows, wanted) in self.by_scale.items():
-                yield from self._candidates(owners, offsets, words, sums, scale, rows, wanted)
-
-    def _candidates(self, owners, offsets, words, sums, scale, rows, wanted):
-        step = scale // 4
-        begins, ends, part_of = [], [], []
-        for p in range(len(owners)):
-            lo, hi = offsets[p], offsets[p + 1]
-            if hi - lo < LEAST_WORDS // 2:
-                continue
-            b = np.arange(lo, max(hi - scale, lo) + step, step)
-            b = np.minimum(b, max(hi - scale, lo))
-            begins.append(b)
-            ends.append(np.minimum(b + scale, hi))
-            part_of.append(np.full(len(b), p))
-        if not begins:
-            return
-        begins, ends, part_of = map(np.concatenate, (begins, ends, part_of))
-        at_once = max(1, 4_000_000 // len(rows))
+                yield from self._candidates(owners, parts, offsets, sums, scale, rows, wanted)
+
+    def _candidates(self, owners, parts, offsets, sums, scale, rows, wanted):
+        size, step = scale // STEP, scale // 4 // STEP
+        last = np.maximum(np.diff(offsets) - size, 0)  # start of the last window of each part
+        number = -(-last // step) + 1
+        part_of = np.repeat(np.arange(len(parts)), number)
+        begins = np.arange(len(part_of)) - np.repeat(np.cumsum(number) - number, number)
+        begins = np.minimum(begins * step, last[part_of]) + offsets[part_of]
+        ends = np.minimum(begins + size, offsets[part_of + 1])
+        at_once = max(1, 2_000_000 // len(rows))
         for at in range(0, len(begins), at_once):
             cut = slice(at, at + at_once)
             cosines = _unit(sums[ends[cut]] - sums[begins[cut]]) @ rows.T
             for w, s in zip(*np.nonzero(cosines >= COSINE), strict=True):
                 i, segment = at + w, wanted[s]
-                p, size = part_of[i], len(segment.words)
-                lo = max(offsets[p], begins[i] - size // 2)
-                hi = min(offsets[p + 1], ends[i] + size // 2)
-                near = words[lo:hi].tolist()
+                p, length = part_of[i], len(segment.words)
+                lo = max(0, (begins[i] - offsets[p]) * STEP - length // 2)
+                near = parts[p][lo : (ends[i] - offsets[p]) * STEP + length // 2].tolist()
                 # the common subsequence cannot be longer than the number of the segment's words here
-                if sum(map(segment.places.__contains__, near)) < SHARE_WITH_ANSWER * size:
+                if sum(map(segment.places.__contains__, near)) < SHARE_WITH_ANSWER * length:
                     continue
                 common = segment.common(near)
-                if common < SHARE_WITH_ANSWER * size:
+                if common < SHARE_WITH_ANSWER * length:
                     continue
                 answered = segment.answered(near)
-                if common >= SHARE * size or answered:
+                if common >= SHARE * length or answered:
                     yield owners[p], segment, float(cosines[w, s]), common, answered
 
 
@@ -303,17 +302,34 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return (rows / np.maximum(norms, 1e-9)[:, None]).astype(np.float32)
 
 
-def latent_vectors(docs: DataFrame, benchmark: DataFrame) -> np.ndarray:
-    """IDF-weighted projection of each term bucket, from all passages of documents and benchmark."""
-    texts = docs.select("text").unionByName(benchmark.select("text"))
+def with_terms(docs: DataFrame, keep: list[str], name: str) -> DataFrame:
+    """The columns ``keep`` with the terms of each text as 32-bit numbers, written to the shared folder."""
+    hidden = fresh([*keep, name], "_text")
+    given = docs.select(*[docs[f"`{c}`"] for c in keep], docs["`text`"].alias(hidden))
+    schema = T.StructType([f for f in given.schema.fields if f.name != hidden] + [T.StructField(name, T.BinaryType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = TermHashes()
         for batch in batches:
-            rows = [terms_of(t.as_py(), known).astype("<u4").tobytes() for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["terms"])
+            rows = [terms_of(t.as_py(), known).astype("<u4").tobytes() for t in batch.column(hidden)]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in keep], pa.array(rows, pa.binary())], names=schema.names
+            )
 
-    terms = materialise(texts.mapInArrow(run, "terms binary"), "terms")
+    return materialise(given.mapInArrow(run, schema), "terms")
+
+
+def arrays_of(column: pa.Array) -> Iterator[np.ndarray]:
+    return (np.frombuffer(t.as_buffer(), "<u4") for t in column)
+
+
+def latent_vectors(terms: DataFrame) -> np.ndarray:
+    """IDF-weighted projection of each term bucket, from the ``terms`` of all texts.
+
+    The first dimensions tell languages and kinds of text apart and are much alike in any two
+    passages of a kind; divided by the squares of the singular values, those that tell passages
+    apart decide.
+    """
     counts = {r["term"]: r["n"] for r in passage_counts(terms).collect()}
     total = counts.pop(-1, 0)
     found = np.zeros(TERMS)
@@ -323,7 +339,10 @@ def latent_vectors(docs: DataFrame, benchmark: DataFrame) -> np.ndarray:
     y = np.zeros((TERMS, DIRECTIONS))
     for row in products(terms, idf).collect():
         y[row["term"]] = row[1:]
-    return (leading_vectors(y, random_directions().astype(np.float64)) * idf[:, None]).astype(np.float32)
+    if not y.any():
+        return np.zeros((TERMS, 1), np.float32)
+    vectors, values = leading_vectors(y, random_directions().astype(np.float64))
+    return (vectors * idf[:, None] * (values[-1] / values) ** 2).astype(np.float32)
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list]:
@@ -335,24 +354,27 @@ def _blocks(benchmark: DataFrame) -> Iterator[list]:
         yield items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(number)) == k).collect()
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, vectors: np.ndarray | None = None) -> DataFrame:
+def _vectors_for(termed: DataFrame, name: str, benchmark: DataFrame) -> np.ndarray:
+    own = with_terms(benchmark, [], "terms")
+    return latent_vectors(termed.select(F.col(name).alias("terms")).unionByName(own))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document (its columns but ``text``) and item found in it."""
-    if vectors is None:
-        vectors = latent_vectors(docs, benchmark)
     kept = [c for c in docs.columns if c != "text"]
+    name = fresh(kept, "_terms")
+    termed = with_terms(docs, kept, name)
+    vectors = _vectors_for(termed, name, benchmark)
     extra = T.StructType.fromDDL("item_id long, cosine double, common_words int, segment_words int, answered boolean")
     schema = T.StructType([f for f in docs.schema.fields if f.name != "text"] + extra.fields)
     out = None
     for rows in _blocks(benchmark):
-        searcher = Searcher.build(vectors, _segments_of(rows))
-        shared = docs.sparkSession.sparkContext.broadcast(searcher)
+        shared = docs.sparkSession.sparkContext.broadcast(Searcher.build(vectors, _segments_of(rows)))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known = TermHashes()
             for batch in batches:
                 best = {}
-                arrays = (terms_of(t.as_py(), known) for t in batch.column("text"))
-                for row, s, cosine, common, answered in shared.value.search(arrays):
+                for row, s, cosine, common, answered in shared.value.search(arrays_of(batch.column(name))):
                     # of an item's matches in a document, the best: share found, cosine
                     rank = (common / len(s.words), cosine)
                     if (row, s.item) not in best or best[row, s.item][0] < rank:
@@ -367,7 +389,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, vectors: np.ndarray | None = No
                     [*[batch.column(c).take(at) for c in kept], *values], names=schema.names
                 )
 
-        found = docs.select(*kept, "text").mapInArrow(run, schema)
+        found = termed.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
@@ -380,20 +402,19 @@ def _segments_of(rows: list) -> list[Segment]:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with the columns of ``docs``."""
-    vectors = latent_vectors(docs, benchmark)
+    name = fresh(docs.columns, "_terms")
+    termed = with_terms(docs, docs.columns, name)
+    vectors = _vectors_for(termed, name, benchmark)
     for rows in _blocks(benchmark):
-        searcher = Searcher.build(vectors, _segments_of(rows))
-        shared = docs.sparkSession.sparkContext.broadcast(searcher)
+        shared = docs.sparkSession.sparkContext.broadcast(Searcher.build(vectors, _segments_of(rows)))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known = TermHashes()
             for batch in batches:
-                arrays = (terms_of(t.as_py(), known) for t in batch.column("text"))
-                hit = {row for row, *_ in shared.value.search(arrays)}
+                hit = {row for row, *_ in shared.value.search(arrays_of(batch.column(name)))}
                 yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        termed = termed.mapInArrow(run, termed.schema)
+    return termed.drop(name)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
