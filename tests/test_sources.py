@@ -208,3 +208,20 @@ def test_shared_dir_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", "")
     if named:
         assert shared_dir(spark) == named.rstrip("/")
+
+
+def test_wkb_of_missing_geometry(spark):
+    import struct
+
+    from tidegrid.functions.formats import point_wkb, ring_wkb
+
+    points = spark.createDataFrame([(1, 1.5, -2.0), (2, None, 1.0), (3, 0.0, None), (4, -0.25, 9.0)], "id int, lon double, lat double")
+    got = [r["w"] for r in points.select("id", point_wkb("lon", "lat").alias("w")).orderBy("id").collect()]
+    assert got[1] is None and got[2] is None
+    assert [bytes(g) for g in (got[0], got[3])] == [struct.pack("<BIdd", 1, 1, 1.5, -2.0), struct.pack("<BIdd", 1, 1, -0.25, 9.0)]
+    ring = [{"x": 0.0, "y": 0.5}, {"x": 1.0, "y": 0.0}, {"x": 0.0, "y": 0.5}]
+    rings = spark.createDataFrame([(1, ring), (2, None), (3, []), (4, ring[:2])], f"id int, ring {RING_TYPE}")
+    got = [r["w"] for r in rings.select("id", ring_wkb("ring").alias("w")).orderBy("id").collect()]
+    assert got[1] is None and bytes(got[2]) == struct.pack("<BIII", 1, 3, 1, 0)
+    assert bytes(got[0]) == struct.pack("<BIII", 1, 3, 1, 3) + struct.pack("<6d", 0.0, 0.5, 1.0, 0.0, 0.0, 0.5)
+    assert bytes(got[3]) == struct.pack("<BIII", 1, 3, 1, 2) + struct.pack("<4d", 0.0, 0.5, 1.0, 0.0)

@@ -1,12 +1,14 @@
 """Text and binary exchange forms: WKT, GeoJSON, WKB.
 
-As in the rest of the package, SQL text in and out; only the two WKB encoders are Pandas
-UDFs, as Spark has no built-in that turns a double into its bytes.
+As in the rest of the package, SQL text in and out; only the two WKB encoders are Arrow
+UDFs over whole batches, as Spark has no built-in that turns a double into its bytes.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
@@ -151,31 +153,46 @@ def wkb_ring(wkb: str) -> str:
     return let("w", f"hex({wkb})", let("k", heads, ring))
 
 
-@F.pandas_udf(BinaryType())
-def point_wkb(lon: pd.Series, lat: pd.Series) -> pd.Series:
-    """WKB Point, as a column of its own: ``select(point_wkb("lon", "lat"))``."""
-    import numpy as np
+def _binary(data: np.ndarray, lengths: np.ndarray, present: np.ndarray) -> pa.Array:
+    """Binary values that lie one after the other in ``data``; absent ones have length 0."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("<i4")
+    valid = np.packbits(present, bitorder="little")
+    return pa.Array.from_buffers(
+        pa.binary(), len(lengths), [pa.py_buffer(valid.tobytes()), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
+    )
+
 
+@F.arrow_udf(BinaryType())
+def point_wkb(lon: pa.Array, lat: pa.Array) -> pa.Array:
+    """WKB Point, as a column of its own: ``select(point_wkb("lon", "lat"))``."""
+    present = ~np.asarray(pc.or_(lon.is_null(), lat.is_null()))
     rows = np.empty(len(lon), dtype=[("order", "u1"), ("kind", "<u4"), ("x", "<f8"), ("y", "<f8")])
     rows["order"], rows["kind"] = 1, 1
-    rows["x"], rows["y"] = lon.to_numpy("float64"), lat.to_numpy("float64")
-    present = (lon.notna() & lat.notna()).to_numpy()
-    return pd.Series([r.tobytes() if ok else None for r, ok in zip(rows, present)])
-
-
-@F.pandas_udf(BinaryType())
-def vertices_wkb(xs: pd.Series, ys: pd.Series) -> pd.Series:
-    """WKB Polygon of one ring, given its x and y arrays."""
-    import struct
-
-    import numpy as np
-
-    def encode(x, y):
-        if x is None or y is None:
-            return None
-        return struct.pack("<BIII", 1, 3, 1, len(x)) + np.column_stack([x, y]).astype("<f8").tobytes()
-
-    return pd.Series([encode(x, y) for x, y in zip(xs, ys)])
+    rows["x"] = lon.cast("double").to_numpy(zero_copy_only=False)
+    rows["y"] = lat.cast("double").to_numpy(zero_copy_only=False)
+    return _binary(rows[present], np.where(present, rows.itemsize, 0), present)
+
+
+@F.arrow_udf(BinaryType())
+def vertices_wkb(xs: pa.Array, ys: pa.Array) -> pa.Array:
+    """WKB Polygon of one ring, given its x and y arrays of equal length."""
+    present = ~np.asarray(pc.or_(xs.is_null(), ys.is_null()))
+    counts = np.where(present, pc.fill_null(xs.value_lengths(), 0).to_numpy(), 0)
+    some = pa.array(present)
+    vertices = np.empty((counts.sum(), 2), "<f8")
+    vertices[:, 0] = xs.filter(some).flatten().to_numpy(zero_copy_only=False)
+    vertices[:, 1] = ys.filter(some).flatten().to_numpy(zero_copy_only=False)
+    heads = np.empty(present.sum(), dtype=[("order", "u1"), ("kind", "<u4"), ("rings", "<u4"), ("n", "<u4")])
+    heads["order"], heads["kind"], heads["rings"], heads["n"] = 1, 3, 1, counts[present]
+    lengths = np.where(present, heads.itemsize + vertices.itemsize * 2 * counts, 0)
+    starts = (np.cumsum(lengths) - lengths)[present]
+    data = np.empty(lengths.sum(), np.uint8)
+    data[starts[:, None] + np.arange(heads.itemsize)] = heads.view(np.uint8).reshape(-1, heads.itemsize)
+    kept = counts[present]
+    nth = np.arange(len(vertices)) - np.repeat(np.cumsum(kept) - kept, kept)
+    places = np.repeat(starts + heads.itemsize, kept) + 16 * nth
+    data[places[:, None] + np.arange(16)] = vertices.view(np.uint8).reshape(-1, 16)
+    return _binary(data, lengths, present)
 
 
 def ring_wkb(ring: str):
