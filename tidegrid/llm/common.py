@@ -40,8 +40,9 @@ def lookup(big: DataFrame, small: DataFrame, key: str, weight: Column, how: str
     """``big`` joined to the written table ``small``, which has each ``key`` once.
 
     ``weight`` is how many rows of ``big`` a row of ``small`` stands for. A small table is
-    broadcast. Otherwise keys with over 1/1000 of all rows are fewer than 1000: these are
-    broadcast, and only the rest is shuffled, so no task gets a hot key.
+    broadcast. Otherwise keys with over 1/1000 of all rows that match are fewer than 1000: these are
+    broadcast, and only the rest is shuffled, so no task gets a hot key of ``small``; one that ``small``
+    lacks is left to Spark, which splits it, as it is on the larger side of an ordinary join.
     """
     if is_small(small, F.lit(64 * len(small.columns))):
         return big.join(F.broadcast(small), key, how)
@@ -51,8 +52,12 @@ def lookup(big: DataFrame, small: DataFrame, key: str, weight: Column, how: str
     near = big.join(F.broadcast(hot.withColumn(hit, F.lit(True))), key, "left")
     found = near.filter(F.col(hit)).drop(hit)
     rest = near.filter(F.col(hit).isNull()).select(*big.columns)
-    rest = rest.join(small.filter(~(weight > F.lit(total / 1000))), key, how)
-    return found.unionByName(rest)
+    cold = small.filter(~(weight > F.lit(total / 1000)))
+    if how != "left":
+        return found.unionByName(rest.join(cold, key, how))
+    # rows without a key match nothing and need not meet in one task
+    keyed = rest.filter(F.col(key).isNotNull()).join(cold, key, how)
+    return found.unionByName(keyed).unionByName(rest.filter(F.col(key).isNull()), allowMissingColumns=True)
 
 
 def components(links: DataFrame, label: str = "components") -> DataFrame:
