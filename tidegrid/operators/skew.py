@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.session import materialise
+
 HOT_SHARE = 1024
 STREAM_SALTS = 16
 
@@ -28,15 +30,12 @@ def spread_hot_keys(
             big.withColumn("_salt", F.pmod(piece, salts).cast("int")),
             small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1)))),
         )
-    limit = big.count() / HOT_SHARE
-    hot = (
-        big.groupBy(*keys)
-        .count()
-        .filter(F.col("count") > limit)
-        .select(
-            *[F.col(k).alias(f"_hot{k}") for k in keys],
-            F.ceil(F.col("count") / F.lit(max(limit, 1.0))).cast("int").alias("_pieces"),
-        )
+    # the big side is run once for this, whatever it is made from
+    counts = materialise(big.groupBy(*keys).agg(F.count("*").alias("_rows")), "key-counts")
+    limit = (counts.agg(F.sum("_rows")).first()[0] or 0) / HOT_SHARE
+    hot = counts.filter(F.col("_rows") > limit).select(
+        *[F.col(k).alias(f"_hot{k}") for k in keys],
+        F.ceil(F.col("_rows") / F.lit(max(limit, 1.0))).cast("int").alias("_pieces"),
     )
     # null-safe: rows without a cell match nothing but must not all land in one task
     same_key = F.lit(True)
