@@ -43,6 +43,8 @@ TERMS = 1 << 13
 #: Dimensions of the latent space. Those whose singular value is a thousandth of the largest are left out.
 DIRECTIONS = 48
 LEAST_VALUE = 1e-3
+#: Terms that are so frequent that a matrix of their counts is worth while.
+FREQUENT = 1024
 #: Words of a passage of the TF-IDF matrix.
 PASSAGE = 64
 #: Window lengths in words; a segment is compared with the windows nearest to its length.
@@ -60,28 +62,35 @@ ANSWER_WORDS = 4
 LEAST_WORDS = 8
 #: Items that are broadcast at once.
 BLOCK = 20_000
-#: Words that are taken at once.
-WORDS_AT_ONCE = 100_000
+#: Words that are taken at once, in searching and in counting.
+SEARCHED_AT_ONCE = 32_000
+COUNTED_AT_ONCE = 64 * 1024
 
-WORD = re.compile(r"\w+")
+WORD = re.compile(r"\w(?:.*\w)?", re.DOTALL)
 KNOWN_WORDS = 500_000
 
 
 class TermHashes(dict):
-    def __missing__(self, word: str) -> int:
+    """Each word's number, 32 bits of hash of it in lower case without the marks around it; nothing for mere marks."""
+
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= KNOWN_WORDS:
             self.clear()
-        value = self[word] = xxh32_intdigest(word)
+        inner = WORD.search(word)
+        value = self[word] = xxh32_intdigest(inner[0].lower()).to_bytes(4, "little") if inner else b""
         return value
 
 
+def term_bytes(text: str | None, known: TermHashes) -> bytes:
+    return b"".join(map(known.__getitem__, (text or "").split()))
+
+
 def terms_of(text: str | None, known: TermHashes) -> np.ndarray:
-    words = WORD.findall((text or "").lower())
-    return np.fromiter(map(known.__getitem__, words), np.uint32, len(words))
+    return np.frombuffer(term_bytes(text, known), "<u4")
 
 
-def _groups(arrays: Iterator[np.ndarray], reach: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """Documents together up to ``WORDS_AT_ONCE`` words; longer ones in slices that overlap by ``reach``.
+def _groups(arrays: Iterator[np.ndarray], reach: int, size: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Documents together up to ``size`` words; longer ones in slices that overlap by ``reach``.
 
     Gives the parts and the number of the document of each.
     """
@@ -91,14 +100,14 @@ def _groups(arrays: Iterator[np.ndarray], reach: int) -> Iterator[tuple[list[int
     for number, words in enumerate(arrays):
         start = 0
         while True:
-            part = words[start : start + WORDS_AT_ONCE + reach]
-            if held and held + len(part) > WORDS_AT_ONCE + reach:
+            part = words[start : start + size + reach]
+            if held and held + len(part) > size + reach:
                 yield owners, parts
                 owners, parts, held = [], [], 0
             owners.append(number)
             parts.append(part)
             held += len(part)
-            start += WORDS_AT_ONCE
+            start += size
             if start >= len(words):
                 break
     if owners:
@@ -121,7 +130,7 @@ def passage_counts(terms: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, total = np.zeros(TERMS, np.int64), 0
         for batch in batches:
-            for _, parts in _groups(arrays_of(batch.column(0)), 0):
+            for _, parts in _groups(arrays_of(batch.column(0)), 0, COUNTED_AT_ONCE):
                 _, buckets, _, passages = _passages(parts)
                 found += np.bincount(buckets, minlength=TERMS)
                 total += passages
@@ -144,25 +153,35 @@ def products(terms: DataFrame, idf: np.ndarray) -> DataFrame:
     names = [f"y{i}" for i in range(DIRECTIONS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, omega = shared.value, random_directions()
-        y = np.zeros((TERMS, DIRECTIONS))
+        weight = shared.value
+        # a row of zeros for what fills up a passage
+        omega = np.vstack([random_directions() * weight[:, None], np.zeros((1, DIRECTIONS))]).astype(np.float32)
+        # what goes back to the most frequent terms, those of most words, is a product of matrices
+        frequent = np.argsort(weight, kind="stable")[:FREQUENT]
+        place = np.full(TERMS, -1, np.int64)
+        place[frequent] = np.arange(FREQUENT)
+        y = np.zeros((TERMS, DIRECTIONS), order="F")
         for batch in batches:
-            for _, parts in _groups(arrays_of(batch.column(0)), 0):
+            for _, parts in _groups(arrays_of(batch.column(0)), 0, COUNTED_AT_ONCE):
                 rows, buckets, counts, passages = _passages(parts)
-                if not len(rows):
+                if not passages:
                     continue
-                values = counts * weight[buckets]
-                norms = np.sqrt(np.bincount(rows, values * values, passages))
-                values = (values / np.maximum(norms[rows], 1e-9)).astype(np.float32)
-                starts = np.flatnonzero(np.diff(rows, prepend=-1))
-                projected = np.add.reduceat(values[:, None] * omega[buckets], starts)
-                # entries by term, to add up what goes to a term
-                order = np.argsort(buckets, kind="stable")
-                place = np.cumsum(np.diff(rows, prepend=rows[0]) != 0)[order]
-                back = values[order][:, None] * projected[place]
-                by_term = buckets[order]
-                firsts = np.flatnonzero(np.diff(by_term, prepend=-1))
-                y[by_term[firsts]] += np.add.reduceat(back, firsts)
+                squares = np.bincount(rows, (counts * weight[buckets]) ** 2, passages)
+                words, at = np.full(passages * PASSAGE, TERMS, np.int64), 0
+                for part in parts:
+                    words[at : at + len(part)] = part & np.uint32(TERMS - 1)
+                    at += -(-len(part) // PASSAGE) * PASSAGE
+                projected = omega.take(words, axis=0).reshape(passages, PASSAGE, DIRECTIONS).sum(axis=1)
+                projected /= np.maximum(squares, 1e-18)[:, None].astype(np.float32)
+                often = place[buckets]
+                usual, rare = often >= 0, often < 0
+                matrix = np.zeros((passages, FREQUENT), np.float32)
+                matrix[rows[usual], often[usual]] = counts[usual]
+                y[frequent] += matrix.T @ projected
+                by_term, row, times = buckets[rare], rows[rare], counts[rare].astype(np.float32)
+                for k, column in enumerate(projected.T.copy()):
+                    y[:, k] += np.bincount(by_term, column[row] * times, TERMS)
+        y *= weight[:, None]
         some = np.flatnonzero(y.any(axis=1))
         columns = [pa.array(some, pa.int32())] + [pa.array(y[some, i], pa.float64()) for i in range(DIRECTIONS)]
         yield pa.RecordBatch.from_arrays(columns, names=["term", *names])
@@ -254,47 +273,46 @@ class Searcher:
     def search(self, arrays: Iterator[np.ndarray]) -> Iterator[tuple[int, Segment, float, int, bool]]:
         """Number of the document, segment, cosine, common words and answer of every leak."""
         table = np.vstack([self.vectors, np.zeros((1, self.vectors.shape[1]), np.float32)])
-        for owners, parts in _groups(arrays, 2 * max(SCALES)):
-            # windows start and end every STEP words, so sums over as many words are enough
-            counts = np.array([-(-len(p) // STEP) for p in parts])
-            offsets = np.concatenate([[0], np.cumsum(counts)])
-            ids = np.full((offsets[-1], STEP), TERMS, np.int64)
+        longest = max(SCALES)
+        for owners, parts in _groups(arrays, 2 * longest, SEARCHED_AT_ONCE):
+            # Windows start and end every STEP words, so sums over as many words are enough. After each
+            # part come as many empty steps as a window has, so that none reaches into the next.
+            starts = np.concatenate([[0], np.cumsum([-(-len(p) // STEP) + longest // STEP for p in parts])])
+            ids = np.full(starts[-1] * STEP, TERMS, np.int64)
             for p, part in enumerate(parts):
-                ids[offsets[p] : offsets[p + 1]].reshape(-1)[: len(part)] = part & np.uint32(TERMS - 1)
-            steps = table[ids[:, 0]]
+                ids[starts[p] * STEP : starts[p] * STEP + len(part)] = part & np.uint32(TERMS - 1)
+            ids = ids.reshape(-1, STEP)
+            sums = table.take(ids[:, 0], axis=0)
             for k in range(1, STEP):
-                steps += table[ids[:, k]]
-            sums = np.zeros((len(steps) + 1, table.shape[1]), np.float32)
-            np.cumsum(steps, axis=0, out=sums[1:])
-            for scale, (rows, wanted) in self.by_scale.items():
-                yield from self._candidates(owners, parts, offsets, sums, scale, rows, wanted)
-
-    def _candidates(self, owners, parts, offsets, sums, scale, rows, wanted):
-        size, step = scale // STEP, scale // 4 // STEP
-        last = np.maximum(np.diff(offsets) - size, 0)  # start of the last window of each part
-        number = -(-last // step) + 1
-        part_of = np.repeat(np.arange(len(parts)), number)
-        begins = np.arange(len(part_of)) - np.repeat(np.cumsum(number) - number, number)
-        begins = np.minimum(begins * step, last[part_of]) + offsets[part_of]
-        ends = np.minimum(begins + size, offsets[part_of + 1])
-        at_once = max(1, 2_000_000 // len(rows))
-        for at in range(0, len(begins), at_once):
-            cut = slice(at, at + at_once)
-            cosines = _unit(sums[ends[cut]] - sums[begins[cut]]) @ rows.T
-            for w, s in zip(*np.nonzero(cosines >= COSINE), strict=True):
-                i, segment = at + w, wanted[s]
-                p, length = part_of[i], len(segment.words)
-                lo = max(0, (begins[i] - offsets[p]) * STEP - length // 2)
-                near = parts[p][lo : (ends[i] - offsets[p]) * STEP + length // 2].tolist()
-                # the common subsequence cannot be longer than the number of the segment's words here
-                if sum(map(segment.places.__contains__, near)) < SHARE_WITH_ANSWER * length:
-                    continue
-                common = segment.common(near)
-                if common < SHARE_WITH_ANSWER * length:
-                    continue
-                answered = segment.answered(near)
-                if common >= SHARE * length or answered:
-                    yield owners[p], segment, float(cosines[w, s]), common, answered
+                sums += table.take(ids[:, k], axis=0)
+            length = STEP
+            for scale in SCALES:
+                while length < scale:  # sums over twice as many words, at the places of the shorter ones
+                    sums[: len(sums) - length // STEP] += sums[length // STEP :].copy()
+                    length *= 2
+                if scale in self.by_scale:
+                    rows, wanted = self.by_scale[scale]
+                    step = scale // 4 // STEP
+                    yield from self._candidates(owners, parts, starts, sums[::step], step, scale, rows, wanted)
+
+    def _candidates(self, owners, parts, starts, windows, step, scale, rows, wanted):
+        least = COSINE * np.sqrt(np.einsum("ij,ij->i", windows, windows)) + 1e-12
+        cosines = windows @ rows.T
+        for hit in np.flatnonzero(cosines >= least[:, None]).tolist():
+            w, s = divmod(hit, len(wanted))
+            segment, length = wanted[s], len(wanted[s].words)
+            p = int(np.searchsorted(starts, w * step, "right")) - 1
+            begin = int(w * step - starts[p]) * STEP
+            near = parts[p][max(0, begin - length // 2) : begin + scale + length // 2].tolist()
+            # the common subsequence cannot be longer than the number of the segment's words here
+            if sum(map(segment.places.__contains__, near)) < SHARE_WITH_ANSWER * length:
+                continue
+            common = segment.common(near)
+            if common < SHARE_WITH_ANSWER * length:
+                continue
+            answered = segment.answered(near)
+            if common >= SHARE * length or answered:
+                yield owners[p], segment, float(cosines[w, s] / least[w] * COSINE), common, answered
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -311,7 +329,7 @@ def with_terms(docs: DataFrame, keep: list[str], name: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = TermHashes()
         for batch in batches:
-            rows = [terms_of(t.as_py(), known).astype("<u4").tobytes() for t in batch.column(hidden)]
+            rows = [term_bytes(t.as_py(), known) for t in batch.column(hidden)]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(rows, pa.binary())], names=schema.names
             )
