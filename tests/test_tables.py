@@ -83,6 +83,12 @@ def test_auto_types(spark):
     assert str(rows[0]["some"]) == "2024-01-01 00:00:00" and rows[1]["some"] is None
     assert (rows[0]["place"], rows[1]["place"], rows[2]["place"]) == ("centro", "sul", None)
     assert rows[0]["none"] == "nothing" and rows[0]["long"] == long_text
+    # what is no date stays as text beside the dates
+    assert [r["some_text"] for r in rows] == [None, "soon", None] and "place_text" not in out.columns
+    fixed = cleaning.auto_types(df, dates=["some"], lowercase=["long"])
+    assert fixed.columns == [*df.columns, "some_text"]
+    rows = fixed.orderBy("n").collect()
+    assert (rows[1]["some_text"], rows[0]["place"], rows[0]["long"]) == ("soon", "Centro", long_text.lower())
     named = cleaning.auto_types(df, dates=["place"])
     assert dict(named.dtypes)["place"] == "timestamp" and dict(named.dtypes)["some"] == "string"
 

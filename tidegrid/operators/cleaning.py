@@ -102,37 +102,48 @@ def clean_areas(raw: DataFrame, order: list[str], run_ts: str) -> tuple[DataFram
     return control_columns(standard_areas(first), run_ts), bad
 
 
-def text_profile(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int]]:
-    """For each text column: how many values read as dates, and the greatest length.
+def text_profile(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int, int]]:
+    """For each text column: how many values there are, how many read as dates, and the greatest length.
 
     One pass over the data, one row back.
     """
     if not columns:
         return {}
     row = df.selectExpr(
+        *[f"count(`{c}`) AS `n_{c}`" for c in columns],
         *[f"count({try_parse_date(f'`{c}`')}) AS `d_{c}`" for c in columns],
         *[f"coalesce(max(length(`{c}`)), 0) AS `l_{c}`" for c in columns],
     ).first()
-    return {c: (row[f"d_{c}"], row[f"l_{c}"]) for c in columns}
+    return {c: (row[f"n_{c}"], row[f"d_{c}"], row[f"l_{c}"]) for c in columns}
 
 
-def auto_types(df: DataFrame, dates: list[str] | None = None, skip: tuple[str, ...] = ()) -> DataFrame:
+def auto_types(
+    df: DataFrame, dates: list[str] | None = None, skip: tuple[str, ...] = (), lowercase: list[str] | None = None
+) -> DataFrame:
     """Dates and lower case for text columns.
 
-    A text column with at least one value that reads as a date becomes a timestamp, its other
-    values null; ``dates`` names the date columns instead of looking. Any other text column goes
-    to lower case if its longest value has fewer than 100 characters.
+    A text column with at least one value that reads as a date becomes a timestamp; text in it that is
+    no date is kept in a column ``<name>_text``, so nothing is lost. Any other text column goes to lower
+    case if its longest value has fewer than 100 characters. Both are decided by the data; ``dates`` and
+    ``lowercase`` name the columns instead, and with both given the data are not looked at.
     """
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in skip]
-    profile = text_profile(df, text)
-    rules = {}
+    profile = None if dates is not None and lowercase is not None else text_profile(df, text)
+    rules, kept = {}, []
     for c in text:
-        n_dates, longest = profile[c]
+        values, n_dates, longest = profile[c] if profile is not None else (None, None, None)
         if (c in dates) if dates is not None else n_dates > 0:
             rules[c] = try_parse_date(f"`{c}`")
-        elif longest < LOWERCASE_BELOW:
+            if profile is None or n_dates < values:
+                kept.append(f"CASE WHEN {rules[c]} IS NULL THEN `{c}` END AS `{c}_text`")
+        elif (c in lowercase) if lowercase is not None else longest < LOWERCASE_BELOW:
             rules[c] = f"lower(`{c}`)"
-    return _standard(df, rules)
+    if not rules:
+        return df
+    return df.selectExpr(
+        *[f"{rules[c]} AS `{c}`" if c in rules else f"`{c}`" for c in df.columns],
+        *[k for k in kept if k.rsplit("`", 2)[1] not in df.columns],
+    )
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:

@@ -341,7 +341,7 @@ def p10(spark, sf):
     )
     return cleaning.auto_types(raw).selectExpr(
         "arrival", f"{text.iso_date('registration_date')} AS registration_date",
-        f"{text.iso_date('seen')} AS seen", "phone",
+        f"{text.iso_date('seen')} AS seen", "seen_text", "phone",
     )
 
 

@@ -384,7 +384,8 @@ ORACLES: dict[str, str] = {
     "p9_source_columns": sql("""SELECT citizen_id, '2024-07-01T02:00:00' AS _processed_date, 'csv' AS _source_type,
         'validated' AS _data_quality FROM people""", "people"),
     "p10_auto_dates": sql("""SELECT arrival, registration_date,
-        CASE WHEN arrival % 9 <> 0 THEN registration_date END AS seen, lower(phone) AS phone FROM raw_people""", "raw_people"),
+        CASE WHEN arrival % 9 <> 0 THEN registration_date END AS seen, CASE WHEN arrival % 9 = 0 THEN 'unknown' END AS seen_text,
+        lower(phone) AS phone FROM raw_people""", "raw_people"),
     "p11_auto_lowercase": """SELECT doc_id,
         CASE WHEN (SELECT max(length(text)) FROM documents) < 100 THEN lower(text) ELSE text END AS text,
         lower(lang) AS lang, lower(source) AS source FROM documents""",
