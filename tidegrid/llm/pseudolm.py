@@ -119,35 +119,36 @@ class Network:
     def step(self, words: np.ndarray, around: np.ndarray, seen: list[np.ndarray]) -> None:
         """One batch of gradient ascent on the log-probabilities; ``seen`` has the squares summed so far."""
         n = len(words)
+        order = np.argsort(words, kind="stable")  # words of a class together
+        words, around = words[order], around[order]
         h = self.hidden(around)
         kind, inner = words // PER_CLASS, words % PER_CLASS
-        rows = np.arange(n)
         up_class = -_softmax(h @ self.to_class + self.class_bias)
-        up_class[rows, kind] += 1
-        blocks = self.to_word[kind]
-        up_word = -_softmax(np.matmul(h[:, None, :], blocks)[:, 0] + self.word_bias[kind])
-        up_word[rows, inner] += 1
-        up_h = up_class @ self.to_class.T + np.matmul(blocks, up_word[:, :, None])[:, :, 0]
-        up_in = up_h * (1 - h * h)
-        order = np.argsort(kind, kind="stable")
-        firsts = np.flatnonzero(np.diff(kind[order], prepend=-1))
-        hit = kind[order][firsts]
-        outer = h[order][:, :, None] * up_word[order][:, None, :]
-        _climb(self.to_class, slice(None), h.T @ up_class / n, seen[2])
-        _climb(self.class_bias, slice(None), up_class.mean(axis=0), seen[3])
-        _climb(self.to_word, hit, np.add.reduceat(outer, firsts) / n, seen[4])
-        _climb(self.word_bias, hit, np.add.reduceat(up_word[order], firsts) / n, seen[5])
-        _climb(self.base, slice(None), up_in.mean(axis=0), seen[1])
-        for k in range(2 * REACH):
-            order = np.argsort(around[:, k], kind="stable")
-            ids = around[order, k]
-            firsts = np.flatnonzero(np.diff(ids, prepend=-1))
-            _climb(self.near[k], ids[firsts], np.add.reduceat(up_in[order], firsts) / n, seen[0][k])
-
-
-def _climb(part: np.ndarray, where, slope: np.ndarray, seen: np.ndarray) -> None:
-    seen[where] += slope * slope
-    part[where] += RATE * slope / (np.sqrt(seen[where]) + 1e-6)
+        up_class[np.arange(n), kind] += 1
+        up_h = up_class @ self.to_class.T
+        to_word, word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
+        stops = np.searchsorted(kind, np.arange(CLASSES + 1))
+        for c in range(CLASSES):
+            cut = slice(stops[c], stops[c + 1])
+            size = stops[c + 1] - stops[c]
+            if size:
+                up = -_softmax(h[cut] @ self.to_word[c] + self.word_bias[c])
+                up[np.arange(size), inner[cut]] += 1
+                to_word[c] = h[cut].T @ up
+                word_bias[c] = up.sum(axis=0)
+                up_h[cut] += up @ self.to_word[c].T
+        up_in = (up_h * (1 - h * h)).ravel()
+        columns = np.arange(HIDDEN)
+        near = np.stack([
+            np.bincount((around[:, k, None] * HIDDEN + columns).ravel(), up_in, (WORDS + 1) * HIDDEN)
+            for k in range(2 * REACH)
+        ]).reshape(self.near.shape)
+        base = up_in.reshape(h.shape).sum(axis=0)
+        slopes = [near, base, h.T @ up_class, up_class.sum(axis=0), to_word, word_bias]
+        for part, slope, squares in zip(self.parts(), slopes, seen, strict=True):
+            slope = (slope / n).astype(np.float32)
+            squares += slope * slope
+            part += RATE * slope / (np.sqrt(squares) + 1e-6)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
