@@ -67,7 +67,7 @@ SEARCHED_AT_ONCE = 32_000
 COUNTED_AT_ONCE = 64 * 1024
 
 WORD = re.compile(r"\w(?:.*\w)?", re.DOTALL)
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 
 
 class TermHashes(dict):

@@ -56,7 +56,7 @@ M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.ui
 SMALL = 24
 BLOCK = 250_000
 #: Words whose hash a Python worker keeps.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
