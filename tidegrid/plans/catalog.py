@@ -900,9 +900,9 @@ def f21(spark, sf):
 
 
 def _drop_frames(spark, sf):
-    """Three drops: everyone, then those without a phone, then those up north, renamed."""
+    """Three drops: six of seven, then those without a phone, then those up north, renamed."""
     people = citizens(spark, sf)
-    for n, who in enumerate(("true", "phone IS NULL", "lat > -29.95D"), start=1):
+    for n, who in enumerate(("citizen_id % 7 <> 0", "phone IS NULL", "lat > -29.95D"), start=1):
         yield people.filter(who).selectExpr(
             "citizen_id", f"name || ' v{n}' AS name", "lon", "lat", f"{n} AS drop_no"
         )
@@ -960,6 +960,9 @@ def t4(spark, sf):
     base = work_path(spark, "t4")
     for frame in _drop_frames(spark, sf):
         frame.write.mode("append").parquet(f"{base}/inbox")
-        stream = drops.first_seen(drops.watch_parquet(spark, f"{base}/inbox", DROP_SCHEMA), ["citizen_id"])
+        dated = drops.watch_parquet(spark, f"{base}/inbox", DROP_SCHEMA).selectExpr(
+            "*", "timestamp_seconds(drop_no * 86400L) AS seen_at"
+        )
+        stream = drops.first_seen(dated, ["citizen_id"], "seen_at", "90 days")
         drops.append_to(stream, f"{base}/table", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/table").select("citizen_id", "name", "drop_no")

@@ -289,7 +289,7 @@ def _sample(table: str, key: str) -> str:
 _cte("sample", _sample("customer", "c_custkey"))
 _cte("more_sample", _sample("supplier", "s_suppkey"))
 
-_cte("drops", """SELECT citizen_id, name || ' v1' AS name, lon, lat, 1 AS drop_no FROM people
+_cte("drops", """SELECT citizen_id, name || ' v1' AS name, lon, lat, 1 AS drop_no FROM people WHERE citizen_id % 7 <> 0
     UNION ALL SELECT citizen_id, name || ' v2', lon, lat, 2 FROM people WHERE phone IS NULL
     UNION ALL SELECT citizen_id, name || ' v3', lon, lat, 3 FROM people WHERE lat > -29.95e0""", "people")
 
@@ -540,5 +540,6 @@ ORACLES: dict[str, str] = {
         FROM drops AS d LEFT JOIN hits AS h ON d.citizen_id = h.citizen_id""", "drops", "hits"),
     "t3_merged_drops": sql("""SELECT citizen_id, name, drop_no FROM (SELECT *, row_number() OVER
         (PARTITION BY citizen_id ORDER BY drop_no DESC) AS rn FROM drops) AS r WHERE rn = 1""", "drops"),
-    "t4_first_seen": sql("SELECT citizen_id, name, drop_no FROM drops WHERE drop_no = 1", "drops"),
+    "t4_first_seen": sql("""SELECT citizen_id, name, drop_no FROM (SELECT *, row_number() OVER
+        (PARTITION BY citizen_id ORDER BY drop_no) AS rn FROM drops) AS r WHERE rn = 1""", "drops"),
 }
