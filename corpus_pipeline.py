@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegrid.llm import bpe, decontaminate, neardup, quality, toxicity
-from tidegrid.llm.common import table
+from tidegrid.llm.common import small_batches, table
 from tidegrid.session import materialise
 
 
@@ -25,6 +25,7 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of exact or near copies."""
+    small_batches(spark)
     return neardup.keep_one(docs)
 
 
@@ -35,6 +36,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def byte_pairs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded bytes of every document left."""
+    small_batches(spark)
     path, pattern = bpe.multilingual()
     return bpe.encode_column(docs, path, pattern, keep=["doc_id"], with_ids=False)
 

@@ -247,6 +247,7 @@ def encode_column(
                 flat = pa.concat_arrays(all_ids) if all_ids else pa.array([], pa.int32())
                 columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        model.known.clear()  # the worker may wait for its next task long after
 
     return given.mapInArrow(run, schema)
 

@@ -12,8 +12,19 @@ from tidegrid.session import materialise
 #: A table up to this many bytes may be broadcast; it is measured before.
 BROADCAST_BYTES = 16 << 20
 
+#: Rows of an Arrow batch between Spark and Python.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """At most ``BATCH_ROWS`` rows in an Arrow batch of this session: texts can be long, and a worker holds a few batches."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
