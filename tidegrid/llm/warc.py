@@ -249,17 +249,20 @@ def _valid_at(data: bytes, at: int) -> bool:
 
 
 def _next_valid(data: bytes, start: int) -> int:
-    """The next place from ``start`` on where reading can go on; the end if there is none."""
-    member, line = data.find(GZIP, start), data.find(b"\n" + VERSION, max(start - 1, 0))
+    """The next place from ``start`` on where reading can go on; the end if there is none.
+
+    After a cut a version line need not stand at the start of a line.
+    """
+    member, line = data.find(GZIP, start), data.find(VERSION, start)
     while member >= 0 or line >= 0:
-        if member >= 0 and (line < 0 or member < line + 1):
+        if member >= 0 and (line < 0 or member < line):
             if _valid_at(data, member):
                 return member
             member = data.find(GZIP, member + 1)
         else:
-            if _valid_at(data, line + 1):
-                return line + 1
-            line = data.find(b"\n" + VERSION, line + 1)
+            if _valid_at(data, line):
+                return line
+            line = data.find(VERSION, line + 1)
     return len(data)
 
 
