@@ -88,3 +88,10 @@ def test_odd_rows(docs_of):
     assert {g[1] for g in got} == {0, 1, 10, 70_000} and all(g[2] <= 0 for g in got)
     net, words = lm.train(docs.limit(0))
     assert lm.score(words, net).collect() == []
+
+
+def test_every_word_is_a_target_once(docs_of):
+    rows = [(n, " ".join(f"w{(n * k) % 50}" for k in range(n))) for n in range(1, 40)]
+    net, words = lm.train(docs_of(rows))
+    seen = [lm.trained_parts(words, net, turn).filter("at = -1").first() for turn in range(lm.ROUNDS)]
+    assert sum(r["value"] for r in seen if r) == sum(n for n, _ in rows)

@@ -9,8 +9,9 @@ probabilities of all its words.
 Words are counted over the whole corpus. The most frequent have a place of their own in the
 vocabulary, the others share some by hash. Training is spread: in each round every task starts from
 the same parameters, goes through its own part of the corpus in small batches, and Spark averages the
-results, weighted by the words seen. A round takes every eighth word of every document as a target, so
-training grows with the corpus as scoring does. Vocabulary and parameters have a fixed size.
+results, weighted by the words seen. A round takes every second word of every document as a target and
+the next round the others, so each word of the corpus is predicted once in training. Vocabulary and
+parameters have a fixed size.
 
 The average is a sum of doubles whose order Spark does not fix; parameters are rounded to single
 precision afterwards, so scores of two runs agree to about six digits.
@@ -44,9 +45,9 @@ SHARED = 64
 #: Neighbours on each side, and the width of the hidden layer.
 REACH = 2
 HIDDEN = 24
-ROUNDS = 2
-#: One in so many words is a target in a round.
-STRIDE = 8
+#: One in so many words is a target in a round; a round for each offset, so that every word is one.
+STRIDE = 2
+ROUNDS = STRIDE
 BATCH = 1024
 RATE = 0.1
 #: Words taken at once when scoring.
@@ -128,15 +129,26 @@ class Network:
         up_h = up_class @ self.to_class.T
         to_word, word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
         stops = np.searchsorted(kind, np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        sizes = np.diff(stops)
+        few = sizes <= n // CLASSES
+        for c in np.flatnonzero(~few):
             cut = slice(stops[c], stops[c + 1])
-            size = stops[c + 1] - stops[c]
-            if size:
-                up = -_softmax(h[cut] @ self.to_word[c] + self.word_bias[c])
-                up[np.arange(size), inner[cut]] += 1
-                to_word[c] = h[cut].T @ up
-                word_bias[c] = up.sum(axis=0)
-                up_h[cut] += up @ self.to_word[c].T
+            up = -_softmax(h[cut] @ self.to_word[c] + self.word_bias[c])
+            up[np.arange(sizes[c]), inner[cut]] += 1
+            to_word[c] = h[cut].T @ up
+            word_bias[c] = up.sum(axis=0)
+            up_h[cut] += up @ self.to_word[c].T
+        some = np.flatnonzero(few[kind])
+        if len(some):  # classes of few words at once, filled up with zeros to the largest of them
+            at = kind[some], some - stops[kind[some]]
+            filled = np.zeros((CLASSES, sizes[few].max(), HIDDEN), np.float32)
+            filled[at] = h[some]
+            up = -_softmax(filled @ self.to_word + self.word_bias[:, None])
+            up[*at, inner[some]] += 1
+            up[np.arange(up.shape[1]) >= np.where(few, sizes, 0)[:, None]] = 0
+            to_word += filled.transpose(0, 2, 1) @ up
+            word_bias += up.sum(axis=1)
+            up_h[some] += (up @ self.to_word.transpose(0, 2, 1))[at]
         up_in = (up_h * (1 - h * h)).ravel()
         columns = np.arange(HIDDEN)
         near = np.stack([
@@ -152,8 +164,8 @@ class Network:
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
+    x = np.exp(x - x.max(axis=-1, keepdims=True))
+    return x / x.sum(axis=-1, keepdims=True)
 
 
 def _picked(x: np.ndarray, which: np.ndarray) -> np.ndarray:
