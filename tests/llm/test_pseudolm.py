@@ -95,3 +95,29 @@ def test_every_word_is_a_target_once(docs_of):
     net, words = lm.train(docs_of(rows))
     seen = [lm.trained_parts(words, net, turn).filter("at = -1").first() for turn in range(lm.ROUNDS)]
     assert sum(r["value"] for r in seen if r) == sum(n for n, _ in rows)
+
+
+def test_words_of_a_place_share_its_probability(docs_of):
+    rows = [(n, " ".join([f"often{k}" for k in range(lm.KNOWN)] * 3)) for n in range(2)]
+    rows += [(2, "rare " * 5), (3, "rare seldom"), (4, "often1 gibberish"), (4, "often1 gibberish"), (None, None), (6, "")]
+    counts, words, frequency = lm.prepared(docs_of(rows))
+    n = {"rare": 6, "seldom": 1, "gibberish": 2}
+    hashes = {w: lm.Places()[w] for w in n}
+    assert {r["hash"] % 2**64 for r in counts.filter("word IN ('rare', 'seldom', 'gibberish')").select(lm.hash_of("word").alias("hash")).collect()} == set(hashes.values())
+    in_place = np.zeros(lm.SHARED)
+    for w, h in hashes.items():
+        in_place[h % lm.SHARED] += n[w]
+    assert np.array_equal(frequency[lm.KNOWN :], in_place)
+    share = {w: np.log(n[w] / (in_place[h % lm.SHARED] + 1)) for w, h in hashes.items()}
+    net = lm.Network.start(frequency)
+    of_places = {r["doc_id"]: r["score"] for r in lm.score(words, net).collect()}
+    extra = {0: 0, 1: 0, 2: 5 * share["rare"], 3: share["rare"] + share["seldom"], 4: share["gibberish"], None: 0, 6: 0}
+    got = lm.word_scores(words, net, counts, frequency).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["score"] == pytest.approx(of_places[r["doc_id"]] + extra[r["doc_id"]])
+        assert r["mean_score"] == (r["score"] / r["n_words"] if r["n_words"] else None)
+    # a word that the corpus does not have costs as much as one seen once
+    others = counts.filter("word <> 'gibberish'")
+    unseen = {r["doc_id"]: r["score"] for r in lm.word_scores(words, net, others, frequency).collect()}
+    assert unseen[4] == pytest.approx(of_places[4] - np.log(in_place[hashes["gibberish"] % lm.SHARED] + 1))

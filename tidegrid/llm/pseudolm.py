@@ -7,7 +7,10 @@ thousand words cost that of sixty-four. The score of a document is the sum of th
 probabilities of all its words.
 
 Words are counted over the whole corpus. The most frequent have a place of their own in the
-vocabulary, the others share some by hash. Training is spread: in each round every task starts from
+vocabulary, the others share some by hash. The network predicts the place; the word's probability is
+that of its place times the word's share of it, its count among all of the place and one more, which
+stands for words never seen. The counts are joined to the words by a hash of 63 bits; words with equal
+hashes count as one. Training is spread: in each round every task starts from
 the same parameters, goes through its own part of the corpus in small batches, and Spark averages the
 results, weighted by the words seen. A round takes every second word of every document as a target and
 the next round the others, so each word of the corpus is predicted once in training. Vocabulary and
@@ -30,9 +33,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh32_intdigest
+from xxhash import xxh64_intdigest
 
 from tidegrid.llm.common import table
 from tidegrid.session import materialise
@@ -42,6 +46,7 @@ PER_CLASS = 32
 WORDS = CLASSES * PER_CLASS
 #: Places of the vocabulary that infrequent words share.
 SHARED = 64
+KNOWN = WORDS - SHARED
 #: Neighbours on each side, and the width of the hidden layer.
 REACH = 2
 HIDDEN = 24
@@ -195,26 +200,46 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Places(dict):
-    """Place of each word in the vocabulary; infrequent ones by hash."""
+    """Place of each frequent word in the vocabulary; for others a hash from ``WORDS`` on, as ``hash_of`` gives it."""
 
     def __missing__(self, word: str) -> int:
-        return WORDS - SHARED + xxh32_intdigest(word) % SHARED
+        return xxh64_intdigest(word, 42) | WORDS
+
+
+def hash_of(word: str) -> Column:
+    return F.xxhash64(word).bitwiseOR(F.lit(WORDS))
 
 
 def numbered_words(docs: DataFrame, places: Places) -> DataFrame:
-    """``doc_id`` and the words of every text as 16-bit numbers."""
+    """``doc_id``, a number of the row, the words of every text as 16-bit numbers, and its infrequent ones.
+
+    ``rare`` has the 64-bit hashes of the words without a place of their own, ``times`` how often each is there.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(places)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = shared.value.__getitem__
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            rows = []
+            rows, rare, times = [], [], []
             for text in batch.column(1):
                 words = WORD.findall(text.as_py() or "")
-                rows.append(np.fromiter(map(place, words), "<u2", len(words)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["doc_id", "words"])
+                numbers = np.fromiter(map(place, words), "<u8", len(words))
+                others = numbers >= WORDS
+                hashes, often = np.unique(numbers[others], return_counts=True)
+                numbers[others] = KNOWN + numbers[others] % SHARED
+                rows.append(numbers.astype("<u2").tobytes())
+                rare.append(hashes.tobytes())
+                times.append(often.astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.arange(row, row + len(rows))), *[pa.array(x, pa.binary()) for x in (rows, rare, times)]],
+                names=["doc_id", "row", "words", "rare", "times"],
+            )
+            row += len(rows)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, words binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, "doc_id long, row long, words binary, rare binary, times binary"
+    )
 
 
 def windows(words: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -280,18 +305,24 @@ def _train(network: Network, seen: list[np.ndarray], targets: list[np.ndarray],
     return len(words)
 
 
-def train(docs: DataFrame) -> tuple[Network, DataFrame]:
-    """The network, and the numbered words of all documents as written for it."""
+def prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """Counts of all words, the numbered words of all documents, and how often each place of the vocabulary occurs."""
     counts = materialise(word_counts(docs), "word-counts")
-    known = WORDS - SHARED
-    top = counts.orderBy(F.desc("n"), "word").limit(known).collect()
+    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
     places = Places((row["word"], i) for i, row in enumerate(top))
     words = materialise(numbered_words(docs, places), "numbered-words")
     frequency = np.zeros(WORDS)
     for i, row in enumerate(top):
         frequency[i] = row["n"]
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    frequency[known:] = (total - frequency.sum()) / SHARED
+    of_place = counts.groupBy(F.pmod(hash_of("word"), F.lit(SHARED)).alias("place")).agg(F.sum("n").alias("n"))
+    for row in of_place.collect():
+        frequency[KNOWN + row["place"]] = row["n"]
+    for row in top:
+        frequency[KNOWN + Places().__missing__(row["word"]) % SHARED] -= row["n"]
+    return counts, words, frequency
+
+
+def trained(words: DataFrame, frequency: np.ndarray) -> Network:
     network = Network.start(frequency)
     for turn in range(ROUNDS):
         summed = trained_parts(words, network, turn).toArrow()
@@ -301,17 +332,45 @@ def train(docs: DataFrame) -> tuple[Network, DataFrame]:
         flat = np.zeros(len(at) - 1)
         flat[at[at >= 0]] = value[at >= 0] / value[at < 0][0]
         network = network.filled(flat)
-    return network, words
+    return network
 
 
-def score(words: DataFrame, network: Network) -> DataFrame:
-    """``doc_id``, number of words, summed and mean log-probability of every document."""
+def train(docs: DataFrame) -> tuple[Network, DataFrame]:
+    """The network, and the numbered words of all documents as written for it."""
+    _, words, frequency = prepared(docs)
+    return trained(words, frequency), words
+
+
+def shares(words: DataFrame, counts: DataFrame, frequency: np.ndarray) -> DataFrame:
+    """``row`` and the summed logarithms of its infrequent words' shares of their places."""
+    totals = F.array(*[F.lit(float(np.log(n + 1))) for n in frequency[KNOWN:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 100):
+                part = batch.slice(low, 100)
+                rare = [np.frombuffer(r.as_buffer(), "<i8") for r in part.column(1)]
+                times = [np.frombuffer(t.as_buffer(), "<u4") for t in part.column(2)]
+                rows = np.repeat(part.column(0).to_numpy(), [len(r) for r in rare])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows), pa.array(np.concatenate(rare)), pa.array(np.concatenate(times).astype(np.int32))],
+                    names=["row", "hash", "times"],
+                )
+
+    pairs = words.select("row", "rare", "times").mapInArrow(run, "row long, hash long, times int")
+    counted = counts.groupBy(hash_of("word").alias("hash")).agg(F.sum("n").alias("n"))
+    share = F.log(F.coalesce("n", F.lit(1))) - F.element_at(totals, (F.pmod("hash", F.lit(SHARED)) + 1).cast("int"))
+    return pairs.join(counted, "hash", "left").groupBy("row").agg(F.sum(F.col("times") * share).alias("share"))
+
+
+def score(words: DataFrame, network: Network, *more: str) -> DataFrame:
+    """``doc_id``, the columns ``more``, number of words, summed and mean log-probability of every document's places in the vocabulary."""
     shared = words.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            arrays = [np.frombuffer(w.as_buffer(), "<u2") for w in batch.column(1)]
+            arrays = [np.frombuffer(w.as_buffer(), "<u2") for w in batch.column(0)]
             sums = np.zeros(len(arrays))
             start = 0
             while start < len(arrays):
@@ -328,14 +387,23 @@ def score(words: DataFrame, network: Network) -> DataFrame:
             lengths = [len(a) for a in arrays]
             means = [s / n if n else None for s, n in zip(sums.tolist(), lengths, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lengths, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())],
-                names=["doc_id", "n_words", "score", "mean_score"],
+                [*batch.columns[1:], pa.array(lengths, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())],
+                names=["doc_id", *more, "n_words", "score", "mean_score"],
             )
 
-    return words.select("doc_id", "words").mapInArrow(run, "doc_id long, n_words long, score double, mean_score double")
+    schema = "".join(f"{c} long, " for c in ("doc_id", *more)) + "n_words long, score double, mean_score double"
+    return words.select("words", "doc_id", *more).mapInArrow(run, schema)
+
+
+def word_scores(words: DataFrame, network: Network, counts: DataFrame, frequency: np.ndarray) -> DataFrame:
+    """``doc_id``, number of words, summed and mean log-probability of every document's words."""
+    total = F.col("score") + F.coalesce("share", F.lit(0.0))
+    return score(words, network, "row").join(shares(words, counts, frequency), "row", "left").select(
+        "doc_id", "n_words", total.alias("score"), F.try_divide(total, F.col("n_words")).alias("mean_score")
+    )
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked pseudo-log-likelihood of every document."""
-    network, words = train(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return score(words, network)
+    counts, words, frequency = prepared(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return word_scores(words, trained(words, frequency), counts, frequency)
