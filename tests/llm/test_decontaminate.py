@@ -124,3 +124,36 @@ def test_an_answer_column_is_used():
     part = dc.segments(1, " ".join(f"w{k}" for k in range(20)), "forty two")[0]
     known = dc.TermHashes()
     assert part.answered(dc.terms_of("so it is Forty two.", known).tolist()) and not part.answered(dc.terms_of("two forty", known).tolist())
+
+
+def test_words_end_at_every_mark():
+    known = dc.TermHashes()
+    for text in ("alpha,beta;gamma", "alpha\u2014beta/gamma", "<p>Alpha</p><b>beta</b>gamma<br>"):
+        plain = " ".join(w for w in "".join(c if c.isalnum() else " " for c in text).split())
+        assert dc.term_bytes(text, known) == dc.term_bytes(plain, known)
+    assert len(dc.terms_of("\u6f22\u5b57\u3068ab c", known)) == 5
+
+
+def test_changed_marks_short_items_and_text_without_spaces(spark, docs_of):
+    rng = random.Random(8)
+
+    def prose(n):
+        return [f"v{rng.randrange(4000)}" for _ in range(n)]
+
+    def han(n):
+        return "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
+
+    items = [prose(40), prose(40), prose(40)]
+    unspaced, short = han(30), han(4)
+    tagged = " ".join(w if k % 3 else f"<br>{w}" for k, w in enumerate(items[1]))
+    rows = [(1, " ".join(prose(60)) + " " + ",".join(items[0]) + " " + " ".join(prose(60))),
+            (2, " ".join(prose(60)) + " " + tagged + " " + " ".join(prose(60))),
+            (3, " ".join(prose(60)) + " " + "\u2014".join(items[2]) + "/" + "/".join(prose(60))),
+            (4, " ".join(prose(20)) + " the Short, one! " + " ".join(prose(20))), (5, "short of one"), (6, "short one"),
+            (7, han(40) + unspaced + han(40)), (8, han(50) + short + han(9)), (9, "one short")]
+    rows += [(100 + i, " ".join(prose(300))) for i in range(60)] + [(200 + i, han(200)) for i in range(20)]
+    bench = [(i, " ".join(w)) for i, w in enumerate(items)] + [(20, "short one"), (21, "Short one."), (30, unspaced), (31, short)]
+    docs, bench = docs_of(rows), spark.createDataFrame(bench, "item_id long, text string")
+    hits = {(r["doc_id"], r["item_id"]) for r in dc.leaks(docs.select("doc_id", "text"), bench).collect()}
+    assert hits == {(1, 0), (2, 1), (3, 2), (4, 20), (4, 21), (6, 20), (6, 21), (7, 30), (8, 31)}
+    assert {r["doc_id"] for r in dc.drop_leaks(docs, bench).collect()} == {5, 9, *range(100, 160), *range(200, 220)}

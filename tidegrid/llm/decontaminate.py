@@ -10,7 +10,10 @@ length are projected on these vectors, each weighted against how common it is. A
 candidate. For each candidate the longest common subsequence of words is taken between the segment
 and the text around the window. It is a leak if most of the segment is found in order, or somewhat
 less of it together with its answer, the words the segment ends with (or the item's own answer if a
-column holds it).
+column holds it). Items of few words are searched for as they are, all words in a row.
+
+Words are runs of letters, digits and underscores; in scripts written without spaces every character
+is a word.
 
 All passages take part in counts and vectors, all windows of whole texts in the search; candidates
 are not limited in number. Items are searched for in blocks, each of which is broadcast, so their
@@ -58,7 +61,7 @@ SHARE = 0.75
 SHARE_WITH_ANSWER = 0.6
 #: Words at the end of a segment that count as its answer.
 ANSWER_WORDS = 4
-#: Segments shorter than this say too little to be looked for.
+#: Segments shorter than this are leaks only if all their words follow each other.
 LEAST_WORDS = 8
 #: Items that are broadcast at once.
 BLOCK = 20_000
@@ -66,18 +69,21 @@ BLOCK = 20_000
 SEARCHED_AT_ONCE = 32_000
 COUNTED_AT_ONCE = 64 * 1024
 
-WORD = re.compile(r"\w(?:.*\w)?", re.DOTALL)
+#: Thai, Lao, Burmese, Khmer, kana and Han, which are written without spaces.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"(?=\w)[{UNSPACED}]|[^\W{UNSPACED}]+")
+#: Odd factor of the numbers that rows of a few words are looked up by.
+FACTOR = 0x9E3779B97F4A7C15
 KNOWN_WORDS = 200_000
 
 
 class TermHashes(dict):
-    """Each word's number, 32 bits of hash of it in lower case without the marks around it; nothing for mere marks."""
+    """The numbers of the words in a piece of text without white space, 32 bits of hash of each in lower case."""
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
         if len(self) >= KNOWN_WORDS:
             self.clear()
-        inner = WORD.search(word)
-        value = self[word] = xxh32_intdigest(inner[0].lower()).to_bytes(4, "little") if inner else b""
+        value = self[piece] = b"".join(xxh32_intdigest(w.lower()).to_bytes(4, "little") for w in WORD.findall(piece))
         return value
 
 
@@ -245,9 +251,10 @@ def segments(item: int, text: str | None, answer: str | None = None) -> list[Seg
     longest = max(SCALES)
     pieces = max(1, -(-len(words) // longest))
     for part in np.array_split(words, pieces):
-        if len(part) < LEAST_WORDS:
+        if not len(part):
             continue
-        scale = min(SCALES, key=lambda s: abs(np.log(s / len(part))))
+        # none if it is looked for as it is
+        scale = 0 if len(part) < LEAST_WORDS else min(SCALES, key=lambda s: abs(np.log(s / len(part))))
         own = terms_of(answer, known) if answer else part[-ANSWER_WORDS:]
         out.append(Segment(item, part, scale, tuple(own.tolist())))
     return out
@@ -259,6 +266,8 @@ class Searcher:
 
     vectors: np.ndarray
     by_scale: dict[int, tuple[np.ndarray, list[Segment]]]
+    #: Segments that are looked for as they are: by length, sorted keys, words of each, segments of each.
+    exact: dict[int, tuple[np.ndarray, np.ndarray, list[list[Segment]]]]
 
     @classmethod
     def build(cls, vectors: np.ndarray, wanted: list[Segment]) -> Searcher:
@@ -268,13 +277,25 @@ class Searcher:
             if some:
                 rows = np.stack([vectors[s.words & np.uint32(TERMS - 1)].sum(axis=0) for s in some])
                 by_scale[scale] = (_unit(rows), some)
-        return cls(vectors, by_scale)
+        exact = {}
+        for length in range(1, LEAST_WORDS):
+            alike: dict[tuple[int, ...], list[Segment]] = {}
+            for s in wanted:
+                if len(s.words) == length:
+                    alike.setdefault(tuple(s.words.tolist()), []).append(s)
+            if alike:
+                words = np.array(list(alike), np.uint32)
+                keys = _keys(words.ravel(), length)[::length]
+                order = np.argsort(keys, kind="stable")
+                exact[length] = (keys[order], words[order], [list(alike.values())[i] for i in order])
+        return cls(vectors, by_scale, exact)
 
     def search(self, arrays: Iterator[np.ndarray]) -> Iterator[tuple[int, Segment, float, int, bool]]:
         """Number of the document, segment, cosine, common words and answer of every leak."""
         table = np.vstack([self.vectors, np.zeros((1, self.vectors.shape[1]), np.float32)])
         longest = max(SCALES)
         for owners, parts in _groups(arrays, 2 * longest, SEARCHED_AT_ONCE):
+            yield from self._verbatim(owners, parts)
             # Windows start and end every STEP words, so sums over as many words are enough. After each
             # part come as many empty steps as a window has, so that none reaches into the next.
             starts = np.concatenate([[0], np.cumsum([-(-len(p) // STEP) + longest // STEP for p in parts])])
@@ -295,6 +316,27 @@ class Searcher:
                     step = scale // 4 // STEP
                     yield from self._candidates(owners, parts, starts, sums[::step], step, scale, rows, wanted)
 
+    def _verbatim(self, owners, parts):
+        """The segments of few words, once in each part."""
+        if not self.exact:
+            return
+        line = np.concatenate(parts)
+        ends = np.cumsum([len(p) for p in parts])
+        for length, (keys, words, wanted) in self.exact.items():
+            if len(line) < length:
+                continue
+            own = _keys(line, length)
+            which = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+            at = np.flatnonzero(keys[which] == own)
+            p, which = np.searchsorted(ends, at, "right"), which[at]
+            good = (at + length <= ends[p]) & (line[at[:, None] + np.arange(length)] == words[which]).all(axis=1)
+            at, p, which = at[good], p[good], which[good]
+            for i in np.unique(p * len(keys) + which, return_index=True)[1].tolist():
+                begin = int(at[i] - ends[p[i]]) + len(parts[p[i]])
+                near = parts[p[i]][max(0, begin - length // 2) : begin + length + length // 2].tolist()
+                for segment in wanted[which[i]]:
+                    yield owners[p[i]], segment, 1.0, length, segment.answered(near)
+
     def _candidates(self, owners, parts, starts, windows, step, scale, rows, wanted):
         least = COSINE * np.sqrt(np.einsum("ij,ij->i", windows, windows)) + 1e-12
         cosines = windows @ rows.T
@@ -315,6 +357,14 @@ class Searcher:
                 yield owners[p], segment, float(cosines[w, s] / least[w] * COSINE), common, answered
 
 
+def _keys(words: np.ndarray, length: int) -> np.ndarray:
+    """A number for each row of ``length`` words, from the place where it starts."""
+    keys = np.zeros(len(words) - length + 1, np.uint64)
+    for k in range(length):
+        keys = keys * np.uint64(FACTOR) + words[k : k + len(keys)]
+    return keys
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
     return (rows / np.maximum(norms, 1e-9)[:, None]).astype(np.float32)
