@@ -157,3 +157,18 @@ def test_changed_marks_short_items_and_text_without_spaces(spark, docs_of):
     hits = {(r["doc_id"], r["item_id"]) for r in dc.leaks(docs.select("doc_id", "text"), bench).collect()}
     assert hits == {(1, 0), (2, 1), (3, 2), (4, 20), (4, 21), (6, 20), (6, 21), (7, 30), (8, 31)}
     assert {r["doc_id"] for r in dc.drop_leaks(docs, bench).collect()} == {5, 9, *range(100, 160), *range(200, 220)}
+
+
+def test_some_window_lies_inside_the_passage():
+    rng = np.random.default_rng(4)
+    vectors = rng.standard_normal((dc.TERMS, dc.DIRECTIONS)).astype(np.float32)
+    heavy = np.arange(40, dtype=np.uint32)
+    vectors[heavy] *= 10
+    for n in (23, 27, 31, 46, 54, 63):
+        words = rng.choice(np.arange(100, dc.TERMS, dtype=np.uint32), n, replace=False)
+        scale = min(dc.SCALES, key=lambda s: abs(np.log(s / n)))
+        assert scale > n
+        searcher = dc.Searcher.build(vectors, [dc.Segment(1, words, scale, ())])
+        for before in range(100, 132):
+            text = np.concatenate([rng.choice(heavy, before), words, rng.choice(heavy, 100)])
+            assert any(common == n for *_, common, _ in searcher.search(iter([text])))

@@ -5,8 +5,8 @@ passages each term is and multiplies the TF-IDF matrix of all passages, transpos
 a random matrix; from that product the driver gets the leading right singular vectors (a randomised
 SVD in one pass, by Nystroem's formula). Its size is a constant: terms times dimensions.
 
-Benchmark items, in segments of at most 64 words, and windows of the documents of about the same
-length are projected on these vectors, each weighted against how common it is. A window whose cosine with a segment reaches a limit is a
+Benchmark items, in segments of at most 64 words, and windows of the documents, of about the same
+length and of the largest length not above it, are projected on these vectors, each weighted against how common it is. A window whose cosine with a segment reaches a limit is a
 candidate. For each candidate the longest common subsequence of words is taken between the segment
 and the text around the window. It is a leak if most of the segment is found in order, or somewhat
 less of it together with its answer, the words the segment ends with (or the item's own answer if a
@@ -50,7 +50,8 @@ LEAST_VALUE = 1e-3
 FREQUENT = 1024
 #: Words of a passage of the TF-IDF matrix.
 PASSAGE = 64
-#: Window lengths in words; a segment is compared with the windows nearest to its length.
+#: Window lengths in words; a segment is compared with the windows nearest to its length, and with the
+#: largest that are not longer than itself, of which some can lie wholly inside the passage.
 SCALES = (16, 32, 64)
 #: Windows start every quarter of their length, which is a multiple of so many words.
 STEP = 4
@@ -224,6 +225,9 @@ class Segment:
         for i, w in enumerate(self.words.tolist()):
             self.places[w] = self.places.get(w, 0) | (1 << i)
 
+    def scales(self) -> set[int]:
+        return {self.scale, max((s for s in SCALES if s <= len(self.words)), default=self.scale)}
+
     def common(self, words: list[int]) -> int:
         """Length of the longest common subsequence with ``words``, all of a segment at once as bits."""
         full = (1 << len(self.words)) - 1
@@ -273,7 +277,7 @@ class Searcher:
     def build(cls, vectors: np.ndarray, wanted: list[Segment]) -> Searcher:
         by_scale = {}
         for scale in SCALES:
-            some = [s for s in wanted if s.scale == scale]
+            some = [s for s in wanted if scale in s.scales()]
             if some:
                 rows = np.stack([vectors[s.words & np.uint32(TERMS - 1)].sum(axis=0) for s in some])
                 by_scale[scale] = (_unit(rows), some)
