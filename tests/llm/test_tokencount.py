@@ -61,3 +61,18 @@ def test_columns(docs_of, published):
 def test_query(spark, documents, published):
     got = {r["doc_id"]: r["n_tokens"] for r in tc.op4(spark, "/root/testdata/sf0.001").collect()}
     assert got == {r["doc_id"]: published(r["text"]) for r in documents.collect()}
+
+
+def test_unknown_characters_count_as_bytes(spark, tmp_path):
+    pieces = tc.vocabulary(sentencepiece.SentencePieceProcessor(model_file=PATH))
+    unk = [p for p, _ in pieces].index("<unk>")
+    with_bytes = [*pieces, *[(f"<0x{b:02X}>", 0.0) for b in range(256)]]
+    want = counter(Tokenizer(models.Unigram(with_bytes, unk_id=unk, byte_fallback=True)))
+    rng = random.Random(3)
+    texts = ["", "\u6f22", "\u6f22" * 50, "\u1234" * 50, "\u1234 \u1234 a\u1234\u1234b"]
+    texts += ["".join(rng.choice("abcde  the\u00e9\u65e5\u6f22\U0001f600\u1234\u00b2") for _ in range(rng.randrange(40))) for _ in range(500)]
+    model = tc.load(PATH, True)
+    for text in texts:
+        assert model.count(text) == want(text), text[:40]
+    spark.createDataFrame([(n, t) for n, t in enumerate(texts[:40])], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: r["n_tokens"] for r in tc.op4(spark, str(tmp_path)).collect()} == {n: want(t) for n, t in enumerate(texts[:40])}

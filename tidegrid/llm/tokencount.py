@@ -7,7 +7,8 @@ each position, the best sum up to it and the number of pieces that it takes, and
 The rules are those of the published unigram tokenizer: spaces become the meta symbol, one is put in
 front; between equal sums the piece that starts first wins; a character that no piece covers alone
 can be an unknown piece, whose score is the lowest one less 10; unknown pieces next to each other
-count once.
+count once. With byte fallback, which op4 uses as the model has byte pieces, every byte in UTF-8 of an
+unknown character counts as a piece instead.
 
 No piece holds the meta symbol after another character (this is checked when a vocabulary is
 loaded; one that does is taken over the whole text). So a text is cut before each run of meta
@@ -54,9 +55,10 @@ class Known(dict):
 
 
 class Unigram:
-    """Pieces with their scores; ``unknown`` is the piece that stands for unknown characters."""
+    """Pieces with their scores; ``unknown`` is the piece that stands for unknown characters, unless their bytes do."""
 
-    def __init__(self, pieces: list[tuple[str, float]], unknown: str = "<unk>"):
+    def __init__(self, pieces: list[tuple[str, float]], unknown: str = "<unk>", byte_fallback: bool = False):
+        self.byte_fallback = byte_fallback
         scores = {p: s for p, s in pieces if p and p != unknown}
         self.lowest = min((s for _, s in pieces), default=0.0) - UNKNOWN_PENALTY
         self.automaton = ahocorasick.Automaton()
@@ -74,7 +76,7 @@ class Unigram:
         """Pieces of the best segmentation of ``text``."""
         n = len(text)
         if self.empty:
-            return 1 if n else 0
+            return len(text.encode()) if self.byte_fallback else min(n, 1)
         best = [0.0] * (n + 1)
         count = [0] * (n + 1)
         open_end = [False] * (n + 1)  # whether the best segmentation ends with an unknown piece
@@ -93,7 +95,8 @@ class Unigram:
                 total = best[end - 1] + self.lowest
                 if not found or total > top:
                     best[end], open_end[end] = total, True
-                    count[end] = count[end - 1] + (not open_end[end - 1])
+                    more = len(text[end - 1].encode()) if self.byte_fallback else not open_end[end - 1]
+                    count[end] = count[end - 1] + more
                     return
             best[end], count[end] = top, count[start] + 1
 
@@ -121,15 +124,17 @@ class Unigram:
 
 
 @lru_cache(maxsize=4)
-def load(path: str) -> Unigram:
+def load(path: str, byte_fallback: bool = False) -> Unigram:
     """Pieces and scores of the sentencepiece model at ``path``, once for each Python process.
 
-    Control and byte pieces are left out, as they never match text.
+    Control and byte pieces are left out, as they never match text; with ``byte_fallback``, unknown
+    characters count as their bytes if the model has byte pieces.
     """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return Unigram(vocabulary(model), model.id_to_piece(model.unk_id()))
+    has_bytes = any(model.is_byte(i) for i in range(model.get_piece_size()))
+    return Unigram(vocabulary(model), model.id_to_piece(model.unk_id()), byte_fallback and has_bytes)
 
 
 def vocabulary(model) -> list[tuple[str, float]]:
@@ -139,7 +144,9 @@ def vocabulary(model) -> list[tuple[str, float]]:
     ]
 
 
-def count_column(docs: DataFrame, path: str, text: str = "text", name: str = "n_tokens", keep: list[str] | None = None) -> DataFrame:
+def count_column(
+    docs: DataFrame, path: str, text: str = "text", name: str = "n_tokens", keep: list[str] | None = None, byte_fallback: bool = False
+) -> DataFrame:
     """``docs`` (or its columns ``keep``) with the number of pieces of every text."""
     kept = docs.columns if keep is None else keep
     name = fresh(kept, name)
@@ -150,7 +157,7 @@ def count_column(docs: DataFrame, path: str, text: str = "text", name: str = "n_
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = load(path).count
+        count = load(path, byte_fallback).count
         for batch in batches:
             counts = [count(t.as_py()) for t in batch.column(hidden)]
             yield pa.RecordBatch.from_arrays(
@@ -165,4 +172,4 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return count_column(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
+    return count_column(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"], byte_fallback=True)
