@@ -128,3 +128,20 @@ def test_gaps_are_logged_by_file(spark, tmp_path):
     back = warc.read_archives(spark, str(tmp_path))
     assert warc.records(back).count() == 4
     assert [(r["file"][-9:], r["offset"], r["length"]) for r in warc.gaps(back).collect()] == [("a.warc.gz", len(parts[0]), 11)]
+
+
+def test_records_before_damage_in_a_member_are_kept():
+    for n in (20, 400):  # a member within one piece, and one of several
+        plain = members(n, False)
+        member = bytearray(gzip.compress(b"".join(plain), mtime=0))
+        member[-6] ^= 255
+        assert ids(warc.salvage(bytes(member))) == [f"<urn:page:{i}>" for i in range(n)]
+        member[len(member) * 9 // 10 :] = b"\xff" * (len(member) - len(member) * 9 // 10)
+        kept = ids(warc.salvage(bytes(member)))
+        assert len(kept) > 0.8 * n and kept == [f"<urn:page:{i}>" for i in range(len(kept))]
+
+
+def test_members_with_long_names_are_found_after_damage():
+    one, two = members(2, True)
+    named = two[:3] + bytes([two[3] | 8]) + two[4:10] + b"n" * 2000 + b"\0" + two[10:]
+    assert ids(warc.salvage(one[: len(one) // 2] + named)) == ["<urn:page:1>"]

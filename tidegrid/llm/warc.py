@@ -216,15 +216,34 @@ def inflate(data: bytes, at: int) -> tuple[bytes, int, str | None]:
             out.append(stream.decompress(piece))
             place += len(piece)
     except zlib.error as error:
-        return b"".join(out), place, f"member damaged: {error}"
+        return _before_damage(data, at, place), place, f"member damaged: {error}"
     return b"".join(out), place - len(stream.unused_data), None
 
 
+def _before_damage(data: bytes, at: int, place: int) -> bytes:
+    """All content of the member at ``at`` up to the damage, which is in the piece at ``place``."""
+    stream = zlib.decompressobj(31)
+    out = [stream.decompress(data[at:place])]
+    for step in (1 << 12, 1 << 8, 1 << 4, 1):
+        while place < len(data):
+            ahead = stream.copy()
+            try:
+                out.append(ahead.decompress(data[place : place + step]))
+            except zlib.error:
+                break
+            stream, place = ahead, place + step
+    return b"".join(out)
+
+
 def _may_start(data: bytes, at: int) -> bool:
     """Whether a member at ``at`` starts with a version line or is empty."""
     stream = zlib.decompressobj(31)
+    head = b""
     try:
-        head = stream.decompress(data[at : at + TASTE], len(VERSION))
+        # the member's own header may be longer than a taste
+        while len(head) < len(VERSION) and not stream.eof and at < len(data):
+            head += stream.decompress(data[at : at + TASTE], len(VERSION) - len(head))
+            at += TASTE
     except zlib.error:
         return False
     return head.startswith(VERSION) or (stream.eof and not head)
