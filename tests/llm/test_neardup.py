@@ -5,6 +5,8 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tidegrid.llm import neardup
 
@@ -100,3 +102,16 @@ def test_odd_rows(docs_of):
     assert kept == sorted([("4", "a b"), ("7", None), ("9", " \n"), ("1", long), ("3", "x y z"), ("None", "alone here"),
                            ("10", "a a a a a a a"), ("11", "a a a a a a a a")], key=lambda x: (x[0], x[1] or ""))
     assert neardup.keep_one(docs.limit(0)).collect() == []
+
+
+def test_blocks_of_short_texts_are_bounded_by_nodes(spark, monkeypatch):
+    def sides(table):
+        seekers = sum(table["seeks"].to_pylist())
+        return pa.table({"a": pa.array([b"%d" % seekers]), "b": pa.array([b"%d" % (len(table) - seekers)])})
+
+    monkeypatch.setattr(neardup, "_block_links", sides)
+    nodes = spark.range(12_000).select(F.lit(1).alias("bucket"), F.expr("CAST(CAST(id AS STRING) AS BINARY)").alias("node"))
+    still = nodes.selectExpr("bucket", "node", "2 AS size", "node AS label", "CAST('0' AS BINARY) AS main")
+    bags = nodes.select("node", F.array(F.lit(1), F.lit(2)).alias("bag"))
+    got = neardup._links_in_blocks(still, bags).collect()
+    assert got and max(int(x) for r in got for x in r) < 1.1 * neardup.BLOCK_NODES

@@ -55,6 +55,8 @@ M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.ui
 #: Buckets up to this size are compared pair by pair, larger ones in blocks of so many shingles.
 SMALL = 24
 BLOCK = 250_000
+#: Nodes on one side of a block at most, or about so many; a block has a matrix of both sides.
+BLOCK_NODES = 4_000
 #: Words whose hash a Python worker keeps.
 KNOWN_WORDS = 200_000
 
@@ -299,16 +301,17 @@ def _left_over(still: DataFrame) -> DataFrame:
 def _links_in_blocks(still: DataFrame, bag_table: DataFrame) -> DataFrame:
     """Links within larger buckets, from blocks of nodes that look for partners against blocks of members.
 
-    A block has about ``BLOCK`` shingles, so a task's memory is bounded however large the bucket. The
+    A block has about ``BLOCK`` shingles and ``BLOCK_NODES`` nodes a side at most, so a task's memory is bounded however large the bucket. The
     shared shingles of all pairs of two blocks are one product of matrices; no pair is a row. A node
     that finds several members of a group is linked to one of them.
     """
     per_bucket = materialise(
         still.groupBy("bucket").agg(
             F.sum("size").alias("all"), F.sum(F.when(F.expr("label <> main"), F.col("size"))).alias("seek"), F.count("*").alias("c"),
+            F.count_if(F.expr("label <> main")).alias("seekers"),
         ).select(
-            "bucket", "c", F.ceil(F.col("all") / BLOCK).cast("int").alias("pieces"),
-            F.ceil(F.coalesce("seek", F.lit(0)) / BLOCK).cast("int").alias("blocks"),
+            "bucket", "c", F.ceil(F.greatest(F.col("all") / BLOCK, F.col("c") / BLOCK_NODES)).cast("int").alias("pieces"),
+            F.ceil(F.greatest(F.coalesce("seek", F.lit(0)) / BLOCK, F.col("seekers") / BLOCK_NODES)).cast("int").alias("blocks"),
         ), "large-buckets"
     )
     sized = lookup(still.select("bucket", "node", "size", "label", "main"), per_bucket, "bucket", F.col("c"), "inner")
