@@ -3,7 +3,19 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidegrid.llm import bpe, decontaminate, neardup, pseudolm, quality, sharding, tokencount, toxicity, urlfilter, warc
+from tidegrid.llm import (
+    bpe,
+    decontaminate,
+    neardup,
+    pseudolm,
+    quality,
+    runs,
+    sharding,
+    tokencount,
+    toxicity,
+    urlfilter,
+    warc,
+)
 
 QUERIES = {
     "op1_quality_rules": quality.op1,
@@ -16,6 +28,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8,
     "op9_byte_bpe": bpe.op9,
     "op10_url_filters": urlfilter.op10,
+    "op13_periodic_runs": runs.op13,
     "pipeline": corpus_pipeline.run,
 }
 
