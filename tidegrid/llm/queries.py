@@ -6,6 +6,7 @@ import corpus_pipeline
 from tidegrid.llm import (
     bpe,
     decontaminate,
+    dialogue,
     neardup,
     pseudolm,
     quality,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8,
     "op9_byte_bpe": bpe.op9,
     "op10_url_filters": urlfilter.op10,
+    "op12_conversation_repair": dialogue.op12,
     "op13_periodic_runs": runs.op13,
     "pipeline": corpus_pipeline.run,
 }
