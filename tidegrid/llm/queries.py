@@ -7,6 +7,7 @@ from tidegrid.llm import (
     bpe,
     decontaminate,
     dialogue,
+    htmltext,
     neardup,
     pseudolm,
     quality,
@@ -29,6 +30,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8,
     "op9_byte_bpe": bpe.op9,
     "op10_url_filters": urlfilter.op10,
+    "op11_html_extraction": htmltext.op11,
     "op12_conversation_repair": dialogue.op12,
     "op13_periodic_runs": runs.op13,
     "pipeline": corpus_pipeline.run,
@@ -38,4 +40,5 @@ ORACLES = {
     "op1_quality_rules": quality.op1_sql(),
     "op2_warc_salvage": warc.OP2_SQL,
     "op10_url_filters": urlfilter.OP10_SQL,
+    "op11_html_extraction": htmltext.OP11_SQL,
 }
