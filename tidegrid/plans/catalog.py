@@ -103,21 +103,56 @@ def s2_areas(spark, sf):
     )
 
 
+def _area_documents(features: DataFrame, head: str, between: str, tail: str) -> DataFrame:
+    """Collections of some 10,000 features (``area_id``, ``feature``) each, as text."""
+    buckets = features.count() // 10_000 + 1
+    return features.groupBy(F.expr(f"pmod(xxhash64(area_id), {buckets})").alias("bucket")).agg(
+        F.expr(f"concat('{head}', array_join(array_sort(collect_list(feature)), '{between}'), '{tail}')").alias("value")
+    ).select("value")
+
+
+def _dated_features(spark, sf):
+    dated = areas(spark, sf).withColumn("flood_date", F.expr("CAST(flood_date AS DATE)"))
+    return reports.area_features(dated).selectExpr("id AS area_id", "feature")
+
+
 @query("s2_mixed_folder")
 def s2_mixed(spark, sf):
-    """Points a line each, and areas as one document over many lines, read together."""
+    """Points a line each, and areas as documents over many lines, read together."""
     path = work_path(spark, "s2")
     geojson.write_geojson(citizens(spark, sf).select("citizen_id", "lon", "lat"), f"{path}/points")
-    dated = areas(spark, sf).withColumn("flood_date", F.expr("CAST(flood_date AS DATE)"))
-    reports.area_features(dated).selectExpr(
-        """concat('{\n"type": "FeatureCollection",\n"features": [\n',
-            array_join(collect_list(replace(feature, ',"', ',\n"')), ',\n'), '\n]\n}') AS value"""
+    broken = _dated_features(spark, sf).withColumn("feature", F.expr("replace(feature, ',\"', ',\n\"')"))
+    _area_documents(
+        broken, '{\n"type": "FeatureCollection",\n"features": [\n', ",\n", "\n]\n}"
     ).write.text(f"{path}/areas")
     return geojson.read_geojson(spark, [f"{path}/points", f"{path}/areas"]).groupBy("geometry_type", "malformed").agg(
         F.count("*").alias("features"), F.sum(F.size("ring").cast("long")).alias("vertices")
     )
 
 
+@query("s2_any_layout")
+def s2_any_layout(spark, sf):
+    """The areas in five legal layouts of lines, each read whole: rows and vertices by layout."""
+    path = work_path(spark, "s2")
+    plain = _dated_features(spark, sf)
+    broken = plain.withColumn("feature", F.expr("replace(replace(feature, ',\"', ',\n\"'), '{\"', '{\n \"')"))
+    crs = '"crs":\n{\n"type": "name",\n"properties":\n{ "name": "EPSG:4326" }\n},\n'
+    layouts = {
+        "one_line": (plain, '{"type":"FeatureCollection","features":[', ",", "]}"),
+        "beside_the_frame": (plain, '{"type":"FeatureCollection","features":[', ",\n", "]}"),
+        "frame_over_lines": (plain, '{"type":"FeatureCollection",\n' + crs + '"features":[\n', ",\n", "\n]\n}"),
+        "feature_over_lines": (broken, '{\n"features":\n[', "\n,\n", '],\n"type":"FeatureCollection"\n}'),
+        "no_collection": (broken, "", "\n", ""),
+    }
+    for name, (features, head, between, tail) in layouts.items():
+        _area_documents(features, head, between, tail).write.text(f"{path}/{name}")
+    return geojson.read_geojson(spark, [f"{path}/{name}" for name in layouts]).groupBy(
+        F.expr("element_at(split(source_file, '/'), -2)").alias("layout"), "malformed"
+    ).agg(
+        F.count("*").alias("features"), F.countDistinct("id").alias("areas"), F.sum(F.size("ring").cast("long")).alias("vertices")
+    )
+
+
 @query("s3_layer_scan")
 def s3(spark, sf):
     base = work_path(spark, "s3")

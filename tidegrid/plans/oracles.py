@@ -343,6 +343,9 @@ ORACLES: dict[str, str] = {
         FROM people""", "people"),
     "s2_mixed_folder": sql("""SELECT 'Point' AS geometry_type, false AS malformed, count(*) AS features, CAST(NULL AS BIGINT) AS vertices
         FROM people UNION ALL SELECT 'Polygon', false, count(*), CAST(sum(len(ring)) AS BIGINT) FROM areas""", "people", "areas"),
+    "s2_any_layout": sql("""SELECT layout, false AS malformed, count(*) AS features, count(DISTINCT area_id) AS areas,
+        CAST(sum(len(ring)) AS BIGINT) AS vertices FROM areas, (SELECT unnest(['one_line', 'beside_the_frame', 'frame_over_lines',
+        'feature_over_lines', 'no_collection']) AS layout) AS l GROUP BY layout""", "areas"),
     "s7_ingest_sources": sql("SELECT * FROM ingested", "ingested"),
     "s8_source_report": sql("""SELECT count(*) AS total_files, count(*) FILTER (WHERE status = 'success') AS successful,
         count(*) FILTER (WHERE status = 'error') AS failed, CAST(sum(records) AS BIGINT) AS total_records FROM ingested""", "ingested"),
