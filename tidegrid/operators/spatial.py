@@ -9,6 +9,7 @@ from tidegrid.functions.geometry import (
     edges_contain,
     edges_distance,
     edges_of,
+    first_vertices,
     ring_contains,
     segments_touch,
 )
@@ -22,6 +23,7 @@ from tidegrid.operators.grid import (
     with_bounds,
 )
 from tidegrid.operators.skew import meet, spread_hot_keys
+from tidegrid.session import materialise
 
 
 class _Probe:
@@ -171,14 +173,20 @@ def within_distance_join(
     return probe.inner(points).selectExpr(*points.columns, *columns, f"inline({near})")
 
 
+#: Pairs of areas with more pairs of edges than this in their common box have them meet by cells of that box.
+EDGE_PAIRS = 4096
+
+
 def areas_intersect_join(
-    left: DataFrame, right: DataFrame, left_id: str, right_id: str
+    left: DataFrame, right: DataFrame, left_id: str, right_id: str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Pairs ``(left_id, right_id)`` of areas that share at least one point.
 
     Areas are listed under the cells of their bounds at their own level, and those of the other side
     at that level or a coarser one, by two joins: a pair meets at the coarser of its two levels. A pair
-    that shares several cells is kept in the one holding the lower left corner of the common box.
+    that shares several cells is kept in the one holding the lower left corner of the common box. Pairs whose boxes meet
+    are written once with their common box, then get the edges that reach into it. Few edges are compared within the row; many are listed
+    under the cells of a grid over the common box and meet there, as rows.
     """
     if left_id == right_id:
         raise ValueError("the two id columns need different names")
@@ -188,9 +196,12 @@ def areas_intersect_join(
     }
     extent = "greatest(_xmax - _xmin, _ymax - _ymin)"
     stats = (
-        boxes["l"].selectExpr(f"{extent} AS e")
-        .unionByName(boxes["r"].selectExpr(f"{extent} AS e"))
-        .selectExpr("percentile_approx(e, 0.5) AS m", "max(e) AS top").first()
+        boxes["l"].selectExpr(f"{extent} AS e", "size(ring) AS n", "'l' AS tag")
+        .unionByName(boxes["r"].selectExpr(f"{extent} AS e", "size(ring) AS n", "'r' AS tag"))
+        .selectExpr(
+            "percentile_approx(e, 0.5) AS m", "max(e) AS top", "count_if(tag = 'l') AS l", "count_if(tag = 'r') AS r",
+            "coalesce(sum(n) FILTER (WHERE tag = 'l'), 0) AS l_vertices", "coalesce(sum(n) FILTER (WHERE tag = 'r'), 0) AS r_vertices")
+        .first()
     )
     # level n takes areas up to four of its cells wide
     sides = [power_of_two(stats["m"] or 0.0)]
@@ -218,39 +229,83 @@ def areas_intersect_join(
     keys = ["_level", "_cx", "_cy"]
     x0, y0 = "greatest(l.x0, r.x0)", "greatest(l.y0, r.y0)"
     x1, y1 = "least(l.x1, r.x1)", "least(l.y1, r.y1)"
+    # an area has at most five cells a side at each level, of some 120 bytes
+    listed_bytes = {tag: stats[tag] * 25 * len(sides) * 120 for tag in "lr"}
 
     def meeting(l_levels: str, r_levels: str) -> DataFrame:
-        a, b = spread_hot_keys(listed("l", l_levels), listed("r", r_levels), keys, ["l.id"])
-        return a.join(b, [*keys, "_salt"]).filter(
+        a, b, on = listed("l", l_levels), listed("r", r_levels), keys
+        if min(listed_bytes.values()) > broadcast_bytes:
+            a, b = spread_hot_keys(a, b, keys, ["l.id"])
+            on = [*keys, "_salt"]
+        elif listed_bytes["r"] <= listed_bytes["l"]:
+            b = F.broadcast(b)
+        else:
+            a = F.broadcast(a)
+        return a.join(b, on).filter(
             f"{x0} <= {x1} AND {y0} <= {y1} AND _cx = floor({x0} / l.side) AND _cy = floor({y0} / l.side)"
-        ).select("l", "r")
+        ).selectExpr("l.id AS _lid", "r.id AS _rid", f"{x0} AS x0", f"{y0} AS y0", f"{x1} AS x1", f"{y1} AS y1")
 
     # one side only at its own level, so that small areas do not meet each other in coarse cells
-    met = meeting(own_level, own_or_coarser).unionByName(meeting(coarser, own_level))
-    # rings join the pairs whose boxes meet; an area that meets very many is repeated in pieces
+    met = meeting(own_level, own_or_coarser)
+    if top:
+        met = met.unionByName(meeting(coarser, own_level))
+    met = materialise(met, "boxes-that-meet")
+
+    def edges_in_common_box(ring: str) -> str:
+        return f"""filter({edges_of(ring)}, c -> least(c.x1, c.x2) <= x1
+            AND greatest(c.x1, c.x2) >= x0 AND least(c.y1, c.y2) <= y1 AND greatest(c.y1, c.y2) >= y0)"""
+
     pairs = met
+    # rings join the pairs whose boxes meet; an area that meets very many is repeated in pieces
     for tag, other in (("l", "r"), ("r", "l")):
         rings = boxes[tag].selectExpr(f"id AS _{tag}id", f"ring AS _{tag}ring")
-        pairs = meet(
-            pairs.selectExpr("*", f"{tag}.id AS _{tag}id", f"{other}.id AS _{other}key"), rings, [f"_{tag}id"], [f"_{other}key"], False
-        ).drop(f"_{tag}id", f"_{other}key")
-    pairs = pairs.selectExpr(
-        "struct(l.*, _lring AS ring) AS l", "struct(r.*, _rring AS ring) AS r"
+        small = 16 * stats[f"{tag}_vertices"] + 64 * stats[tag] <= broadcast_bytes
+        pairs = meet(pairs, rings, [f"_{tag}id"], [f"_{other}id"], small)
+    # one ring of each inside the other, boundaries apart
+    inside = f"""exists({first_vertices('_lring')}, v -> {ring_contains('_rring', 'v.x', 'v.y')})
+        OR exists({first_vertices('_rring')}, v -> {ring_contains('_lring', 'v.x', 'v.y')})"""
+    ids = ["_lid", "_rid"]
+    tested = pairs.selectExpr(
+        *ids, "x0", "y0", "x1", "y1", f"{edges_in_common_box('_lring')} AS le", f"{edges_in_common_box('_rring')} AS re",
+        f"{inside} AS inside",
     )
+    tested = materialise(tested, "pairs-of-areas")
+    many = f"NOT inside AND CAST(size(le) AS BIGINT) * size(re) > {EDGE_PAIRS}"
+    boundaries_meet = "exists(le, e -> exists(re, f -> " + segments_touch("e", "f") + "))"
+    touching = tested.filter(f"NOT ({many})").filter(f"inside OR {boundaries_meet}").select(*ids)
+    if tested.filter(many).limit(1).count():
+        touching = touching.unionByName(_crossing_outlines(tested.filter(many), ids))
+    return touching.selectExpr(f"_lid AS `{left_id}`", f"_rid AS `{right_id}`")
 
-    def edges_in_common_box(ring: str) -> str:
-        return f"""filter({edges_of(ring)}, c -> least(c.x1, c.x2) <= {x1}
-            AND greatest(c.x1, c.x2) >= {x0} AND least(c.y1, c.y2) <= {y1}
-            AND greatest(c.y1, c.y2) >= {y0})"""
 
-    boundaries_meet = "exists(le, e -> exists(re, f -> " + segments_touch("e", "f") + "))"
-    left_in_right = ring_contains("r.ring", "l.ring[0].x", "l.ring[0].y")
-    right_in_left = ring_contains("l.ring", "r.ring[0].x", "r.ring[0].y")
-    return (
-        pairs.selectExpr(
-            "l", "r",
-            f"{edges_in_common_box('l.ring')} AS le", f"{edges_in_common_box('r.ring')} AS re",
+def _crossing_outlines(pairs: DataFrame, ids: list[str]) -> DataFrame:
+    """``ids`` of pairs with an edge of ``le`` that touches one of ``re``, by cells of the common box, about one for each edge."""
+    bins = "CAST(ceil(sqrt(greatest(size(le), size(re)))) AS BIGINT)"
+    grid = pairs.selectExpr("*", f"{bins} AS bins").selectExpr("*", "(x1 - x0) / bins AS w", "(y1 - y0) / bins AS h")
+
+    def bin_of(value: str, origin: str, size: str) -> str:
+        # a box without width or height has one row of cells
+        return f"greatest(least(floor(coalesce(({value} - {origin}) / nullif({size}, 0D), 0D)), bins - 1), 0L)"
+
+    def listed(side: str, name: str) -> DataFrame:
+        slack = "1e-6D"
+        columns = grid.selectExpr(*ids, "bins", "x0", "y0", "w", "h", f"explode({side}) AS e").selectExpr(
+            "*", f"explode(sequence({bin_of(f'least(e.x1, e.x2) - {slack} * w', 'x0', 'w')}, "
+            f"{bin_of(f'greatest(e.x1, e.x2) + {slack} * w', 'x0', 'w')})) AS c",
+        ).selectExpr(
+            "*", "(e.y2 - e.y1) / nullif(e.x2 - e.x1, 0D) AS slope",
+            # the outer columns take what reaches beyond the box
+            f"CASE WHEN c = 0 THEN least(e.x1, e.x2) ELSE greatest(least(e.x1, e.x2), x0 + (c - {slack}) * w) END AS xa",
+            f"CASE WHEN c = bins - 1 THEN greatest(e.x1, e.x2) ELSE least(greatest(e.x1, e.x2), x0 + (c + 1 + {slack}) * w) END AS xb",
+        ).selectExpr(
+            "*", "coalesce(e.y1 + slope * (xa - e.x1), e.y1) AS ya", "coalesce(e.y1 + slope * (xb - e.x1), e.y2) AS yb",
         )
-        .filter(f"{boundaries_meet} OR {left_in_right} OR {right_in_left}")
-        .selectExpr(f"l.id AS `{left_id}`", f"r.id AS `{right_id}`")
-    )
+        return columns.selectExpr(
+            *ids, "c", f"e AS {name}",
+            f"explode(sequence({bin_of(f'least(ya, yb) - {slack} * h', 'y0', 'h')}, "
+            f"{bin_of(f'greatest(ya, yb) + {slack} * h', 'y0', 'h')})) AS row",
+        )
+
+    keys = [*ids, "c", "row"]
+    left, right = spread_hot_keys(listed("le", "e"), listed("re", "f"), keys, ["e"])
+    return left.join(right, [*keys, "_salt"]).filter(segments_touch("e", "f")).select(*ids).distinct()

@@ -17,6 +17,8 @@ _TABLES = {
     "citizens": derived.citizens,
     "basins": derived.basins,
     "areas": derived.all_areas,
+    "lakes": derived.lakes,
+    "raw_lakes": derived.raw_lakes,
     "raw_areas": derived.raw_areas,
     "raw_citizens": derived.raw_citizens,
 }

@@ -153,6 +153,16 @@ def s2_any_layout(spark, sf):
     )
 
 
+@query("s2_lakes")
+def s2_lakes(spark, sf):
+    """Areas with holes and of several parts written as GeoJSON and read back."""
+    path = work_path(spark, "s2")
+    geojson.write_geojson(bronze(spark, sf, "lakes"), path)
+    return geojson.read_geojson(spark, path).selectExpr(
+        "area_id", "geometry_type", f"{formats.ring_wkt('ring')} AS wkt", f"{formats.wkt_ring(formats.ring_wkt('ring'))} = ring AS same"
+    )
+
+
 @query("s3_layer_scan")
 def s3(spark, sf):
     base = work_path(spark, "s3")
@@ -170,6 +180,21 @@ def s3_wkb(spark, sf):
     return layers.read_wkb_areas(spark, path).selectExpr("area_id", f"{formats.ring_wkt('ring')} AS wkt")
 
 
+@query("s3_wkb_lakes")
+def s3_wkb_lakes(spark, sf):
+    """Areas with holes and of several parts through a WKB column."""
+    path = work_path(spark, "s3")
+    layers.with_wkb(bronze(spark, sf, "lakes")).write.parquet(path)
+    return layers.read_wkb_areas(spark, path).selectExpr("area_id", f"{formats.ring_wkt('ring')} AS wkt")
+
+
+@query("s3_wkb_points")
+def s3_wkb_points(spark, sf):
+    path = work_path(spark, "s3")
+    layers.with_wkb(citizens(spark, sf).select("citizen_id", "lon", "lat")).write.parquet(path)
+    return layers.read_wkb_points(spark, path)
+
+
 @query("s4_layer_overwrite")
 def s4(spark, sf):
     base = work_path(spark, "s4")
@@ -325,6 +350,11 @@ def p3_rings(spark, sf):
     )
 
 
+@query("p3_lake_validity")
+def p3_lakes(spark, sf):
+    return validity.check_rings(bronze(spark, sf, "raw_lakes")).select("area_id", "invalid_reason", "geometry_valid")
+
+
 @query("p4_quarantine")
 def p4(spark, sf):
     _, points = validity.split_valid(validity.check_points(bronze(spark, sf, "raw_citizens")))
@@ -526,6 +556,28 @@ def j9(spark, sf):
     ).selectExpr("citizen_id", "area_id", "round(distance_m, 2) AS distance_m")
 
 
+@query("j1_within_lakes")
+def j1_lakes(spark, sf):
+    """Citizens in areas with holes and of several parts."""
+    people = citizens(spark, sf).select("citizen_id", "lon", "lat")
+    return spatial.within_join(people, bronze(spark, sf, "lakes"), "inner", ["area_id"]).select("citizen_id", "area_id")
+
+
+@query("j6_distance_to_lakes")
+def j6_lakes(spark, sf):
+    """The least distance of every citizen to an area with holes and of several parts."""
+    people = citizens(spark, sf).select("citizen_id", "lon", "lat")
+    return nearest.min_distance(people, bronze(spark, sf, "lakes"), ["citizen_id"]).selectExpr(
+        "citizen_id", "round(min_distance_m, 2) AS min_distance_m")
+
+
+@query("j10_basins_meet_lakes")
+def j10_lakes(spark, sf):
+    """Basins that share a point with an area with holes."""
+    return spatial.areas_intersect_join(
+        basins(spark, sf).selectExpr("area_id AS basin_id", "ring"), bronze(spark, sf, "lakes"), "basin_id", "area_id")
+
+
 @query("j10_areas_intersect")
 def j10(spark, sf):
     rings = areas(spark, sf).select("area_id", "ring")
@@ -778,6 +830,15 @@ def f5(spark, sf):
     )
 
 
+@query("f5_lake_measures")
+def f5_lakes(spark, sf):
+    """Extent, area and centroid of areas with holes and of several parts."""
+    return bronze(spark, sf, "lakes").selectExpr(
+        "area_id", f"{geometry.ring_bounds('ring')} AS b", f"{geometry.ring_centroid('ring')} AS c",
+        f"round({geometry.ring_area('ring')} * 1e6D, 6) AS area"
+    ).selectExpr("area_id", "b.*", "round(c.x, 9) AS lon", "round(c.y, 9) AS lat", "area")
+
+
 @query("f6_wkt")
 def f6(spark, sf):
     points = citizens(spark, sf).selectExpr("citizen_id AS id", f"{formats.point_wkt('lon', 'lat')} AS wkt")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.functions.geometry import RING_TYPE, ring_of
+from tidegrid.functions.geometry import HOLE_BREAK, PART_BREAK, RING_TYPE, ring_of
 from tidegrid.functions.text import days_from, zero_padded
 
 # The three reference flood areas (id, name, date, severity, population, bounds).
@@ -138,3 +138,44 @@ def raw_citizens(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(-30080 + (o_orderkey * o_orderkey * 31 + o_orderkey * 17) % 233 AS DOUBLE) / 1e3D AS lat",
         "o_orderkey AS arrival",
     )
+
+
+def _box(x0: int | str, y0: int | str, x1: int | str, y1: int | str) -> str:
+    return ring_of([_at(x0, y0), _at(x1, y0), _at(x1, y1), _at(x0, y1), _at(x0, y0)])
+
+
+def _with(ring: str, mark: str, condition: str) -> str:
+    """SQL text that adds a ring behind a break where ``condition`` holds."""
+    return f"CASE WHEN {condition} THEN concat(array({mark}), {ring}) ELSE CAST(array() AS {RING_TYPE}) END"
+
+
+_LAKES = ", ".join([
+    _box(0, 0, "w + 12", "h + 12"),
+    _with(_box(3, 3, 9, 9), HOLE_BREAK, "true"),
+    _with(_box(11, 11, 15, 15), HOLE_BREAK, "k % 3 = 0"),
+    _with(_box("w + 20", 0, "w + 30", 6), PART_BREAK, "k % 2 = 0"),
+    _with(_box(5, 5, 7, 7), PART_BREAK, "k % 4 = 0"),
+])
+
+_RAW_LAKES = ", ".join([
+    _LAKES,
+    _with(_box(-9, -9, -5, -5), HOLE_BREAK, "k % 9 = 1"),
+    _with(_box(1, 1, 2, 2), PART_BREAK, "k % 9 = 2"),
+    _with(_box(-2, 4, 2, 8), HOLE_BREAK, "k % 9 = 3"),
+    # in the first hole of the part it belongs to
+    _with(ring_of([_at(4, 4), _at(5, 4), _at(4, 5), _at(4, 4)]), HOLE_BREAK, "k % 9 = 4 AND k % 2 = 1"),
+    _with(ring_of([_at(1, 1), _at(2, 1), _at(1, 1)]), HOLE_BREAK, "k % 9 = 5"),
+    # touches the outer ring in one point
+    _with(ring_of([_at(0, 1), _at(2, 1), _at(2, 2), _at(0, 1)]), HOLE_BREAK, "k % 9 = 6 AND k % 2 = 1"),
+])
+
+
+def lakes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One area per supplier, ids from 1000: a box with one or two holes, half of them with a second part, some with an island in a hole."""
+    return _placed_suppliers(spark, sf_dir).selectExpr("k + 1000 AS area_id", f"concat({_LAKES}) AS ring")
+
+
+def raw_lakes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`lakes` with flaws by ``s_suppkey % 9``: 1 a hole outside, 2 a part within another, 3 a hole across the outer ring,
+    4 a hole in a hole, 5 a hole of two vertices; 6 has a hole that touches the outer ring, which is valid."""
+    return _placed_suppliers(spark, sf_dir).selectExpr("k + 1000 AS area_id", f"concat({_RAW_LAKES}) AS ring")

@@ -325,6 +325,28 @@ _cte("centroids", """SELECT area_id, round(ox + sum((x1 + x2 - 2 * ox) * w) / (3
           (x1 - ring[1].x) * (y2 - ring[1].y) - (x2 - ring[1].x) * (y1 - ring[1].y) AS w
           FROM edges AS e JOIN areas ON e.area_id = areas.area_id) AS m GROUP BY area_id, ox, oy""", "edges", "areas")
 
+# areas with holes and parts: their boxes in order, b the box in thousandths of a degree from the corner
+_cte("lake_boxes", """
+    SELECT area_id, no, part, shell, CAST(x + b[1] AS DOUBLE) / 1e3 AS x0, CAST(y + b[2] AS DOUBLE) / 1e3 AS y0,
+      CAST(x + b[3] AS DOUBLE) / 1e3 AS x1, CAST(y + b[4] AS DOUBLE) / 1e3 AS y1, b
+    FROM (SELECT k + 1000 AS area_id, x, y, 0 AS no, 0 AS part, true AS shell, [0, 0, w + 12, h + 12] AS b FROM placed
+      UNION ALL SELECT k + 1000, x, y, 1, 0, false, [3, 3, 9, 9] FROM placed
+      UNION ALL SELECT k + 1000, x, y, 2, 0, false, [11, 11, 15, 15] FROM placed WHERE k % 3 = 0
+      UNION ALL SELECT k + 1000, x, y, 3, 1, true, [w + 20, 0, w + 30, 6] FROM placed WHERE k % 2 = 0
+      UNION ALL SELECT k + 1000, x, y, 4, 2, true, [5, 5, 7, 7] FROM placed WHERE k % 4 = 0) AS u""", "placed")
+# inside an odd number of the boxes of an area that have nothing but boxes inside one another
+_cte("lake_hits", """SELECT citizen_id, area_id FROM people, lake_boxes WHERE lon BETWEEN x0 AND x1 AND lat BETWEEN y0 AND y1
+    GROUP BY citizen_id, area_id HAVING count(*) % 2 = 1 AND bool_and(lon > x0 AND lon < x1 AND lat > y0 AND lat < y1)""", "people", "lake_boxes")
+_cte("lake_edges", """SELECT area_id, no, unnest([x0, x1, x1, x0]) AS x1, unnest([y0, y0, y1, y1]) AS y1,
+    unnest([x1, x1, x0, x0]) AS x2, unnest([y0, y1, y1, y0]) AS y2 FROM lake_boxes""", "lake_boxes")
+_cte("lake_distances", f"""SELECT citizen_id, area_id, CASE WHEN {_inside('lon', 'lat')} THEN 0e0 ELSE min(metres) END AS metres
+    FROM ({_edge_distances('people', 'lake_edges', 'citizen_id')}) AS m GROUP BY citizen_id, area_id, lon, lat""", "people", "lake_edges")
+_cte("lake_text", f"""SELECT area_id, max(part) > 0 AS several, string_agg(CASE WHEN no = 0 THEN '' WHEN shell THEN ')),((' ELSE '),(' END || array_to_string(
+    [a || ' ' || b, c || ' ' || b, c || ' ' || d, a || ' ' || d, a || ' ' || b], ','), '' ORDER BY no) AS body
+    FROM (SELECT *, CAST(x0 AS VARCHAR) AS a, CAST(y0 AS VARCHAR) AS b, CAST(x1 AS VARCHAR) AS c, CAST(y1 AS VARCHAR) AS d FROM (SELECT * EXCLUDE (b) FROM lake_boxes)) AS t
+    GROUP BY area_id""", "lake_boxes")
+_LAKE_WKT = """replace(CASE WHEN several THEN 'MULTIPOLYGON(((' || body || ')))' ELSE 'POLYGON((' || body || '))' END, '.0 ', ' ')"""
+
 # --- the queries -------------------------------------------------------------
 
 ORACLES: dict[str, str] = {
@@ -346,6 +368,25 @@ ORACLES: dict[str, str] = {
     "s2_any_layout": sql("""SELECT layout, false AS malformed, count(*) AS features, count(DISTINCT area_id) AS areas,
         CAST(sum(len(ring)) AS BIGINT) AS vertices FROM areas, (SELECT unnest(['one_line', 'beside_the_frame', 'frame_over_lines',
         'feature_over_lines', 'no_collection']) AS layout) AS l GROUP BY layout""", "areas"),
+    "s2_lakes": sql(f"""SELECT area_id, CASE WHEN several THEN 'MultiPolygon' ELSE 'Polygon' END AS geometry_type,
+        {_LAKE_WKT} AS wkt, true AS same FROM lake_text""", "lake_text"),
+    "s3_wkb_lakes": sql(f"SELECT area_id, {_LAKE_WKT} AS wkt FROM lake_text", "lake_text"),
+    "s3_wkb_points": sql("SELECT citizen_id, lon, lat FROM people", "people"),
+    "p3_lake_validity": sql("""SELECT *, invalid_reason IS NULL AS geometry_valid FROM (SELECT k + 1000 AS area_id, CASE WHEN k % 9 = 1 OR k % 9 = 4 AND k % 2 = 1
+        THEN 'hole_outside' WHEN k % 9 = 2 THEN 'parts_overlap' WHEN k % 9 = 3 THEN 'self_intersection' WHEN k % 9 = 5 THEN 'too_few_vertices' END AS invalid_reason
+        FROM placed) AS p""", "placed"),
+    "j1_within_lakes": sql("SELECT citizen_id, area_id FROM lake_hits", "lake_hits"),
+    "j6_distance_to_lakes": sql("SELECT citizen_id, round(min(metres), 2) AS min_distance_m FROM lake_distances GROUP BY citizen_id", "lake_distances"),
+    "j10_basins_meet_lakes": sql(f"""SELECT DISTINCT e.area_id AS basin_id, f.area_id FROM basin_edges AS e JOIN lake_edges AS f ON
+          greatest(least(e.x1, e.x2), least(f.x1, f.x2)) <= least(greatest(e.x1, e.x2), greatest(f.x1, f.x2)) AND {_TOUCH}
+        UNION SELECT basin_id, area_id FROM (SELECT area_id AS basin_id, ring[1].x AS px, ring[1].y AS py FROM basins) AS b, lake_boxes
+          WHERE px > x0 AND px < x1 AND py > y0 AND py < y1 GROUP BY basin_id, area_id HAVING count(*) % 2 = 1
+        UNION SELECT basin_id, area_id FROM (SELECT e.area_id AS basin_id, c.area_id, c.no FROM basin_edges AS e, (SELECT area_id, no, x0 AS lon, y0 AS lat FROM lake_boxes) AS c
+          GROUP BY e.area_id, c.area_id, c.no, c.lon, c.lat HAVING {_inside('c.lon', 'c.lat')}) AS i""", "basin_edges", "lake_edges", "basins", "lake_boxes"),
+    "f5_lake_measures": sql("""SELECT area_id, min(x0) AS xmin, min(y0) AS ymin, max(x1) AS xmax, max(y1) AS ymax,
+        round(sum(s * a * (x0 + x1) / 2e0) / sum(s * a), 9) AS lon, round(sum(s * a * (y0 + y1) / 2e0) / sum(s * a), 9) AS lat,
+        round(CAST(sum(s * a) AS DOUBLE), 6) AS area
+        FROM (SELECT *, CASE WHEN shell THEN 1 ELSE -1 END AS s, (b[3] - b[1]) * (b[4] - b[2]) AS a FROM lake_boxes) AS m GROUP BY area_id""", "lake_boxes"),
     "s7_ingest_sources": sql("SELECT * FROM ingested", "ingested"),
     "s8_source_report": sql("""SELECT count(*) AS total_files, count(*) FILTER (WHERE status = 'success') AS successful,
         count(*) FILTER (WHERE status = 'error') AS failed, CAST(sum(records) AS BIGINT) AS total_records FROM ingested""", "ingested"),
