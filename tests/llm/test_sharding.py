@@ -77,3 +77,16 @@ def test_query(spark, documents):
     counts = got.groupby("shard").size()
     assert len(counts) == 40 and counts.max() - counts.min() <= 1
     assert (got["law"] == "rows").all() and got["grown_shard"].isna().all()
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["key", "n", "shard", "Slot", "at", "wish", "group"]
+    given = frame(spark, [3] * 5 + [1] * 20).selectExpr(
+        "doc_id", "'x' AS key", "CAST(doc_id AS INT) AS n", "'s' AS shard", "9 AS Slot", "2.5D AS at", "'w' AS wish", "group AS bunch", "'g' AS group")
+    out = sharding.shard_rows(given, group="bunch", shards=4)
+    assert out.columns == ["doc_id", *names, "bunch", "shard_", "slot_"]
+    got = checked(out.selectExpr("doc_id", "bunch AS group", "shard_ AS shard", "slot_ AS slot"), 4)
+    assert sorted(got["doc_id"]) == list(range(35)) and cut(got) == 0
+    plain = sharding.shard_rows(given.selectExpr("doc_id", "shard", "bunch"), group="bunch", shards=4)
+    assert plain.columns == ["doc_id", "shard", "bunch", "shard_", "slot"]
+    assert {r["shard"] for r in plain.collect()} == {"s"}

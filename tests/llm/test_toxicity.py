@@ -1,6 +1,9 @@
 """Held-out accuracy, the fit against a plain fit of the same loss, and rows out of the ordinary."""
 
+import zlib
+
 import numpy as np
+import pytest
 
 from tidegrid.llm import toxicity
 
@@ -58,3 +61,26 @@ def test_training_sample_is_bounded(spark, docs_of, monkeypatch):
     monkeypatch.setattr(toxicity, "MAX_TRAIN", 50)
     docs = docs_of([(i, f"text {i}") for i in range(400)])
     assert 10 < toxicity.training_rows(docs, _labels(spark, [(i, 1, i % 2) for i in range(400)])).count() <= 50
+
+
+def test_score_column_keeps_a_column_of_its_name(spark, documents):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = toxicity.fit(documents.select("doc_id", "text"), labels)
+    given = documents.limit(5).selectExpr("doc_id", "text", "'mine' AS Score")
+    got = toxicity.score_column(given, model)
+    assert got.columns == ["doc_id", "text", "Score", "score_"]
+    assert {r["Score"] for r in got.collect()} == {"mine"}
+
+
+def test_query_equals_plain_scoring(spark, documents):
+    """Every score of the query again from the definition: n-grams of the whole text, ratios, weights, logistic."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = toxicity.fit(documents.select("doc_id", "text"), labels)
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    got = {r["doc_id"]: r for r in toxicity.op5(spark, "/root/testdata/sf0.001").collect()}
+    assert got.keys() == texts.keys()
+    for doc_id, text in texts.items():
+        row = got[doc_id]
+        assert row["score"] == pytest.approx(model.score(text), abs=1e-6)
+        assert row["predicted"] == int(row["score"] >= 0.5)
+        assert row["held_out"] == (zlib.crc32(str(doc_id).encode()) % 5 == 0)

@@ -16,8 +16,7 @@ counted before it is shuffled, has a row per shard afterwards, and frequent grou
 one with a third of all rows is no hot key.
 
 Defined results: a null text is empty, and such documents are a group like any other; repeated rows
-are separate documents; null ids are kept; an empty table gives an empty result; other columns are
-dropped.
+are separate documents; null ids are kept; an empty table gives an empty result; ``shard_rows`` keeps columns of any name.
 """
 
 from __future__ import annotations
@@ -25,10 +24,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import lookup, table, text_digest
+from tidegrid.llm.common import fresh, lookup, table, text_digest
 from tidegrid.session import materialise
 
 SHARDS = 40
+#: Names of columns that are made on the way.
+WORKING = {"key", "n", "group", "shard", "slot", "at", "wish"}
 #: Rounds at most; groups that fit settle in one or two.
 ROUNDS = 8
 #: Rows that one task puts in order when slots are numbered.
@@ -143,8 +144,15 @@ def propagate(linked: DataFrame, quota: list[int]) -> DataFrame:
 
 
 def shard_rows(rows: DataFrame, group: str = "group", shards: int = SHARDS) -> DataFrame:
-    """``rows`` with ``shard`` and ``slot``: counts at most one apart, few groups cut."""
+    """``rows`` with ``shard`` and ``slot``: counts at most one apart, few groups cut.
+
+    Columns of any name are kept, ``group`` as the last of them; if ``rows`` has ``shard`` or ``slot``, the new ones get underscores.
+    """
     order = [c for c in rows.columns if c != group] + [group]
+    if {c.lower() for c in order[:-1]} & WORKING:
+        packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in order]).alias("packed"), F.col(f"`{group}`").alias("group"))
+        done = shard_rows(packed, "group", shards)
+        return done.select("packed.*", F.col("shard").alias(fresh(order, "shard")), F.col("slot").alias(fresh(order, "slot")))
     rows = materialise(rows.withColumn("key", F.xxhash64(*order)), "shard-rows")
     total = rows.count()
     quota = [total // shards + (s < total % shards) for s in range(shards)]

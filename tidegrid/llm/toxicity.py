@@ -215,8 +215,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score_column(docs: DataFrame, model: Model, text: str = "text", name: str = "score", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with the score of every text; the model has a fixed size."""
+    """``docs`` (or its columns ``keep``) with the score of every text as ``name``, with underscores if taken; the model has a fixed size."""
     kept = docs.columns if keep is None else keep
+    name = fresh(kept, name)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     hidden = fresh([*kept, name], "_text")
     given = docs.select(*[docs[f"`{c}`"] for c in kept], docs[f"`{text}`"].alias(hidden))
