@@ -168,3 +168,35 @@ def test_one_large_area_among_many(spark):
     a = areas_of(spark, {**small, 9999: path([box(-1, -1, 2, 2)])})
     got = spatial.areas_intersect_join(a, a.withColumnRenamed("area_id", "other_id"), "area_id", "other_id")
     assert got.count() == 3600 + 1 + 2 * 3600
+
+
+def figure(cx, cy, r, n, crossing):
+    """A fine outline; crossing swaps two vertices far apart along it."""
+    ring = circle(cx, cy, r, n)[:-1]
+    if crossing:
+        ring[n // 4], ring[n // 4 + 2] = ring[n // 4 + 2], ring[n // 4]
+    return ring
+
+
+@pytest.mark.parametrize("crowded", [1, 8, 64])
+def test_crowded_outlines_are_checked_exactly(spark, monkeypatch, crowded):
+    monkeypatch.setattr(validity, "CROWDED", crowded)
+    rings = {}
+    for i in range(12):
+        fine = figure(0, 0, 1e-4, 300, i % 3 == 1)
+        # a far vertex makes all the others share a cell at first
+        ring = [*fine, (5.0, 0.001 * i)] if i % 3 != 2 else [*fine, (5.0, 0.0), (5.0, 1.0), (-5.0, 1e-5), (5.0, -1.0)]
+        rings[i] = path([[*ring, ring[0]]])
+    got = {r["area_id"]: r["geometry_valid"] for r in validity.check_rings(areas_of(spark, rings)).collect()}
+    assert got == {i: i % 3 == 0 for i in range(12)}
+
+
+def test_one_stray_vertex_does_not_bring_all_pairs(spark):
+    fine = circle(0, 0, 1e-3, 8000)[:-1]
+    frame = areas_of(spark, {1: path([[*fine, (50.0, 50.0), fine[0]]])}).selectExpr("'a' AS _ring_id", "ring")
+    start = validity._ring_edges(frame)
+    assert start.count() == 8001
+    assert validity.self_intersecting(frame).count() == 0
+    # the most edges that any cell keeps
+    once = validity._under_cells(start.selectExpr("_ring_id", "k", "n", "i", "e", "bins", "x0", "y0", "w", "h", "0L AS cell"))
+    assert once.groupBy("cell").count().agg(F.max("count")).first()[0] > 4000

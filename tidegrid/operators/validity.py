@@ -56,15 +56,17 @@ def _bin_of(value: str) -> str:
 _SLACK = "1e-6D"
 
 
-def self_intersecting(rings: DataFrame) -> DataFrame:
-    """The ``_ring_id`` of areas with a ring that crosses, touches or retraces itself, or rings that cross each other.
+#: More edges than this in a cell, and the cell gets a grid of its own.
+CROWDED = 64
+#: Grids within grids; each divides a crowded side by the root of the cell's edges. What still crowds a cell then shares a point.
+DEEPEST = 6
 
-    ``rings``: ``_ring_id``, ``ring``, closed rings with an area. Edges are compared
-    only where they share a cell of a grid laid over that area, about one cell per edge, so
-    long rings are neither held in one task nor compared edge by edge. Directly repeated
-    vertices are allowed, and so are different rings that touch in single points.
+
+def _under_cells(edges: DataFrame) -> DataFrame:
+    """Edges under each cell they run through of the grid of their ``cell`` (``bins``, ``x0``, ``y0``, ``w``, ``h``).
+
+    ``cell`` is then the finer one, with its corner in ``x0``, ``y0``.
     """
-    edges = _ring_edges(rings)
     first = _bin_of(f"(least(e.x1, e.x2) - x0) / w - {_SLACK}")
     last = _bin_of(f"(greatest(e.x1, e.x2) - x0) / w + {_SLACK}")
     # the part of an edge within one column of cells, with a little slack on either side
@@ -84,11 +86,42 @@ def self_intersecting(rings: DataFrame) -> DataFrame:
     )
     bottom = _bin_of(f"(least(ya, yb) - y0) / h - {_SLACK}")
     top = _bin_of(f"(greatest(ya, yb) - y0) / h + {_SLACK}")
-    binned = parts.selectExpr(
-        "_ring_id", "k", "n", "c", "i", "e", f"explode(sequence({bottom}, {top})) AS r"
-    )
-    other = binned.selectExpr("_ring_id AS id2", "k AS k2", "c AS c2", "r AS r2", "i AS j", "e AS f")
-    meets = f"""_ring_id = id2 AND c = c2 AND r = r2 AND CASE
+    # within a finer grid an edge may be above or below it in some column
+    reaching = parts.filter(f"greatest(ya, yb) >= y0 - {_SLACK} * h AND least(ya, yb) <= y0 + (bins + {_SLACK}) * h")
+    # cells of equal hash are compared together, which finds nothing that is not there
+    return reaching.selectExpr("*", f"explode(sequence({bottom}, {top})) AS r").selectExpr(
+        "_ring_id", "k", "n", "i", "e", "w", "h", "x0 + c * w AS x0", "y0 + r * h AS y0", "xxhash64(cell, c, r) AS cell")
+
+
+def self_intersecting(rings: DataFrame) -> DataFrame:
+    """The ``_ring_id`` of areas with a ring that crosses, touches or retraces itself, or rings that cross each other.
+
+    ``rings``: ``_ring_id``, ``ring``, closed rings with an area. Edges are compared
+    only where they share a cell of a grid laid over that area, about one cell per edge; a cell that many edges share
+    gets a finer grid, so however unevenly an outline is drawn, it is neither held in one task nor compared edge by edge. Directly
+    repeated vertices are allowed, and so are different rings that touch in single points.
+    """
+    start = _ring_edges(rings).selectExpr("_ring_id", "k", "n", "i", "e", "bins", "x0", "y0", "w", "h", "0L AS cell")
+    binned = _under_cells(start)
+    settled = None
+    longest = rings.selectExpr("max(size(ring)) AS n").first()["n"] or 0
+    for _ in range(DEEPEST if longest > CROWDED else 0):
+        binned = materialise(binned, "edges-by-cell")
+        counts = materialise(
+            binned.groupBy("_ring_id", "cell").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > CROWDED), "crowded-cells")
+        crowded = counts.count()
+        if not crowded:
+            break
+        told = meet(binned, counts, ["_ring_id", "cell"], ["_ring_id", "k", "i"], crowded * 128 <= BROADCAST_BYTES, "left")
+        calm = told.filter("held IS NULL").drop("held")
+        settled = calm if settled is None else settled.unionByName(calm)
+        finer = told.filter("held IS NOT NULL").selectExpr(
+            "_ring_id", "k", "n", "i", "e", "x0", "y0", "cell", "CAST(ceil(sqrt(held)) AS BIGINT) AS bins",
+            "w / ceil(sqrt(held)) AS w", "h / ceil(sqrt(held)) AS h")
+        binned = _under_cells(finer)
+    binned = (binned if settled is None else settled.unionByName(binned)).select("_ring_id", "k", "n", "i", "e", "cell")
+    other = binned.selectExpr("_ring_id AS id2", "k AS k2", "cell AS cell2", "i AS j", "e AS f")
+    meets = f"""_ring_id = id2 AND cell = cell2 AND CASE
         WHEN k <> k2 THEN {segments_cross('e', 'f')}
         WHEN i = j THEN false
         WHEN j = (i + 1) % n THEN {folds_back('e', 'f')}

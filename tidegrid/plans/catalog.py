@@ -1062,3 +1062,18 @@ def t4(spark, sf):
         stream = drops.first_seen(dated, ["citizen_id"], "seen_at", "90 days")
         drops.append_to(stream, f"{base}/table", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/table").select("citizen_id", "name", "drop_no")
+
+
+@query("t4_first_settled")
+def t4_settled(spark, sf):
+    """Every record twice in a drop, in several files: the first of its drop wins, wherever it lies."""
+    base = work_path(spark, "t4")
+    for n, frame in enumerate(_drop_frames(spark, sf)):
+        twice = frame.selectExpr("*", "explode(array(2, 1)) AS seq").withColumn("name", F.expr("name || ' ' || CAST(seq AS STRING)"))
+        twice.repartition(3 + n).write.mode("append").parquet(f"{base}/inbox")
+        dated = drops.watch_parquet(spark, f"{base}/inbox", DROP_SCHEMA + ", seq int").selectExpr(
+            "*", "timestamp_seconds(drop_no * 86400L) AS seen_at"
+        )
+        stream = drops.first_settled(dated, ["citizen_id"], ["drop_no", "seq"], "seen_at", "90 days")
+        drops.append_to(stream, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/table").select("citizen_id", "name", "drop_no", "seq")

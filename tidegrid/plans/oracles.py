@@ -296,11 +296,12 @@ _cte("drops", """SELECT citizen_id, name || ' v1' AS name, lon, lat, 1 AS drop_n
 _COUNTS = """count(*) AS total_citizens, count(CASE WHEN affected_by_flooding THEN 1 END) AS affected,
     count(CASE WHEN NOT affected_by_flooding THEN 1 END) AS unaffected"""
 _SHARE = _COUNTS + """, round(100e0 * count(CASE WHEN affected_by_flooding THEN 1 END) / nullif(count(*), 0), 2) AS affected_pct"""
-_SUMMARY = """SELECT 'total' AS category, count(*) AS count, 0e0 AS percentage FROM table_now
-    UNION ALL SELECT 'affected', count(*), round(count(*) * 100e0 / (SELECT count(*) FROM table_now), 2)
-      FROM table_now WHERE affected_by_flooding
-    UNION ALL SELECT 'unaffected', count(*), round(count(*) * 100e0 / (SELECT count(*) FROM table_now), 2)
-      FROM table_now WHERE NOT affected_by_flooding"""
+# a category wants rows of one flag, or all
+_SUMMARY = """SELECT category, CAST(coalesce(sum(n) FILTER (WHERE wanted IS NULL OR flag = wanted), 0) AS BIGINT) AS count,
+    CASE WHEN wanted IS NULL THEN 0e0 ELSE round(100e0 * coalesce(sum(n) FILTER (WHERE flag = wanted), 0) / nullif(sum(n), 0), 2) END AS percentage
+    FROM (VALUES ('total', NULL), ('affected', true), ('unaffected', false)) AS c(category, wanted),
+      (SELECT affected_by_flooding AS flag, count(*) AS n FROM table_now GROUP BY affected_by_flooding) AS t
+    GROUP BY category, wanted"""
 _INGESTED = """SELECT 'citizens_data.csv' AS source, 'csv' AS source_type, 'success' AS status,
       CAST((SELECT count(*) FROM people) AS BIGINT) AS records
     UNION ALL SELECT 'citizens_data.geojson', 'geojson', 'success', (SELECT count(*) FROM areas)
@@ -586,4 +587,6 @@ ORACLES: dict[str, str] = {
         (PARTITION BY citizen_id ORDER BY drop_no DESC) AS rn FROM drops) AS r WHERE rn = 1""", "drops"),
     "t4_first_seen": sql("""SELECT citizen_id, name, drop_no FROM (SELECT *, row_number() OVER
         (PARTITION BY citizen_id ORDER BY drop_no) AS rn FROM drops) AS r WHERE rn = 1""", "drops"),
+    "t4_first_settled": sql("""SELECT citizen_id, name || ' 1' AS name, drop_no, 1 AS seq FROM (SELECT *, row_number() OVER
+        (PARTITION BY citizen_id ORDER BY drop_no) AS rn FROM drops) AS r WHERE rn = 1""", "drops"),
 }

@@ -7,10 +7,14 @@ overwrite: a batch that is run again after a failure replaces its own folder and
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidegrid.operators.classify import flag_pairs
 from tidegrid.operators.cleaning import keep_first, keep_last
@@ -101,6 +105,44 @@ def first_seen(stream: DataFrame, key: list[str], event_time: str | None = None,
     return stream.dropDuplicates(key)
 
 
+def first_settled(
+    stream: DataFrame, key: list[str], order: list[str], event_time: str | None = None, keep_for: str | None = None
+) -> DataFrame:
+    """As :func:`first_seen`, and of several records of a key in one micro-batch the first by ``order`` wins, whatever the partitions.
+
+    Equal ones are told apart by their other columns. The state of a key is that it was seen. With ``event_time`` and
+    ``keep_for`` a key is forgotten once the watermark is that far behind its last record. A key's records of a
+    micro-batch are looked through in chunks, so none has to fit in memory.
+    """
+    columns = stream.columns
+    by = [*order, *[c for c in columns if c not in order]]
+    if event_time and keep_for:
+        stream = stream.withWatermark(event_time, keep_for)
+    millis = int(pd.Timedelta(keep_for).total_seconds() * 1000) if keep_for else 0
+
+    def first(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.sort_values(by, kind="stable", na_position="first").head(1)
+
+    def pick(_, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best, latest, known = None, state.getCurrentWatermarkMs() if millis else 0, state.exists
+        for chunk in chunks:
+            if millis:
+                times = pd.to_datetime(chunk[event_time]).dropna()
+                latest = max([latest, *(t.value // 1_000_000 for t in [times.max()] if len(times))])
+            best = first(chunk if best is None else pd.concat([best, chunk]))
+        state.update((True,))
+        if millis:
+            state.setTimeoutTimestamp(latest + millis)
+        if not known and best is not None:
+            yield best[columns]
+
+    timeout = GroupStateTimeout.EventTimeTimeout if millis else GroupStateTimeout.NoTimeout
+    return stream.groupBy(*key).applyInPandasWithState(pick, stream.schema, "seen boolean", "append", timeout)
+
+
 def first_of_drops(spark: SparkSession, path: str, key: list[str], order: list[str]) -> DataFrame:
     """As :func:`first_seen`, from stored drops, with the order within a drop settled too."""
     drops = spark.read.parquet(path)
