@@ -172,3 +172,14 @@ def test_some_window_lies_inside_the_passage():
         for before in range(100, 132):
             text = np.concatenate([rng.choice(heavy, before), words, rng.choice(heavy, 100)])
             assert any(common == n for *_, common, _ in searcher.search(iter([text])))
+
+
+def test_columns_named_like_results_are_kept(spark, docs_of):
+    passage = " ".join(f"word{i}" for i in range(30))
+    docs = docs_of([(1, f"before {passage} after"), (2, "nothing of it")], extra="cosine").withColumnsRenamed(
+        {"lang": "item_id", "source": "Answered", "n_chars": "segment_words"})
+    benchmark = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    got = dc.leaks(docs, benchmark)
+    assert got.columns == ["doc_id", "item_id", "Answered", "segment_words", "cosine", "item_id_", "cosine_", "common_words", "segment_words_", "answered_"]
+    rows = got.collect()
+    assert [(r["doc_id"], r["item_id"], r["cosine"], r["item_id_"]) for r in rows] == [(1, "en", "x", 7)]

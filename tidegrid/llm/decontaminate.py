@@ -432,12 +432,17 @@ def _vectors_for(termed: DataFrame, name: str, benchmark: DataFrame) -> np.ndarr
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row for each document (its columns but ``text``) and item found in it."""
+    """One row for each document (its columns but ``text``) and item found in it.
+
+    Adds ``item_id``, ``cosine``, ``common_words``, ``segment_words`` and ``answered``; names that ``docs`` has get underscores.
+    """
     kept = [c for c in docs.columns if c != "text"]
     name = fresh(kept, "_terms")
     termed = with_terms(docs, kept, name)
     vectors = _vectors_for(termed, name, benchmark)
     extra = T.StructType.fromDDL("item_id long, cosine double, common_words int, segment_words int, answered boolean")
+    for field_ in extra.fields:
+        field_.name = fresh(kept, field_.name)
     schema = T.StructType([f for f in docs.schema.fields if f.name != "text"] + extra.fields)
     out = None
     for rows in _blocks(benchmark):
