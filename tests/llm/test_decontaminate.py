@@ -183,3 +183,11 @@ def test_columns_named_like_results_are_kept(spark, docs_of):
     assert got.columns == ["doc_id", "item_id", "Answered", "segment_words", "cosine", "item_id_", "cosine_", "common_words", "segment_words_", "answered_"]
     rows = got.collect()
     assert [(r["doc_id"], r["item_id"], r["cosine"], r["item_id_"]) for r in rows] == [(1, "en", "x", 7)]
+
+
+def test_pieces_of_one_word_hash_like_any_other():
+    from xxhash import xxh32_digest
+
+    for piece in ["word", "Word,", "(éÀß)", "a_b", "_a", "x²", "漢字", "ไทย", "...", "a-b", "<p>Word</p>", "it's", "\x1cq\x1c", "İ", "ǅ"]:
+        want = b"".join(xxh32_digest(w.lower())[::-1] for w in dc.WORD.findall(piece))
+        assert dc.TermHashes()[piece] == want

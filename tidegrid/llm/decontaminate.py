@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from xxhash import xxh32_intdigest
+from xxhash import xxh32_digest
 
 from tidegrid.llm.common import fresh, table
 from tidegrid.session import materialise
@@ -72,6 +72,8 @@ COUNTED_AT_ONCE = 64 * 1024
 
 #: Thai, Lao, Burmese, Khmer, kana and Han, which are written without spaces.
 UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+#: ASCII characters that are no part of a word.
+MARKS = re.sub(r"\w", "", "".join(map(chr, range(128))))
 WORD = re.compile(rf"(?=\w)[{UNSPACED}]|[^\W{UNSPACED}]+")
 #: Odd factor of the numbers that rows of a few words are looked up by.
 FACTOR = 0x9E3779B97F4A7C15
@@ -84,7 +86,12 @@ class TermHashes(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= KNOWN_WORDS:
             self.clear()
-        value = self[piece] = b"".join(xxh32_intdigest(w.lower()).to_bytes(4, "little") for w in WORD.findall(piece))
+        word = piece.strip(MARKS)
+        if word.isalnum() and max(word) < UNSPACED[0]:  # one word, as most pieces are
+            value = xxh32_digest(word.lower())[::-1]
+        else:
+            value = b"".join(xxh32_digest(w.lower())[::-1] for w in WORD.findall(piece))
+        self[piece] = value
         return value
 
 
