@@ -31,9 +31,9 @@ from pyspark.sql import types as T
 
 from tidegrid.llm.common import fresh, table
 
-#: Matches kept with their ids in each Python worker; the store is emptied when full.
-CACHE_SIZE = 400_000
-#: Longer matches are not kept, so the store stays below 150 MB.
+#: Matches kept with their ids in each Python worker, from one task to the next.
+CACHE_SIZE = 600_000
+#: Longer matches are not kept, so the store stays below 225 MB.
 CACHE_LENGTH = 40
 #: What the classes of the pattern hold up to U+00FF, for use within a class.
 LATIN = {
@@ -57,16 +57,23 @@ NEWER_SET = "[" + "".join("-".join(f"\\U{int(x, 16):08x}" for x in r.split("-"))
 
 
 class Known(dict):
-    """The ids of each match met so far, as little-endian unsigned 32-bit integers."""
+    """The ids of each match met lately, as little-endian unsigned 32-bit integers.
+
+    When it has ``CACHE_SIZE`` / 2 matches they are put aside; those met again come back, the others go with the next time.
+    """
 
     def __init__(self, merge):
         super().__init__()
         self.merge = merge
+        self.aside: dict[str, bytes] = {}
 
     def __missing__(self, match: str) -> bytes:
-        ids = np.array(self.merge(match.encode("utf-8")), "<u4").tobytes()
+        ids = self.aside.get(match)
+        if ids is None:
+            ids = np.array(self.merge(match.encode("utf-8")), "<u4").tobytes()
         if len(match) <= CACHE_LENGTH:
-            if len(self) >= CACHE_SIZE:
+            if len(self) >= CACHE_SIZE // 2:
+                self.aside = self.copy()
                 self.clear()
             self[match] = ids
         return ids
@@ -247,7 +254,6 @@ def encode_column(
                 flat = pa.concat_arrays(all_ids) if all_ids else pa.array([], pa.int32())
                 columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-        model.known.clear()  # the worker may wait for its next task long after
 
     return given.mapInArrow(run, schema)
 
