@@ -93,10 +93,10 @@ def _under_cells(edges: DataFrame) -> DataFrame:
         "_ring_id", "k", "n", "i", "e", "w", "h", "x0 + c * w AS x0", "y0 + r * h AS y0", "xxhash64(cell, c, r) AS cell")
 
 
-def self_intersecting(rings: DataFrame) -> DataFrame:
+def self_intersecting(rings: DataFrame, longest: int | None = None) -> DataFrame:
     """The ``_ring_id`` of areas with a ring that crosses, touches or retraces itself, or rings that cross each other.
 
-    ``rings``: ``_ring_id``, ``ring``, closed rings with an area. Edges are compared
+    ``rings``: ``_ring_id``, ``ring``, closed rings with an area; ``longest`` the most vertices of any, if known. Edges are compared
     only where they share a cell of a grid laid over that area, about one cell per edge; a cell that many edges share
     gets a finer grid, so however unevenly an outline is drawn, it is neither held in one task nor compared edge by edge. Directly
     repeated vertices are allowed, and so are different rings that touch in single points.
@@ -104,7 +104,8 @@ def self_intersecting(rings: DataFrame) -> DataFrame:
     start = _ring_edges(rings).selectExpr("_ring_id", "k", "n", "i", "e", "bins", "x0", "y0", "w", "h", "0L AS cell")
     binned = _under_cells(start)
     settled = None
-    longest = rings.selectExpr("max(size(ring)) AS n").first()["n"] or 0
+    if longest is None:
+        longest = rings.selectExpr("max(size(ring)) AS n").first()["n"] or 0
     for _ in range(DEEPEST if longest > CROWDED else 0):
         binned = materialise(binned, "edges-by-cell")
         counts = materialise(
@@ -179,8 +180,9 @@ def check_rings(areas: DataFrame) -> DataFrame:
         .agg(F.expr("any_value(ring) AS ring"))
     )
     to_check = materialise(to_check.withColumn("_several", F.expr(has_breaks("ring"))), "rings-to-check")
-    crossed = self_intersecting(to_check).withColumn("_flaw", F.lit("self_intersection"))
-    if to_check.filter("_several").limit(1).count():
+    seen = to_check.selectExpr("coalesce(bool_or(_several), false) AS several", "coalesce(max(size(ring)), 0) AS longest").first()
+    crossed = self_intersecting(to_check, seen["longest"]).withColumn("_flaw", F.lit("self_intersection"))
+    if seen["several"]:
         misplaced = misplaced_rings(to_check.filter("_several"))
         crossed = crossed.unionByName(misplaced.withColumnRenamed("_misplaced", "_flaw")).groupBy("_ring_id").agg(
             # rings that cross may seem misplaced as well
