@@ -200,3 +200,15 @@ def test_one_stray_vertex_does_not_bring_all_pairs(spark):
     # the most edges that any cell keeps
     once = validity._under_cells(start.selectExpr("_ring_id", "k", "n", "i", "e", "bins", "x0", "y0", "w", "h", "0L AS cell"))
     assert once.groupBy("cell").count().agg(F.max("count")).first()[0] > 4000
+
+
+def test_sql_names_take_areas_with_holes(spark):
+    from tidegrid.functions import registry
+
+    registry.register(spark)
+    lake = "st_geomfromtext('POLYGON((0 0,10 0,10 10,0 10,0 0),(2 2,4 2,4 4,2 4,2 2))')"
+    row = spark.sql(f"""SELECT st_distance({lake}, 1D, 1D) AS inside, st_distance({lake}, 3D, 3D) AS in_hole, st_area({lake}) AS area,
+        st_contains({lake}, 3D, 3D) AS held, st_astext({lake}) AS text, st_geomfromtext('POINT(1 2)') AS none""").first()
+    assert row["inside"] == 0 and 100_000 < row["in_hole"] < 112_000 and row["area"] == 96
+    assert row["held"] is False and row["none"] is None
+    assert row["text"] == "POLYGON((0 0,10 0,10 10,0 10,0 0),(2 2,4 2,4 4,2 4,2 2))"

@@ -19,6 +19,7 @@ _POINT = "STRUCT<x: DOUBLE, y: DOUBLE>"
 FUNCTIONS = {
     "st_contains": (f"{_RING}, lon DOUBLE, lat DOUBLE", "BOOLEAN", geometry.ring_contains("ring", "lon", "lat")),
     "st_distance_m": (f"{_RING}, lon DOUBLE, lat DOUBLE", "DOUBLE", geometry.ring_distance("ring", "lon", "lat")),
+    "st_distance": (f"{_RING}, lon DOUBLE, lat DOUBLE", "DOUBLE", geometry.ring_distance("ring", "lon", "lat")),
     "st_centroid": (_RING, _POINT, geometry.ring_centroid("ring")),
     "st_area": (_RING, "DOUBLE", geometry.ring_area("ring")),
     "st_isvalid_point": ("lon DOUBLE, lat DOUBLE", "BOOLEAN", geometry.point_is_valid("lon", "lat")),
@@ -33,6 +34,7 @@ FUNCTIONS = {
     "st_asgeojson": (_RING, "STRING", formats.ring_geojson("ring")),
     "st_asgeojson_point": ("lon DOUBLE, lat DOUBLE", "STRING", formats.point_geojson("lon", "lat")),
     "st_polygonfromtext": ("wkt STRING", "ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>", formats.wkt_ring("wkt")),
+    "st_geomfromtext": ("wkt STRING", "ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>", formats.wkt_ring("wkt")),
     "st_pointfromtext": ("wkt STRING", _POINT, formats.wkt_point("wkt")),
 }
 
