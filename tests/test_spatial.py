@@ -37,6 +37,40 @@ def test_joins_equal_brute_force(fixture, options):
     assert sorted(semi) == sorted(affected)
     anti = [r["id"] for r in spatial.join_index(points, index, "anti").collect()]
     assert sorted(anti) == sorted(everyone - affected)
+    flagged = [(r["id"], r["hit"]) for r in spatial.flag_index(points, index, "hit").collect()]
+    assert sorted(flagged) == sorted((i, i in affected) for i in everyone)
+
+
+@pytest.mark.parametrize("options", OPTIONS)
+def test_flags_keep_repeated_and_lost_points(spark, fixture, options):
+    points, areas, hits = fixture
+    index = index_areas(areas, ["area_id"], **options)
+    one = next(iter(hits))[0]
+    copies = points.filter(f"id = {one}").crossJoin(spark.range(300).select()).unionByName(
+        spark.createDataFrame([(-1, None, 1.0), (-2, float("nan"), 0.0), (-3, None, None)], "id long, lon double, lat double")
+    ).unionByName(points.filter(f"id <> {one}"))
+    got = spatial.flag_index(copies, index, "hit").groupBy("id").agg(
+        F.count("*").alias("n"), F.count_if("hit").alias("yes")).collect()
+    found = {r["id"]: (r["n"], r["yes"]) for r in got}
+    assert found[one] == (300, 300) and all(found[i] == (1, 0) for i in (-1, -2, -3))
+    assert len(found) == points.count() + 3
+    with pytest.raises(ValueError):
+        spatial.flag_index(points, index, "lon")
+
+
+def test_points_run_once_whatever_the_levels(fixture):
+    points, areas, _ = fixture
+    small = index_areas(areas, ["area_id"], side=2.0**-9)
+    assert small.small and len(small.levels) > 1
+    for how in ("left", "semi", "anti"):
+        plan = spatial.join_index(points, small, how)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("InMemoryRelation [id") == 1, how
+    large = index_areas(areas, ["area_id"], side=2.0**-9, broadcast_bytes=0)
+    joins = [
+        spatial.join_index(points, index, "anti")._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+        for index in (large, index_areas(areas, ["area_id"], side=2.0**-12, broadcast_bytes=0))
+    ]
+    assert joins[0] == joins[1]
 
 
 def test_several_levels_are_in_play(fixture):

@@ -53,21 +53,48 @@ class _Probe:
         joined = self._meet(placed, cells, ["_cx", "_cy"], how)
         return joined.select(*points.columns) if how in ("left_semi", "left_anti") else joined
 
-    def inner(self, points: DataFrame) -> DataFrame:
+    def inner(self, points: DataFrame, how: str = "inner") -> DataFrame:
         if len(self.index.levels) == 1:
-            return self.at_level(points, self.index.levels[0], "inner")
+            return self.at_level(points, self.index.levels[0], how)
         places = ", ".join(
             "struct({} AS _level, {} AS _cx, {} AS _cy)".format(level, *self.cell(level))
             for level in self.index.levels
         )
         placed = points.selectExpr("*", f"inline(array({places})) AS (_level, _cx, _cy)")
-        return self._meet(placed, self.index.cells, ["_level", "_cx", "_cy"], "inner")
+        return self._meet(placed, self.index.cells, ["_level", "_cx", "_cy"], how)
 
-    def without(self, points: DataFrame, levels: tuple[int, ...]) -> DataFrame:
-        for level in levels:
+    def without(self, points: DataFrame) -> DataFrame:
+        for level in self.index.levels:
             points = self.at_level(points, level, "left_anti")
         return points
 
+    def gathered(self, points: DataFrame) -> tuple[DataFrame, list[str]]:
+        """Points once each, with an array of the areas of their cell at each level and the names of these columns.
+
+        For small indexes: a broadcast look-up a level, so points run once, without a shuffle.
+        """
+        area = ", ".join(["_inside", "_edges", *[f"`{c}`" for c in self.index.area_columns]])
+        columns, names = list(points.columns), []
+        for level in self.index.levels:
+            cx, cy = self.cell(level)
+            name = f"_at{level}"
+            cells = self.index.cells.filter(f"_level = {level}").groupBy("_cx", "_cy").agg(
+                F.expr(f"collect_list(struct({area}))").alias(name)
+            )
+            points = points.selectExpr(*columns, *names, f"{cx} AS _cx", f"{cy} AS _cy")
+            points = points.join(F.broadcast(cells), ["_cx", "_cy"], "left")
+            names.append(name)
+        return points.select(*columns, *names), names
+
+    def hit_places(self, points: DataFrame) -> DataFrame:
+        """Distinct coordinates inside some area, by one join over all levels, written once.
+
+        Coordinates alone decide, so a place with a third of all points is looked up as one.
+        """
+        by_place = _Probe(self.index, self.hit, self.lon, self.lat, [self.lon, self.lat])
+        places = by_place.inner(points.select(self.lon, self.lat).distinct(), "left_semi")
+        return materialise(places.select(self.lon, self.lat).distinct(), "hit-places")
+
 
 def join_index(
     points: DataFrame,
@@ -92,25 +119,75 @@ def join_index(
     probe = _Probe(index, hit, lon, lat, row_id or points.columns)
     levels = index.levels
     out = [*points.columns, *index.area_columns]
+    # a stream cannot be looked up beforehand
+    by_place = len(levels) > 1 and not index.small and not points.isStreaming
     if how == "inner":
         return probe.inner(points).select(*out)
-    if how == "anti":
-        return probe.without(points, levels)
-    if how == "semi":
-        return _union(
-            [
-                probe.at_level(probe.without(points, levels[:i]), level, "left_semi")
-                for i, level in enumerate(levels)
-            ]
-        )
+    if how in ("semi", "anti"):
+        if len(levels) == 1:
+            return probe.at_level(points, levels[0], f"left_{how}")
+        if how == "anti" and not index.small and not by_place:
+            return probe.without(points)
+        flagged = flag_index(points, index, "_hit", lon, lat, row_id)
+        return flagged.filter("_hit" if how == "semi" else "NOT _hit").select(*points.columns)
     if how == "left":
         if len(levels) == 1:
             return probe.at_level(points, levels[0], "left").select(*out)
-        alone = probe.without(points, levels)
+        if index.small:
+            met, names = probe.gathered(points)
+            area = ", ".join(f"_area.`{c}` AS `{c}`" for c in index.area_columns)
+            holding = ", ".join(
+                f"transform(filter(coalesce({n}, array()), _area -> {_holds(lon, lat)}), _area -> struct({area}))"
+                for n in names
+            )
+            columns = ", ".join(f"`{c}`" for c in index.area_columns)
+            return met.selectExpr(
+                *[f"`{c}`" for c in points.columns], f"inline_outer(concat({holding})) AS ({columns})"
+            )
+        alone = join_index(points, index, "anti", lon, lat, row_id)
         return probe.inner(points).select(*out).unionByName(alone, allowMissingColumns=True)
     raise ValueError(f"how must be inner, left, semi or anti, not {how!r}")
 
 
+def _holds(lon: str, lat: str) -> str:
+    """Whether the candidate ``_area`` of a cell contains the point."""
+    return f"(_area._inside OR {edges_contain('_area._edges', lon, lat)})"
+
+
+def flag_index(
+    points: DataFrame,
+    index: AreaIndex,
+    flag: str,
+    lon: str = "lon",
+    lat: str = "lat",
+    row_id: list[str] | None = None,
+) -> DataFrame:
+    """Points once each, with a boolean ``flag``: whether at least one indexed area strictly contains them.
+
+    Points run once: through broadcast look-ups of a small index, else through one join with the places
+    that were hit. ``row_id`` as in :func:`join_index`.
+    """
+    if flag in points.columns:
+        raise ValueError(f"there is a column {flag} already")
+    probe = _Probe(index, f"_inside OR {edges_contain('_edges', lon, lat)}", lon, lat, row_id or points.columns)
+    columns = [f"`{c}`" for c in points.columns]
+    if index.small:
+        met, names = probe.gathered(points)
+        hit = " OR ".join(f"coalesce(exists({n}, _area -> {_holds(lon, lat)}), false)" for n in names)
+        return met.selectExpr(*columns, f"({hit}) AS `{flag}`")
+    if points.isStreaming:
+        # a level at a time: points that are hit leave the rest
+        parts, rest = [], points
+        for level in index.levels:
+            parts.append(probe.at_level(rest, level, "left_semi").withColumn(flag, F.lit(True)))
+            rest = probe.at_level(rest, level, "left_anti")
+        return _union([*parts, rest.withColumn(flag, F.lit(False))])
+    places = probe.hit_places(points)
+    small = 64 * places.count() <= index.broadcast_bytes
+    marked = meet(points, places.withColumn("_hit_place", F.lit(True)), [lon, lat], probe.row_id, small, "left")
+    return marked.selectExpr(*columns, f"_hit_place IS NOT NULL AS `{flag}`")
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     whole = parts[0]
     for part in parts[1:]:

@@ -47,12 +47,7 @@ def areas(spark: SparkSession, sf: str) -> DataFrame:
 def flagged(spark: SparkSession, sf: str, among: DataFrame | None = None) -> DataFrame:
     """The citizens table: one row per citizen, flagged against the reference areas or others."""
     index = index_areas(reference_areas(spark) if among is None else among, ["area_id"])
-    people = citizens(spark, sf)
-    inside = spatial.join_index(people, index, "semi", row_id=["citizen_id"])
-    outside = spatial.join_index(people, index, "anti", row_id=["citizen_id"])
-    return inside.withColumn(reports.FLAG, F.lit(True)).unionByName(
-        outside.withColumn(reports.FLAG, F.lit(False))
-    )
+    return spatial.flag_index(citizens(spark, sf), index, reports.FLAG, row_id=["citizen_id"])
 
 
 def silver_citizens(spark: SparkSession, sf: str) -> DataFrame:
