@@ -1,8 +1,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from tidegrid.functions.geometry import RING_TYPE
+from tidegrid.functions.geometry import RING_TYPE, ring_of
 from tidegrid.operators.grid import index_areas
 from tidegrid.plans import medallion
 from tidegrid.plans.derived import reference_areas
@@ -142,6 +143,87 @@ def test_ingest_reports_and_goes_on(spark, tmp_path):
     assert ingest.records_by_source(shapes).first().asDict() == {"_source_type": "geojson", "records": 4, "rejected": 1}
 
 
+def test_damaged_records_are_marked_and_kept(spark, tmp_path):
+    path = tmp_path / "d.csv"
+    path.write_text("id,latitude,longitude\n1,5.5,6.5\n2,7.5\n3,8.5,9.5,10\n4,x,1.5\n")
+    schema = "id long, latitude double, longitude double"
+    rows = csv_points.read_csv_points(spark, str(path), schema=schema, damaged="why").select("id", "lon", "lat", "why").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [
+        (1, 6.5, 5.5, None), (2, None, 7.5, "2,7.5"), (3, 9.5, 8.5, "3,8.5,9.5,10"), (4, 1.5, None, "4,x,1.5")
+    ]
+    # the mark does not depend on the columns asked for
+    few = csv_points.read_csv_points(spark, str(path), schema=schema, damaged="why").select("id", "why").orderBy("id")
+    assert [r["why"] is None for r in few.collect()] == [True, False, False, False]
+    with pytest.raises(ValueError):
+        csv_points.read_csv_points(spark, str(path), schema=schema, damaged="id")
+    (tmp_path / "d.csv").write_text("id,latitude,longitude\n1,5.5,6.5\n2,7.5\n3,8.5,9.5,10\n")
+    report = ingest.ingest_all(spark, [str(tmp_path)], str(tmp_path / "out"), RUN_TS).first()
+    assert (report["status"], report["records"]) == ("success", 3)
+    converted = spark.read.parquet(report["output"])
+    assert {r["id"]: (r["invalid_reason"], r["_damaged"]) for r in converted.collect()} == {
+        1: (None, None), 2: ("malformed", "2,7.5"), 3: ("malformed", "3,8.5,9.5,10")
+    }
+    assert ingest.records_by_source(converted).first()["rejected"] == 2
+
+
+def _rows_scanned(df) -> int:
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.head().metrics().apply("numOutputRows").value()
+
+
+def test_box_scan_reads_few_rows(spark, tmp_path):
+    # a third of all points in one place, and some without one
+    points = spark.range(30_000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 10D WHEN id % 1000 <> 1 THEN pmod(xxhash64(id), 36000) / 100D - 180D END AS lon",
+        "CASE WHEN id % 3 = 0 THEN 20D ELSE pmod(xxhash64(id, 1), 18000) / 100D - 90D END AS lat",
+    ).cache()
+    path = layers.write_clustered(points, str(tmp_path / "points"), rows_per_file=500)
+    assert sorted(spark.read.parquet(path).collect(), key=str) == sorted(points.collect(), key=str)
+    largest = spark.read.parquet(path).groupBy(F.expr("_metadata.file_path")).count().agg(F.max("count")).first()[0]
+    assert largest < 2_000
+    box = (-60.0, -40.0, -45.0, -30.0)
+    found = layers.read_box(spark, path, box)
+    wanted = points.filter("lon BETWEEN -60 AND -45 AND lat BETWEEN -40 AND -30")
+    assert sorted(found.collect()) == sorted(wanted.collect()) and wanted.count() > 20
+    assert _rows_scanned(found) < 4_000
+
+
+def test_box_scan_of_areas(spark, tmp_path):
+    side = spark.range(400).selectExpr("id AS area_id", "(id % 20) * 2D AS x", "floor(id / 20) * 2D AS y")
+    squares = side.selectExpr(
+        "area_id", f"CAST(CASE WHEN area_id <> 7 THEN {ring_of([('x', 'y'), ('x + 1', 'y'), ('x + 1', 'y + 1'), ('x', 'y')])} END AS {RING_TYPE}) AS ring")
+    path = layers.write_clustered(squares, str(tmp_path / "areas"), rows_per_file=20)
+    assert spark.read.parquet(path).count() == 400
+    found = layers.read_box(spark, path, (3.0, 3.0, 6.0, 5.0))
+    assert found.columns == ["area_id", "ring"]
+    assert sorted(r["area_id"] for r in found.collect()) == sorted(
+        20 * y + x for x in range(20) for y in range(20) if 2 * x <= 6 and 2 * x + 1 >= 3 and 2 * y <= 5 and 2 * y + 1 >= 3)
+    with pytest.raises(ValueError):
+        layers.write_clustered(squares.selectExpr("*", "1 AS _xmin"), str(tmp_path / "other"))
+
+
+def test_a_new_checkpoint_keeps_earlier_drops(spark, tmp_path):
+    schema = "citizen_id long, name string, drop_no int"
+    table = str(tmp_path / "table")
+    for n in (1, 2, 3):
+        inbox, checkpoint = str(tmp_path / f"inbox{min(n, 2)}"), str(tmp_path / f"checkpoint{min(n, 2)}")
+        spark.createDataFrame([(n, "own", n), (0, f"from {n}", n)], schema).write.mode("append").parquet(inbox)
+        drops.merge_drops(drops.watch_parquet(spark, inbox, schema), table, checkpoint, ["citizen_id"], ["drop_no"]).awaitTermination()
+    # the third drop went on with the second checkpoint
+    assert spark.read.parquet(table).select("run", "epoch").distinct().count() == 3
+    assert spark.read.parquet(table).select("run").distinct().count() == 2
+    folded = str(tmp_path / "folded")
+    drops.compact(spark, table, folded, ["citizen_id"])
+    for place in (table, folded):
+        rows = {r["citizen_id"]: r["name"] for r in drops.merged(spark, place, ["citizen_id"]).collect()}
+        assert rows == {0: "from 3", 1: "own", 2: "own", 3: "own"}
+    inbox = str(tmp_path / "inbox4")
+    spark.createDataFrame([(0, "from 4", 4)], schema).write.parquet(inbox)
+    drops.merge_drops(drops.watch_parquet(spark, inbox, schema), folded, str(tmp_path / "c4"), ["citizen_id"], ["drop_no"]).awaitTermination()
+    assert drops.merged(spark, folded, ["citizen_id"]).filter("citizen_id = 0").first()["name"] == "from 4"
+
+
 def test_sample_does_not_depend_on_partitions(spark):
     few = sample.citizens_from_ids(spark.range(0, 500, 1, 2), "id").orderBy("citizen_id").collect()
     many = sample.citizens_from_ids(spark.range(0, 500, 1, 16), "id").orderBy("citizen_id").collect()

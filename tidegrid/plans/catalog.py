@@ -80,6 +80,25 @@ def s1(spark, sf):
     )
 
 
+@query("s1_damaged_records")
+def s1_damaged(spark, sf):
+    """Records with a field too few or too many keep what can be read and are marked."""
+    path = work_path(spark, "s1")
+    lines = citizens(spark, sf).selectExpr(
+        "pmod(citizen_id, 16) AS file", "1 AS nth",
+        """CASE WHEN citizen_id % 7 = 0 THEN concat_ws(',', citizen_id, lat)
+            WHEN citizen_id % 11 = 0 THEN concat_ws(',', citizen_id, lat, lon, 'more')
+            ELSE concat_ws(',', citizen_id, lat, lon) END AS value""",
+    )
+    heads = spark.range(16).selectExpr("id AS file", "0 AS nth", "'citizen_id,latitude,longitude' AS value")
+    lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "nth").drop("nth").write.partitionBy(
+        "file").text(path)
+    read = csv_points.read_csv_points(
+        spark, path, schema="citizen_id bigint, latitude double, longitude double", damaged="record"
+    )
+    return read.selectExpr("citizen_id", "lon", "lat", "record IS NOT NULL AS damaged", "record")
+
+
 @query("s2_geojson_points")
 def s2_points(spark, sf):
     path = work_path(spark, "s2")
@@ -168,6 +187,24 @@ def s3(spark, sf):
     ).select("citizen_id", "lon", "lat")
 
 
+#: The city's centre, for scans of a box.
+CENTRE_BOX = (-51.25, -30.06, -51.18, -30.0)
+
+
+@query("s3_box_scan")
+def s3_box(spark, sf):
+    """Points of a clustered layer within a box."""
+    path = layers.write_clustered(citizens(spark, sf).select("citizen_id", "lon", "lat"), work_path(spark, "s3"))
+    return layers.read_box(spark, path, CENTRE_BOX)
+
+
+@query("s3_box_areas")
+def s3_box_areas(spark, sf):
+    """Areas of a clustered layer whose bounds touch a box."""
+    path = layers.write_clustered(areas(spark, sf), work_path(spark, "s3"))
+    return layers.read_box(spark, path, CENTRE_BOX).select("area_id", "area_name")
+
+
 @query("s3_wkb_scan")
 def s3_wkb(spark, sf):
     path = work_path(spark, "s3")

@@ -354,6 +354,15 @@ ORACLES: dict[str, str] = {
     "flagship_affected_share": sql(f"""SELECT {_SHARE} FROM (SELECT h.area_id IS NOT NULL AS affected_by_flooding
         FROM people AS p LEFT JOIN ref_hits AS h ON p.citizen_id = h.citizen_id) AS c""", "people", "ref_hits"),
     "s1_csv_points": sql("SELECT citizen_id, name, address, phone, lon, lat FROM people", "people"),
+    "s1_damaged_records": sql("""SELECT citizen_id, CASE WHEN citizen_id % 7 <> 0 THEN lon END AS lon, lat,
+        citizen_id % 7 = 0 OR citizen_id % 11 = 0 AS damaged,
+        CASE WHEN citizen_id % 7 = 0 THEN citizen_id || ',' || lat
+            WHEN citizen_id % 11 = 0 THEN citizen_id || ',' || lat || ',' || lon || ',more' END AS record FROM people""", "people"),
+    "s3_box_scan": sql("""SELECT citizen_id, lon, lat FROM people
+        WHERE lon BETWEEN -51.25e0 AND -51.18e0 AND lat BETWEEN -30.06e0 AND -30e0""", "people"),
+    "s3_box_areas": sql("""SELECT a.area_id, a.area_name FROM areas AS a JOIN (SELECT area_id, min(least(x1, x2)) AS x0, max(greatest(x1, x2)) AS x1,
+          min(least(y1, y2)) AS y0, max(greatest(y1, y2)) AS y1 FROM edges GROUP BY area_id) AS b ON a.area_id = b.area_id
+        WHERE b.x0 <= -51.18e0 AND b.x1 >= -51.25e0 AND b.y0 <= -30e0 AND b.y1 >= -30.06e0""", "areas", "edges"),
     "s2_geojson_points": sql("SELECT citizen_id, name, phone, 'Point' AS geometry_type, lon, lat FROM people", "people"),
     "s2_geojson_areas": sql(f"SELECT area_id, area_name, 'Polygon' AS geometry_type, {_RING_WKT} AS wkt FROM areas", "areas"),
     "s3_layer_scan": sql("SELECT citizen_id, lon, lat FROM people WHERE lat > -29.95e0", "people"),

@@ -15,15 +15,24 @@ def read_csv_points(
     lon_col: str = "longitude",
     crs: str = CRS,
     schema: T.StructType | str | None = None,
+    damaged: str | None = None,
 ) -> DataFrame:
     """Records with ``lon`` and ``lat`` in place of the two coordinate columns.
 
     Without a schema the types are inferred, which reads the data once more; give one for
-    large input. Coordinates that are no numbers become null.
+    large input. Coordinates that are no numbers become null. ``damaged`` names a column for the text of
+    records with too few or too many fields, or with a value that its column cannot hold; it is null for all others.
     """
     if crs != CRS:
         raise ValueError(f"only {CRS} is supported, not {crs}")
     reader = spark.read.option("header", True)
+    if damaged:
+        fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        fields = fields or reader.option("inferSchema", True).csv(path).schema
+        if damaged in fields.names:
+            raise ValueError(f"there is a column {damaged} already")
+        schema = T.StructType([*fields, T.StructField(damaged, T.StringType())])
+        reader = spark.read.option("header", True).option("columnNameOfCorruptRecord", damaged)
     df = (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
     missing = [c for c in (lat_col, lon_col) if c not in df.columns]
     if missing:

@@ -10,6 +10,9 @@ from tidegrid.operators.validity import check_points, check_rings
 from tidegrid.sources.csv_points import read_csv_points
 from tidegrid.sources.geojson import read_geojson
 
+#: Text of CSV records that do not fit their header, in converted tables.
+DAMAGED = "_damaged"
+
 REPORT_SCHEMA = "source string, source_type string, status string, records bigint, output string, error string"
 
 
@@ -26,7 +29,10 @@ def discover(spark: SparkSession, folders: list[str], pattern: str) -> list[str]
 def convert(spark: SparkSession, path: str, source_type: str, run_ts: str) -> DataFrame:
     """One source read, checked, with dates and lower case settled and its origin noted."""
     if source_type == "csv":
-        records = check_points(read_csv_points(spark, path))
+        records = check_points(read_csv_points(spark, path, damaged=DAMAGED)).selectExpr(
+            "* EXCEPT (invalid_reason, geometry_valid)",
+            f"CASE WHEN {DAMAGED} IS NOT NULL THEN 'malformed' ELSE invalid_reason END AS invalid_reason",
+        ).selectExpr("*", "invalid_reason IS NULL AS geometry_valid")
     else:
         read = read_geojson(spark, path)
         records = check_rings(read).selectExpr(
@@ -35,7 +41,7 @@ def convert(spark: SparkSession, path: str, source_type: str, run_ts: str) -> Da
                 WHEN geometry_type = 'Point' THEN CASE WHEN lon IS NULL OR lat IS NULL THEN 'missing' END
                 ELSE invalid_reason END AS invalid_reason""",
         ).selectExpr("*", "invalid_reason IS NULL AS geometry_valid")
-    typed = auto_types(records, skip=("invalid_reason", "geometry_type"))
+    typed = auto_types(records, skip=("invalid_reason", "geometry_type", DAMAGED))
     return source_columns(typed, source_type, run_ts)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.functions.formats import point_wkb, ring_wkb, wkb_point, wkb_ring
-from tidegrid.functions.geometry import RING_TYPE
+from tidegrid.functions.geometry import RING_TYPE, ring_bounds
 
 # Names of the published files, by layer.
 FLOODING_AREAS = "flooding_areas_porto_alegre"
@@ -70,3 +70,60 @@ def with_wkb(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     if "ring" in df.columns:
         return df.withColumn(geometry, ring_wkb("ring")).drop("ring")
     return df.withColumn(geometry, point_wkb(F.col("lon"), F.col("lat"))).drop("lon", "lat")
+
+
+#: Columns of the bounds that :func:`write_clustered` adds to areas.
+BOX = ("_xmin", "_ymin", "_xmax", "_ymax")
+
+
+def _spread_bits(value: str) -> str:
+    """The low 31 bits of a number at the even places of a long."""
+    for shift, mask in (
+        (16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)
+    ):
+        value = f"transform(array({value}), v -> (v | shiftleft(v, {shift})) & {mask}L)[0]"
+    return value
+
+
+def curve_key(lon: str, lat: str) -> str:
+    """Place on a Z-shaped curve over the globe, as SQL text: near places mostly have near keys."""
+    x = f"CAST(greatest(least(({lon} + 180D) / 360D, 1D), 0D) * 2147483647D AS BIGINT)"
+    y = f"CAST(greatest(least(({lat} + 90D) / 180D, 1D), 0D) * 2147483647D AS BIGINT)"
+    return f"({_spread_bits(x)} | shiftleft({_spread_bits(y)}, 1))"
+
+
+def write_clustered(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> str:
+    """Points or areas as Parquet whose files and row groups hold places near each other.
+
+    Rows are ranged by a space-filling curve, and by a hash of the row within one place, so a place with very
+    many rows fills several files. Areas get their bounds in ``_xmin``, ``_ymin``, ``_xmax`` and ``_ymax``. Rows without
+    a place are kept.
+    """
+    files = df.count() // rows_per_file + 1
+    if "ring" in df.columns:
+        taken = set(BOX) & set(df.columns)
+        if taken:
+            raise ValueError(f"columns of the bounds are there already: {sorted(taken)}")
+        placed = df.selectExpr("*", f"{ring_bounds('ring')} AS _b").selectExpr(
+            *[f"`{c}`" for c in df.columns], *[f"_b.{c[1:]} AS {c}" for c in BOX])
+        key = curve_key("(_xmin + _xmax) / 2D", "(_ymin + _ymax) / 2D")
+    else:
+        placed, key = df, curve_key("lon", "lat")
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    placed.repartitionByRange(files, F.expr(key), row).sortWithinPartitions(F.expr(key)).write.mode("overwrite").parquet(path)
+    return path
+
+
+def read_box(
+    spark: SparkSession, path: str, box: tuple[float, float, float, float], schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Rows of a clustered table whose place or bounds touch the box (xmin, ymin, xmax, ymax).
+
+    The filter is on plain columns, so Parquet's statistics skip the files and row groups elsewhere. ``schema``, if
+    given, is that of the written table, bounds included.
+    """
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    x0, y0, x1, y1 = (f"{float(v)!r}D" for v in box)
+    if "ring" in df.columns:
+        return df.filter(f"_xmin <= {x1} AND _xmax >= {x0} AND _ymin <= {y1} AND _ymax >= {y0}").drop(*BOX)
+    return df.filter(f"lon BETWEEN {x0} AND {x1} AND lat BETWEEN {y0} AND {y1}")

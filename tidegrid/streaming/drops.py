@@ -1,8 +1,9 @@
 """Files dropped into a folder, taken up as a stream.
 
 The checkpoint keeps which files were seen, so a drop must be a new file; one overwritten in
-place is not read again. Tables are kept as one folder per micro-batch, written with
-overwrite: a batch that is run again after a failure replaces its own folder and nothing else.
+place is not read again. Tables are kept as one folder per micro-batch, ``run=…/epoch=N``, written with
+overwrite: a batch that is run again after a failure replaces its own folder and nothing else. A run is a
+checkpoint's life; a new checkpoint counts its batches from 0 again, in a run of its own.
 """
 
 from __future__ import annotations
@@ -53,12 +54,27 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def _batch_folder(batch: DataFrame, path: str, epoch: int) -> str:
+    """Where a micro-batch belongs: the run of its checkpoint, numbered in order of first batches."""
+    spark = batch.sparkSession
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("not within a micro-batch")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    pattern = place(f"{path}/run=*")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    runs = [status.getPath().getName() for status in (fs.globStatus(pattern) or [])]
+    mine = [run for run in runs if run.endswith(query)]
+    last = max((int(run.removeprefix("run=").split("-")[0]) for run in runs), default=0)
+    return f"{path}/{mine[0] if mine else f'run={last + 1:08d}-{query}'}/epoch={epoch}"
+
+
 def classify_drops(points: DataFrame, index: AreaIndex, path: str, checkpoint: str) -> StreamingQuery:
-    """Classified micro-batches under ``path/epoch=N``, for any set of areas."""
+    """Classified micro-batches under ``path/run=…/epoch=N``, for any set of areas."""
 
     def store(batch: DataFrame, epoch: int) -> None:
         classified = flag_pairs(join_index(batch, index, "left", row_id=["citizen_id"]))
-        classified.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        classified.write.mode("overwrite").parquet(_batch_folder(batch, path, epoch))
 
     return points.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
@@ -66,14 +82,14 @@ def classify_drops(points: DataFrame, index: AreaIndex, path: str, checkpoint: s
 
 
 def merge_drops(stream: DataFrame, path: str, checkpoint: str, key: list[str], order: list[str]) -> StreamingQuery:
-    """Record each drop as a set of changes under ``path/epoch=N``.
+    """Record each drop as a set of changes under ``path/run=…/epoch=N``.
 
     Only the changes are written, reduced to the last per key; :func:`merged` resolves them when
     read and :func:`compact` folds them into one set now and then.
     """
 
     def store(batch: DataFrame, epoch: int) -> None:
-        keep_last(batch, key, order).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        keep_last(batch, key, order).write.mode("overwrite").parquet(_batch_folder(batch, path, epoch))
 
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
@@ -82,14 +98,15 @@ def merge_drops(stream: DataFrame, path: str, checkpoint: str, key: list[str], o
 
 def merged(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
     """The table after all drops: for each key the row of the latest."""
-    return keep_last(spark.read.parquet(path), key, ["epoch"]).drop("epoch")
+    return keep_last(spark.read.parquet(path), key, ["run", "epoch"]).drop("run", "epoch")
 
 
 def compact(spark: SparkSession, path: str, new_path: str, key: list[str]) -> DataFrame:
     """All changes so far folded into one set, written next to the old one."""
     changes = spark.read.parquet(path)
-    keep_last(changes, key, ["epoch"]).withColumn("epoch", F.lit(-1)).write.mode("overwrite").partitionBy(
-        "epoch"
+    folded = keep_last(changes, key, ["run", "epoch"])
+    folded.withColumns({"run": F.lit("00000000-folded"), "epoch": F.lit(-1)}).write.mode("overwrite").partitionBy(
+        "run", "epoch"
     ).parquet(new_path)
     return merged(spark, new_path, key)
 
