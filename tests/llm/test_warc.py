@@ -42,6 +42,22 @@ def test_revisits_and_odd_rows(spark, tmp_path):
     assert warc.read_archives(spark, str(tmp_path / "none")).collect() == []
 
 
+def test_a_run_of_large_pages_fills_several_archives(spark, tmp_path):
+    # thousands of small pages make the mean small; the large ones stand together
+    large = "0123456789abcdef" * 160_000
+    pages = spark.range(3_020).coalesce(1).selectExpr(
+        "id AS page_id", "'u' AS url", f"CASE WHEN id BETWEEN 1000 AND 1019 THEN concat(id, repeat('{large[:16]}', 160000)) ELSE 'tiny' END AS html")
+    for compressed in (True, False):
+        path = str(tmp_path / f"out-{compressed}")
+        warc.write_pages(pages, path, compressed)
+        back = warc.read_archives(spark, path).select("file", "gap_reason", "record_id", "payload_length").collect()
+        assert len(back) == 3_020 == len({r["record_id"] for r in back}) and not any(r["gap_reason"] for r in back)
+        held = {}
+        for r in back:
+            held[r["file"]] = held.get(r["file"], 0) + r["payload_length"]
+        assert len(held) >= 3 and max(held.values()) < warc.FILE_BYTES + len(large) + 4
+
+
 def test_archives_are_plain_gzip(spark, tmp_path):
     warc.write_pages(_pages(spark, [(i, "http://x/", f"page {i}" * 50, "") for i in range(40)]), str(tmp_path / "z"))
     data = b"".join(gzip.open(f).read() for f in glob.glob(str(tmp_path / "z" / "part-*")))

@@ -2,7 +2,7 @@
 
 Writing: pages with equal payloads are found by digest; the one with the smallest id is written as
 a response, the others as revisits that refer to it. Every record is a gzip member of its own (or plain
-text). The members are the rows that Spark's text writer puts out, parted by an empty member, so the
+text). They are parted by an empty member; an archive is a row that Spark's text writer puts out as a file, so the
 archives go through Spark's commit protocol to any store Spark can write to, and a task that is run
 again leaves nothing half written.
 
@@ -12,8 +12,8 @@ given, the digests of block and payload. Where a check fails, the reader looks f
 that starts a valid member or a version line of a valid record, goes on from there, and reports the
 bytes in between as a gap with the reason. Nothing is lost without a gap that covers it.
 
-An archive is one row of Spark's binary reader, so it has to fit in a task's memory; the writer
-starts a new one after about ``FILE_BYTES``.
+An archive is one row of Spark's binary reader, so it has to fit in a task's memory. The writer counts what it
+puts into an archive and starts a new one once ``FILE_BYTES`` are reached, so none is larger by more than one record.
 
 Defined results: null html is an empty payload; payloads under 100 bytes are always responses; of
 equal payloads all rows with the smallest id are responses, rows without an id are revisits unless
@@ -40,7 +40,7 @@ from tidegrid.session import materialise, work_path
 
 #: Payloads shorter than this are not looked for in other records (fixed by the contract).
 LEAST_REVISIT = 100
-#: About how many bytes of payload an archive holds.
+#: Bytes of records, before compression, at which an archive is full.
 FILE_BYTES = 16 << 20
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -92,28 +92,35 @@ def write_pages(pages: DataFrame, path: str, compressed: bool = True) -> None:
         rows.filter(F.octet_length("html") >= LEAST_REVISIT).groupBy("digest")
         .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1"), "equal-payloads"
     )
-    total, count = rows.select(F.sum(F.octet_length("html")), F.count("*")).first()
     marked = lookup(rows, equal, "digest", F.col("n")).withColumn(
         "revisit", F.expr("n IS NOT NULL AND first_id IS NOT NULL AND NOT page_id <=> first_id")
     )
 
+    between = EMPTY_MEMBER if compressed else END
+
+    def archive(members: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([between.join(members)], pa.binary())], names=["value"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members, size = [], 0
         for batch in batches:
-            out = []
             for row in zip(*[batch.column(c) for c in ("page_id", "url", "html", "digest", "first_id", "revisit")], strict=True):
                 page, url, html, digest, first, revisit = (v.as_py() for v in row)
                 plain = record("revisit" if revisit else "response", page, url, html.encode("utf-8", "surrogatepass"), digest, first)
-                out.append(gzip.compress(plain + END, 6, mtime=0) if compressed else plain)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+                members.append(gzip.compress(plain + END, 6, mtime=0) if compressed else plain)
+                size += len(plain)
+                if size >= FILE_BYTES:
+                    yield archive(members)
+                    members, size = [], 0
+        if members:
+            yield archive(members)
 
-    between = EMPTY_MEMBER if compressed else END
-    per_file = max(1, FILE_BYTES // max(1, (total or 0) // max(1, count)))
     (
         marked.select("page_id", "url", "html", "digest", "first_id", "revisit").mapInArrow(run, "value binary")
         # the cast keeps the bytes as they are, and so does the writer
         .select(F.col("value").cast("string").alias("value"))
         .write.option("encoding", "ISO-8859-1").option("lineSep", between.decode("latin-1"))
-        .option("maxRecordsPerFile", per_file).text(path)
+        .option("maxRecordsPerFile", 1).text(path)
     )
 
 
