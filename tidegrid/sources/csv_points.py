@@ -37,7 +37,11 @@ def read_csv_points(
     missing = [c for c in (lat_col, lon_col) if c not in df.columns]
     if missing:
         raise ValueError(f"columns not found in the CSV: {missing}")
-    rest = [f"`{c}`" for c in df.columns if c not in (lat_col, lon_col)]
+    rest = [f"`{c}`" for c in df.columns if c not in (lat_col, lon_col, damaged)]
+    if damaged:
+        # Spark tells damage by the columns it reads; a condition that always holds makes it read all of them
+        fields = ", ".join(f"`{c}`" for c in df.columns if c != damaged)
+        rest.append(f"CASE WHEN xxhash64({fields}) >= bigint('-9223372036854775808') THEN `{damaged}` END AS `{damaged}`")
     return df.selectExpr(
         *rest, f"try_cast(`{lon_col}` AS DOUBLE) AS lon", f"try_cast(`{lat_col}` AS DOUBLE) AS lat"
     )
