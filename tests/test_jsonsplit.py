@@ -156,3 +156,16 @@ def test_line_that_is_too_long_for_the_line_check(spark, tmp_path, monkeypatch):
     few = make(random.Random(5), 60)
     (tmp_path / "a.geojson").write_text(json.dumps(few[0]) + "\n" + json.dumps({"type": "FeatureCollection", "features": few[1:]}) + "\n")
     assert ids(geojson.read_geojson(spark, str(tmp_path / "a.geojson"))) == list(range(60))
+
+
+def test_features_do_not_carry_their_collection(spark):
+    """Rows of features are listed without the parsed collection, else one line costs the square of its features."""
+    features = ",".join('{"type":"Feature","properties":{"id":%d},"geometry":null}' % i for i in range(20))
+    texts = spark.createDataFrame(
+        [("a", '{"type":"FeatureCollection","features":[%s]}' % features), ("a", "no json"), ("a", '{"type":"FeatureCollection"}')],
+        "source_file string, value string")
+    wanted = "type string, properties struct<id: long>, geometry struct<type: string, coordinates: string>"
+    found = geojson._documents(texts, spark.createDataFrame([], wanted).schema)
+    assert found.filter("NOT malformed").count() == 20 and found.filter("malformed").count() == 2
+    above = found._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "isnull(f#" not in above and "_broken" not in above

@@ -104,13 +104,13 @@ def _documents(texts: DataFrame, wanted: T.StructType) -> DataFrame:
         F.from_json(F.regexp_replace("value", r",\s*$", ""), document, {"columnNameOfCorruptRecord": "_broken"}).alias("f"),
     )
     one = "struct(f.type AS type, f.properties AS properties, f.geometry AS geometry)"
+    # told before the features are listed, so that no row of a feature carries its whole collection
     return parsed.selectExpr(
-        "source_file", "value",
+        "source_file", "value", "f IS NULL OR f._broken IS NOT NULL AS broken",
         # a collection without a list of features is malformed, an empty one has no rows
-        f"explode(CASE WHEN f.type = 'FeatureCollection' AND f.features IS NOT NULL AND f._broken IS NULL"
-        f" THEN f.features ELSE array({one}) END) AS feature",
-        "f IS NULL OR f._broken IS NOT NULL AS broken",
-    ).selectExpr(
+        f"CASE WHEN f.type = 'FeatureCollection' AND f.features IS NOT NULL AND f._broken IS NULL"
+        f" THEN f.features ELSE array({one}) END AS found",
+    ).selectExpr("source_file", "value", "broken", "explode(found) AS feature").selectExpr(
         "source_file", "value", "feature.type", "feature.properties", "feature.geometry",
         "broken OR NOT feature.type <=> 'Feature' AS malformed",
     )
