@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -199,3 +201,35 @@ def test_areas_intersect_equals_brute_force(spark):
     want = {(r["area_id"], r["other_id"]) for r in both.filter(f"{meet} OR {first_in} OR {other_in}").collect()}
     got = [(r["area_id"], r["other_id"]) for r in spatial.areas_intersect_join(a, b, "area_id", "other_id").collect()]
     assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("margin", [0.0, 700.0])
+def test_parts_of_cells_settle_most_pairs(spark, margin):
+    """Parts told to be inside or out of reach are so for every point in them, and few points are left to compare with edges."""
+    areas = random_areas(spark, 11, 30, [0.02, 0.05, 0.01, 0.02], BOX)
+    points = random_points(spark, 12, 4000, BOX)
+    index = index_areas(areas, ["area_id"], margin_m=margin)
+    probe = spatial._Probe(index, "true", "lon", "lat", ["id"])
+    met = probe.inner(points).join(areas, "area_id").selectExpr(
+        "getbit(_full, _part) = 1 AS full", "getbit(_near, _part) = 1 AS near", "_inside",
+        f"{ring_contains('ring', 'lon', 'lat')} AS within", f"{ring_distance('ring', 'lon', 'lat')} <= {margin}D AS reached",
+    ).cache()
+    assert met.filter("full AND (near AND NOT _inside OR NOT within)").count() == 0
+    assert met.filter("NOT full AND NOT near AND (within OR reached)").count() == 0
+    if not margin:
+        assert met.filter("near").count() < met.count() / 2
+
+
+def test_distance_to_outlines_of_many_edges(spark):
+    """Lists of few and of many edges give the distances of the formula."""
+    rings = [
+        (k, ring_of([(0.02 * math.cos(2 * math.pi * i / n), 0.02 * math.sin(2 * math.pi * i / n)) for i in range(n)] + [(0.02, 0.0)]))
+        for k, n in ((1, 5), (2, 40), (3, 400))]
+    areas = spark.sql("SELECT * FROM VALUES " + ", ".join(f"({k}L, {r})" for k, r in rings) + " AS t(area_id, ring)")
+    points = random_points(spark, 13, 300, (-0.05, -0.05, 0.05, 0.05))
+    want = {(r["id"], r["area_id"]): r["d"] for r in points.crossJoin(areas).selectExpr(
+        "id", "area_id", f"{ring_distance('ring', 'lon', 'lat')} AS d").collect() if r["d"] <= 1500}
+    near = spatial.within_distance_join(points, areas, 1500.0, ["area_id"])
+    assert "ArrowEvalPython" in near._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["id"], r["area_id"]): r["distance_m"] for r in near.collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in got)
