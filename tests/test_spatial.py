@@ -233,3 +233,22 @@ def test_distance_to_outlines_of_many_edges(spark):
     assert "ArrowEvalPython" in near._jdf.queryExecution().optimizedPlan().toString()
     got = {(r["id"], r["area_id"]): r["distance_m"] for r in near.collect()}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in got)
+
+
+def test_points_in_areas_look_for_no_edges(spark, fixture, monkeypatch):
+    """However many areas hold a point, it is flagged once; only points in none look for the nearest edge."""
+    points, areas, hits = fixture
+    looked, real = [], nearest._edge_pairs
+    monkeypatch.setattr(nearest, "_edge_pairs", lambda outside, *rest: looked.append(outside.count()) or real(outside, *rest))
+    got = {r["id"]: r["min_distance_m"] for r in nearest.min_distance(points, areas, ["id"]).collect()}
+    assert looked == [len(got) - len({i for i, _ in hits})]
+    assert {i for i, d in got.items() if d == 0} == {i for i, _ in hits}
+
+
+def test_edges_are_listed_once_a_cell(spark):
+    """Every cell an edge runs through at every size, from about two rows for each finest one."""
+    areas = random_areas(spark, 14, 10, [0.3], BOX)
+    bits = list(range(12))
+    got = {tuple(r) for r in nearest._listed_edges(areas, "area_id", 2.0**-8, bits).collect()}
+    finest = [r for r in got if r[5] == 0]
+    assert got == {(*r[:5], b, r[6] >> b, r[7] >> b) for r in finest for b in bits} and finest

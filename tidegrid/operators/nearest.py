@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.geodesy import metres_per_degree_lat, metres_per_degree_lon
 from tidegrid.functions.geometry import edges_of
-from tidegrid.operators.grid import BROADCAST_BYTES, cell_no, power_of_two, with_bounds
+from tidegrid.operators.grid import BROADCAST_BYTES, cell_no, index_areas, power_of_two, with_bounds
 from tidegrid.operators.skew import meet
-from tidegrid.operators.spatial import within_join
+from tidegrid.operators.spatial import flag_index, within_join
 from tidegrid.session import materialise
 
 WORLD_SIDE = 512.0
@@ -87,22 +87,38 @@ def _listed_edges(areas: DataFrame, area_id: str, side: float, bits: list[int])
         "*", f"(y2 - y1) / nullif(x2 - x1, 0D) AS slope",
         f"explode(sequence(floor(least(x1, x2) / {side!r}D), floor(greatest(x1, x2) / {side!r}D))) AS c",
     ).selectExpr(
-        "*",
+        "*", f"floor(least(x1, x2) / {side!r}D) AS first_ux",
         f"greatest(least(x1, x2), (c - {slack}) * {side!r}D) AS xa",
         f"least(greatest(x1, x2), (c + 1 + {slack}) * {side!r}D) AS xb",
+        # the column before
+        f"greatest(least(x1, x2), (c - 1 - {slack}) * {side!r}D) AS xp",
+        f"least(greatest(x1, x2), (c + {slack}) * {side!r}D) AS xq",
     ).selectExpr(
-        f"`{area_id}`", *_EDGE, "c",
+        f"`{area_id}`", *_EDGE, "c", "first_ux",
         "coalesce(y1 + slope * (xa - x1), y1) AS ya", "coalesce(y1 + slope * (xb - x1), y2) AS yb",
+        "y1 + slope * (xp - x1) AS yp", "y1 + slope * (xq - x1) AS yq",
+    ).selectExpr(
+        f"`{area_id}`", *_EDGE, "c AS _ux", "first_ux",
+        f"floor(least(ya, yb) / {side!r}D - {slack}) AS first_uy", f"floor(greatest(ya, yb) / {side!r}D + {slack}) AS last_uy",
+        f"floor(least(yp, yq) / {side!r}D - {slack}) AS before_uy", f"floor(greatest(yp, yq) / {side!r}D + {slack}) AS until_uy",
     )
-    finest = in_columns.selectExpr(
-        f"`{area_id}`", *_EDGE, "c AS _ux",
-        f"explode(sequence(floor(least(ya, yb) / {side!r}D - {slack}), "
-        f"floor(greatest(ya, yb) / {side!r}D + {slack}))) AS _uy",
-    )
-    places = ", ".join(
-        f"struct({b} AS _bits, shiftright(_ux, {b}) AS _ux, shiftright(_uy, {b}) AS _uy)" for b in bits
-    )
-    return finest.selectExpr(f"`{area_id}`", *_EDGE, f"inline(array({places})) AS (_bits, _ux, _uy)").distinct()
+    finest = in_columns.selectExpr("*", "explode(sequence(first_uy, last_uy)) AS _uy")
+    # a wider cell comes from the first finest cell of the edge in it; what several columns give is told by the distinct
+    top = bits[-1]
+    return finest.selectExpr(
+        f"`{area_id}`", *_EDGE, "_ux AS ux", "_uy AS uy",
+        f"""explode(sequence(0, least(
+            CASE WHEN _uy = first_uy THEN {top} ELSE {_halvings('_uy', top)} END,
+            CASE WHEN _ux = first_ux OR NOT coalesce(_uy BETWEEN before_uy AND until_uy, false) THEN {top}
+                ELSE {_halvings('_ux', top)} END))) AS _bits""",
+    ).selectExpr(
+        f"`{area_id}`", *_EDGE, "_bits", "shiftright(ux, _bits) AS _ux", "shiftright(uy, _bits) AS _uy"
+    ).distinct()
+
+
+def _halvings(number: str, most: int) -> str:
+    """How often a cell number can be halved, as SQL text."""
+    return f"(CASE WHEN {number} = 0 THEN {most} ELSE least(CAST(round(log2({number} & -{number})) AS INT), {most}) END)"
 
 
 def _around(cells: DataFrame, columns: list[str]) -> DataFrame:
@@ -160,7 +176,7 @@ def candidate_edges(
     # each cell is about to become some hundred rows: cut them finer than their size suggests, by the
     # key the steps below group by, so that they need no shuffle of their own
     cores = points.sparkSession.sparkContext.defaultParallelism
-    parts = max(min(cores, -(-seen["n"] // 256)), -(-seen["n"] // CELLS_PER_TASK), 1)
+    parts = max(min(cores, -(-seen["n"] // 8)), -(-seen["n"] // CELLS_PER_TASK), 1)
     cells = (
         cells.selectExpr(f"shiftright(_cx, {widen}) AS _cx", f"shiftright(_cy, {widen}) AS _cy")
         .repartition(parts, "_cx", "_cy")
@@ -264,7 +280,13 @@ def nearest_pairs(
     """
     inside = within_join(points, areas.select(area_id, "ring"), "inner", [area_id], row_id, broadcast_bytes)
     inside = inside.selectExpr(*points.columns, f"`{area_id}`", "0D AS distance_m")
+    return _edge_pairs(points, areas, area_id, row_id, broadcast_bytes).unionByName(inside)
+
 
+def _edge_pairs(
+    points: DataFrame, areas: DataFrame, area_id: str, row_id: list[str] | None, broadcast_bytes: int
+) -> DataFrame:
+    """Points with the edges that may be nearest, and ``distance_m`` to each, whether or not an area contains them."""
     found, cells, side = candidate_edges(points, areas, area_id, broadcast_bytes)
     leaves = materialise(found, "nearest-edges")
     stats = leaves.selectExpr("count(*) * 64 AS bytes", "sort_array(collect_set(_bits)) AS bits").first()
@@ -288,12 +310,27 @@ def nearest_pairs(
         fine = fine.select("_cx", "_cy", area_id, *_EDGE)
         placed = points.selectExpr("*", f"{lon} AS _cx", f"{lat} AS _cy")
         joined = meet(placed, fine, ["_cx", "_cy"], row_id or points.columns, False)
-    return _edge_metres(joined, [*points.columns, f"`{area_id}`"]).unionByName(inside)
+    return _edge_metres(joined, [*points.columns, f"`{area_id}`"])
 
 
-def min_distance(points: DataFrame, areas: DataFrame, keys: list[str], **options) -> DataFrame:
-    """The least distance per ``keys``, in metres, as ``min_distance_m``."""
-    pairs = nearest_pairs(points.select(*keys, "lon", "lat"), areas, **options)
+def min_distance(
+    points: DataFrame,
+    areas: DataFrame,
+    keys: list[str],
+    area_id: str = "area_id",
+    row_id: list[str] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The least distance per ``keys``, in metres, as ``min_distance_m``.
+
+    Points in some area are told by a flag, however many areas that are; only the others look for edges.
+    """
+    index = index_areas(areas, [area_id], broadcast_bytes=broadcast_bytes)
+    flagged = materialise(
+        flag_index(points.select(*keys, "lon", "lat"), index, "_within", row_id=row_id), "flagged-points")
+    inside = flagged.filter("_within").select(*keys).withColumn("distance_m", F.lit(0.0))
+    outside = flagged.filter("NOT _within").drop("_within")
+    pairs = _edge_pairs(outside, areas, area_id, row_id, broadcast_bytes).select(*keys, "distance_m").unionByName(inside)
     return pairs.groupBy(*keys).agg(F.expr("min(distance_m) AS min_distance_m"))
 
 
