@@ -307,3 +307,34 @@ def test_wkb_of_missing_geometry(spark):
     assert got[1] is None and bytes(got[2]) == struct.pack("<BIII", 1, 3, 1, 0)
     assert bytes(got[0]) == struct.pack("<BIII", 1, 3, 1, 3) + struct.pack("<6d", 0.0, 0.5, 1.0, 0.0, 0.0, 0.5)
     assert bytes(got[3]) == struct.pack("<BIII", 1, 3, 1, 2) + struct.pack("<4d", 0.0, 0.5, 1.0, 0.0)
+
+
+def test_first_settled_keeps_keys_by_the_bucket(spark, tmp_path):
+    """Whole numbers of 64 bits beside nulls stay exact, null is a key, and Python is called by the bucket."""
+    big = 2**60 + 1
+    schema = "id long, seq int, note long"
+    batches = [
+        [(big, 2, None), (big, 1, big), (None, 1, None), (None, 0, big + 2), (big + 1, 1, None)],
+        [(big, 0, 5), (None, 0, 5), (big + 2, 1, big + 4), (7, 3, None)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = drops.first_settled(drops.watch_parquet(spark, f"{tmp_path}/in", schema), ["id"], ["seq"])
+        assert "pick(" in stream._jdf.queryExecution().analyzed().toString() and "_bucket" in stream._jdf.queryExecution().analyzed().toString()
+        drops.append_to(stream, f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
+    got = sorted((tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect()), key=str)
+    want = [(big, 1, big), (None, 0, big + 2), (big + 1, 1, None), (big + 2, 1, big + 4), (7, 3, None)]
+    assert got == sorted(want, key=str)
+
+
+def test_first_settled_forgets_each_key_for_itself(spark, tmp_path, monkeypatch):
+    """In one bucket a key is forgotten once the watermark has passed its last record, and others are not."""
+    monkeypatch.setattr(drops, "BUCKETS", 1, raising=False)
+    schema = "id long, seq int, at timestamp"
+    hour = "timestamp_seconds((1000 + {}) * 3600)".format
+    for rows in ([(1, 0, 0), (2, 1, 0)], [(2, 2, 5), (3, 3, 9)], [(3, 4, 9), (4, 5, 9)], [(1, 6, 9), (2, 7, 9)]):
+        frame = spark.createDataFrame(rows, "id long, seq int, h long").selectExpr("id", "seq", f"{hour('h')} AS at")
+        frame.write.mode("append").parquet(f"{tmp_path}/in")
+        stream = drops.first_settled(drops.watch_parquet(spark, f"{tmp_path}/in", schema), ["id"], ["seq"], "at", "4 hours")
+        drops.append_to(stream, f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
+    assert sorted(r["seq"] for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [0, 1, 3, 5, 6]

@@ -11,7 +11,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,6 +23,9 @@ from tidegrid.operators.cleaning import keep_first, keep_last
 from tidegrid.operators.grid import AreaIndex
 from tidegrid.operators.spatial import join_index
 
+#: Groups of the keys of :func:`first_settled`; fixed for the life of a checkpoint.
+BUCKETS = 512
+
 
 def watch_csv(
     spark: SparkSession, folder: str, schema: T.StructType | str, files_per_batch: int | None = None
@@ -127,37 +131,74 @@ def first_settled(
 ) -> DataFrame:
     """As :func:`first_seen`, and of several records of a key in one micro-batch the first by ``order`` wins, whatever the partitions.
 
-    Equal ones are told apart by their other columns. The state of a key is that it was seen. With ``event_time`` and
-    ``keep_for`` a key is forgotten once the watermark is that far behind its last record. A key's records of a
-    micro-batch are looked through in chunks, so none has to fit in memory.
+    Equal ones are told apart by their other columns. Keys are kept in ``BUCKETS`` buckets by hash, each one group with the
+    keys seen so far as its state, so that Python is called once a bucket rather than once a key. With ``event_time`` and
+    ``keep_for`` a key is forgotten once the watermark is that far behind its last record. A bucket's records of a
+    micro-batch are looked through in chunks; its keys and the first record of each have to fit in memory.
     """
     columns = stream.columns
     by = [*order, *[c for c in columns if c not in order]]
     if event_time and keep_for:
         stream = stream.withWatermark(event_time, keep_for)
     millis = int(pd.Timedelta(keep_for).total_seconds() * 1000) if keep_for else 0
-
-    def first(rows: pd.DataFrame) -> pd.DataFrame:
-        return rows.sort_values(by, kind="stable", na_position="first").head(1)
+    identity = F.to_json(F.struct(*[_same_text(F.col(f"`{c}`"), stream.schema[c].dataType).alias(c) for c in key]))
+    # pandas has whole numbers beside nulls as doubles, which do not hold all of 64 bits
+    wide = [f.name for f in stream.schema.fields if isinstance(f.dataType, T.LongType)]
+    exact = stream.select("*", identity.alias("_key")).withColumns(
+        {c: F.col(f"`{c}`").cast("decimal(20,0)") for c in wide}
+    ).withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(BUCKETS)))
 
     def pick(_, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        now = state.getCurrentWatermarkMs() if millis else 0
+        known = _unpacked(state.get[0]) if state.exists else pd.Series([], dtype="int64")
+        best, latest = None, pd.Series([], dtype="int64")
+        for chunk in () if state.hasTimedOut else chunks:
+            seen = pd.Series(now, index=chunk["_key"], dtype="int64")
+            if millis:
+                times = pd.to_datetime(chunk[event_time]).astype("datetime64[ns]")
+                at = (times.astype("int64") // 1_000_000).where(times.notna(), now)
+                seen = pd.Series(at.clip(lower=now).to_numpy(), index=chunk["_key"], dtype="int64")
+            latest = pd.concat([latest, seen]).groupby(level=0).max()
+            best = chunk if best is None else pd.concat([best, chunk])
+            best = best.sort_values(by, kind="stable", na_position="first").drop_duplicates("_key")
+        new = None if best is None else best[~best["_key"].isin(known.index)]
+        rest = known[~known.index.isin(latest.index) & ((known >= now) | (millis == 0))]
+        known = pd.concat([rest, latest + millis])
+        if not len(known):
             state.remove()
             return
-        best, latest, known = None, state.getCurrentWatermarkMs() if millis else 0, state.exists
-        for chunk in chunks:
-            if millis:
-                times = pd.to_datetime(chunk[event_time]).dropna()
-                latest = max([latest, *(t.value // 1_000_000 for t in [times.max()] if len(times))])
-            best = first(chunk if best is None else pd.concat([best, chunk]))
-        state.update((True,))
+        state.update((_packed(known),))
         if millis:
-            state.setTimeoutTimestamp(latest + millis)
-        if not known and best is not None:
-            yield best[columns]
+            state.setTimeoutTimestamp(int(known.min()))
+        if new is not None and len(new):
+            yield new[columns]
 
     timeout = GroupStateTimeout.EventTimeTimeout if millis else GroupStateTimeout.NoTimeout
-    return stream.groupBy(*key).applyInPandasWithState(pick, stream.schema, "seen boolean", "append", timeout)
+    found = exact.groupBy("_bucket").applyInPandasWithState(
+        pick, exact.select(*[f"`{c}`" for c in columns]).schema, "known binary", "append", timeout)
+    return found.withColumns({c: F.col(f"`{c}`").cast("bigint") for c in wide})
+
+
+def _same_text(column: Column, kind: T.DataType) -> Column:
+    """A column whose JSON text is equal for equal keys only."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return column + F.lit(0.0)  # one zero
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column)
+    return column.cast("string") if isinstance(kind, T.TimestampNTZType) else column
+
+
+def _packed(known: pd.Series) -> bytes:
+    sink = pa.BufferOutputStream()
+    table = pa.table({"key": pa.array(known.index, pa.string()), "until": pa.array(known.to_numpy(), pa.int64())})
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(packed: bytes) -> pd.Series:
+    table = pa.ipc.open_stream(bytes(packed)).read_all()
+    return pd.Series(table["until"].to_numpy(), index=table["key"].to_pandas(), dtype="int64")
 
 
 def first_of_drops(spark: SparkSession, path: str, key: list[str], order: list[str]) -> DataFrame:
