@@ -252,3 +252,31 @@ def test_edges_are_listed_once_a_cell(spark):
     got = {tuple(r) for r in nearest._listed_edges(areas, "area_id", 2.0**-8, bits).collect()}
     finest = [r for r in got if r[5] == 0]
     assert got == {(*r[:5], b, r[6] >> b, r[7] >> b) for r in finest for b in bits} and finest
+
+
+def test_plain_areas_meet_without_pairs_being_written(spark, monkeypatch):
+    """Areas of few edges are compared where they meet; only those of many edges, or of an id that comes twice, have their pairs written."""
+    def box(x0, y0, x1, y1):
+        return [{"x": x, "y": y} for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
+
+    # a box with a hole and a second part
+    lake = [*box(0.0, 0.0, 4.0, 4.0), None, *box(1.0, 1.0, 3.0, 3.0), {"x": None, "y": None}, *box(6.0, 0.0, 7.0, 1.0)]
+    others = {
+        1: box(1.5, 1.5, 2.5, 2.5), 2: box(1.0, 1.5, 2.0, 2.5), 3: box(0.2, 0.2, 0.8, 0.8), 4: box(4.5, 0.0, 5.5, 4.0),
+        5: box(-1.0, -1.0, 8.0, 8.0), 6: box(6.2, 0.2, 6.4, 0.4), 7: box(4.0, 4.0, 5.0, 5.0), None: box(0.0, 0.0, 1.0, 1.0),
+    }
+    schema = "area_id long, ring array<struct<x: double, y: double>>"
+    lakes = spark.createDataFrame([(10, lake)], schema)
+    areas = spark.createDataFrame(list(others.items()), schema).withColumnRenamed("area_id", "other_id")
+    written = []
+    plain = spatial.materialise
+    monkeypatch.setattr(spatial, "materialise", lambda df, label: written.append(label) or plain(df, label))
+    for size in ({}, {"broadcast_bytes": 0}):
+        got = spatial.areas_intersect_join(lakes, areas, "area_id", "other_id", **size).collect()
+        assert sorted((r["area_id"], r["other_id"]) for r in got) == [(10, i) for i in (2, 3, 5, 6, 7)]
+    assert "pairs-of-areas" not in written and "boxes-that-meet" not in written
+    many = [{"x": 2 + math.cos(2 * math.pi * i / 90), "y": 2 + math.sin(2 * math.pi * i / 90)} for i in range(90)]
+    more = areas.unionByName(spark.createDataFrame([(8, [*many, many[0]])], areas.schema))
+    got = spatial.areas_intersect_join(lakes, more, "area_id", "other_id").collect()
+    assert sorted(r["other_id"] for r in got) == [2, 3, 5, 6, 7, 8]
+    assert "pairs-of-areas" in written
