@@ -280,3 +280,15 @@ def test_plain_areas_meet_without_pairs_being_written(spark, monkeypatch):
     got = spatial.areas_intersect_join(lakes, more, "area_id", "other_id").collect()
     assert sorted(r["other_id"] for r in got) == [2, 3, 5, 6, 7, 8]
     assert "pairs-of-areas" in written
+
+
+def test_joins_of_many_pairs_get_tasks_by_their_pairs(spark, monkeypatch):
+    """Inputs of few bytes with many pairs are not put together to a few tasks."""
+    monkeypatch.setattr(skew, "TASK_PAIRS", 1000)
+    areas = random_areas(spark, 11, 40, [0.2], BOX)
+    points = random_points(spark, 12, 2000, BOX)
+    joined = spatial.within_join(points, areas, "inner", ["area_id"], ["id"], broadcast_bytes=0).cache()
+    pairs = joined.count()
+    assert pairs > 1000 and joined.rdd.getNumPartitions() > 2 * spark.sparkContext.defaultParallelism
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < pairs / 4
