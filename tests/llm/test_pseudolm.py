@@ -1,6 +1,9 @@
 """Log-probabilities and gradients against plain formulas, what training gains, and rows out of the ordinary."""
 
+import re
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidegrid.llm import pseudolm as lm
@@ -121,3 +124,49 @@ def test_words_of_a_place_share_its_probability(docs_of):
     others = counts.filter("word <> 'gibberish'")
     unseen = {r["doc_id"]: r["score"] for r in lm.word_scores(words, net, others, frequency).collect()}
     assert unseen[4] == pytest.approx(of_places[4] - np.log(in_place[hashes["gibberish"] % lm.SHARED] + 1))
+
+
+def test_a_step_leaves_words_alone_that_are_nobodys_neighbour():
+    rng = np.random.default_rng(5)
+    net = lm.Network.start(rng.random(lm.WORDS) * 50)
+    seen = [np.zeros_like(p) for p in net.parts()]
+    seen[0][:, 500:] = np.nan  # would spread to all parameters that are gone through
+    before = net.near.copy()
+    for n in (700, 30):
+        net.step(rng.integers(0, lm.WORDS, n), rng.integers(0, 500, (n, 2 * lm.REACH)), seen)
+    assert np.array_equal(net.near[:, 500:], before[:, 500:])
+    assert np.isfinite(net.flat()).all() and (net.near[:, :500] != before[:, :500]).any()
+
+
+def test_words_are_those_of_the_pattern_and_asked_for_once():
+    texts = [None, "", " ", "\n\t a  b\x0b\x0cc a\r\n", "\x1c\x1f x\x85y\u2028z a\u3000a\xa0", "\xe9\x00 \x00", "a"]
+    wanted = [re.findall("[^\x20\x09-\x0d]+", t or "") for t in texts]
+    words, lengths = lm.split_words(pa.array(texts))
+    assert words.to_pylist() == sum(wanted, []) and lengths.tolist() == [len(w) for w in wanted]
+    asked = []
+    numbers = lm.places_of(pa.array(texts), lambda word: asked.append(word) or len(asked))
+    assert len(asked) == len({w for ws in wanted for w in ws})
+    assert [[asked[n - 1] for n in of.tolist()] for of in numbers] == wanted
+
+
+def test_texts_are_split_in_slices(monkeypatch):
+    monkeypatch.setattr(lm, "SPLIT_BYTES", 10)
+    batch = pa.record_batch({"text": pa.array([None, "abc", "", "d" * 25, "e f g", None, "h"] * 3)})
+    parts = [p["text"].to_pylist() for p in lm.parts_of(batch)]
+    assert len(parts) > 3 and sum(parts, []) == batch["text"].to_pylist()
+    assert sum((p["text"].to_pylist() for p in lm.parts_of(batch.slice(0, 0))), []) == []
+
+
+def test_only_counts_of_words_that_are_not_often_are_joined(docs_of, monkeypatch):
+    rows = [(n, " ".join([f"often{k}" for k in range(lm.KNOWN)] * 30)) for n in range(2)]
+    rows += [(n, " ".join(f"rare{k}" for k in range(n))) for n in range(2, 20)] + [(None, None), (30, "rare0 " * 9)]
+    counts, words, frequency = lm.prepared(docs_of(rows))
+    net = lm.Network.start(frequency)
+    found = []
+    for often in (1, lm.KNOWN + 5, 1 << 17):
+        monkeypatch.setattr(lm, "OFTEN", often)
+        of = lm.Often.of(counts, frequency)
+        left = lm.shares(words, counts, of).count()
+        found.append((left, {r["doc_id"]: r["score"] for r in lm.word_scores(words, net, counts, frequency).collect()}))
+    assert [f[0] for f in found] == [19, 14, 0]
+    assert all(f[1] == pytest.approx(found[0][1]) for f in found)

@@ -26,13 +26,12 @@ texts get equal scores; an empty table gives an empty result; columns of any oth
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,13 +54,19 @@ STRIDE = 2
 ROUNDS = STRIDE
 BATCH = 1024
 RATE = 0.1
-#: Words taken at once when scoring.
+#: Words taken at once when scoring; of these, so many go through the network together.
 AT_ONCE = 1 << 15
-#: Distinct words that a task counts before it passes its counts on.
-COUNTED = 200_000
+IN_CACHE = 1 << 12
+#: Words that a task gathers before it counts them and passes the counts on.
+COUNTED = 1 << 21
+#: Infrequent words whose counts every task holds; the counts of all others are joined.
+OFTEN = 1 << 17
+#: Bytes of texts split at once, or one text.
+SPLIT_BYTES = 4 << 20
 
-WORD = re.compile("[^\x20\x09-\x0d]+")
 PAD = WORDS
+#: Where the table of each place of the window starts in all of them.
+OFFSETS = np.arange(2 * REACH) * (WORDS + 1)
 
 
 @dataclass
@@ -104,97 +109,136 @@ class Network:
         return Network(*out)
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        total = self.near[0][around[:, 0]]
+        rows = self.near.reshape(-1, HIDDEN)
+        total = rows.take(around[:, 0], axis=0)
         for k in range(1, 2 * REACH):
-            total += self.near[k][around[:, k]]
-        return np.tanh(total + self.base)
+            total += rows.take(around[:, k] + OFFSETS[k], axis=0)
+        total += self.base
+        return np.tanh(total, out=total)
+
+    def in_class(self, h: np.ndarray, kind: np.ndarray, runs: list[tuple[int, slice]]) -> np.ndarray:
+        """What the word layer gives for the words of each row's class, a column for each row."""
+        out = np.empty((PER_CLASS, len(h)), np.float32)
+        for c, cut in runs:
+            np.matmul(self.to_word[c].T, h[cut].T, out=out[:, cut])
+        out += self.word_bias[kind].T
+        return out
 
     def log_probabilities(self, words: np.ndarray, around: np.ndarray) -> np.ndarray:
         """Of each word given its neighbours."""
-        h = self.hidden(around)
-        kind, inner = words // PER_CLASS, words % PER_CLASS
-        out = _picked(h @ self.to_class + self.class_bias, kind)
-        order = np.argsort(kind, kind="stable")
-        stops = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            some = order[stops[c] : stops[c + 1]]
-            if len(some):
-                out[some] += _picked(h[some] @ self.to_word[c] + self.word_bias[c], inner[some])
+        out = np.empty(len(words), np.float32)
+        for at in range(0, len(words), IN_CACHE):
+            cut = slice(at, at + IN_CACHE)
+            order = np.argsort(words[cut], kind="stable")  # words of a class together
+            h = self.hidden(around[cut].take(order, axis=0))
+            kind, inner = np.divmod(words[cut][order], PER_CLASS)
+            logs = _picked(self.to_class.T @ h.T + self.class_bias[:, None], kind)
+            logs += _picked(self.in_class(h, kind, _runs(kind)), inner)
+            out[at + order] = logs
         return out
 
     def step(self, words: np.ndarray, around: np.ndarray, seen: list[np.ndarray]) -> None:
         """One batch of gradient ascent on the log-probabilities; ``seen`` has the squares summed so far."""
         n = len(words)
         order = np.argsort(words, kind="stable")  # words of a class together
-        words, around = words[order], around[order]
+        words, around = words[order], around.take(order, axis=0)
         h = self.hidden(around)
-        kind, inner = words // PER_CLASS, words % PER_CLASS
-        up_class = -_softmax(h @ self.to_class + self.class_bias)
-        up_class[np.arange(n), kind] += 1
-        up_h = up_class @ self.to_class.T
+        kind, inner = np.divmod(words, PER_CLASS)
+        up_class = _errors(self.to_class.T @ h.T + self.class_bias[:, None])
+        up_class[kind, np.arange(n)] += 1
+        up_h = up_class.T @ self.to_class.T
+        runs = _runs(kind)
+        up = _errors(self.in_class(h, kind, runs))
+        up[inner, np.arange(n)] += 1
         to_word, word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
-        stops = np.searchsorted(kind, np.arange(CLASSES + 1))
-        sizes = np.diff(stops)
-        few = sizes <= n // CLASSES
-        for c in np.flatnonzero(~few):
-            cut = slice(stops[c], stops[c + 1])
-            up = -_softmax(h[cut] @ self.to_word[c] + self.word_bias[c])
-            up[np.arange(sizes[c]), inner[cut]] += 1
-            to_word[c] = h[cut].T @ up
-            word_bias[c] = up.sum(axis=0)
-            up_h[cut] += up @ self.to_word[c].T
-        some = np.flatnonzero(few[kind])
-        if len(some):  # classes of few words at once, filled up with zeros to the largest of them
-            at = kind[some], some - stops[kind[some]]
-            filled = np.zeros((CLASSES, sizes[few].max(), HIDDEN), np.float32)
-            filled[at] = h[some]
-            up = -_softmax(filled @ self.to_word + self.word_bias[:, None])
-            up[*at, inner[some]] += 1
-            up[np.arange(up.shape[1]) >= np.where(few, sizes, 0)[:, None]] = 0
-            to_word += filled.transpose(0, 2, 1) @ up
-            word_bias += up.sum(axis=1)
-            up_h[some] += (up @ self.to_word.transpose(0, 2, 1))[at]
-        up_in = (up_h * (1 - h * h)).ravel()
-        columns = np.arange(HIDDEN)
-        near = np.stack([
-            np.bincount((around[:, k, None] * HIDDEN + columns).ravel(), up_in, (WORDS + 1) * HIDDEN)
-            for k in range(2 * REACH)
-        ]).reshape(self.near.shape)
-        base = up_in.reshape(h.shape).sum(axis=0)
-        slopes = [near, base, h.T @ up_class, up_class.sum(axis=0), to_word, word_bias]
-        for part, slope, squares in zip(self.parts(), slopes, seen, strict=True):
-            slope = (slope / n).astype(np.float32)
-            squares += slope * slope
-            part += RATE * slope / (np.sqrt(squares) + 1e-6)
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=-1, keepdims=True))
-    return x / x.sum(axis=-1, keepdims=True)
+        for c, cut in runs:
+            to_word[c] = (up[:, cut] @ h[cut]).T
+            up_h[cut] += up[:, cut].T @ self.to_word[c].T
+        word_bias[[c for c, _ in runs]] = np.add.reduceat(up, [cut.start for _, cut in runs], axis=1).T
+        up_in = up_h * (1 - h * h)
+        slopes = [up_in.sum(axis=0), (up_class @ h).T, up_class.sum(axis=1), to_word, word_bias]
+        for part, slope, squares in zip(self.parts()[1:], slopes, seen[1:], strict=True):
+            _climb(part, slope, squares, n)
+        # rows of words that are nobody's neighbour here have no slope and stay as they are
+        rows = (around + OFFSETS).T.ravel()
+        here = np.zeros(2 * REACH * (WORDS + 1), bool)
+        here[rows] = True
+        hit = np.flatnonzero(here)
+        number = (np.cumsum(here) - 1)[rows]
+        near = np.empty((len(hit), HIDDEN))
+        for k, column in enumerate(up_in.T.astype(np.float64, order="C")):
+            near[:, k] = np.bincount(number, np.concatenate([column] * 2 * REACH), len(hit))
+        every, every_seen = self.near.reshape(-1, HIDDEN), seen[0].reshape(-1, HIDDEN)
+        part, squares = every.take(hit, axis=0), every_seen.take(hit, axis=0)
+        _climb(part, near, squares, n)
+        every[hit], every_seen[hit] = part, squares
+
+
+def _climb(part: np.ndarray, slope: np.ndarray, squares: np.ndarray, n: int) -> None:
+    slope = (slope / n).astype(np.float32)
+    squares += slope * slope
+    scale = np.sqrt(squares)
+    scale += 1e-6
+    slope *= RATE
+    slope /= scale
+    part += slope
+
+
+def _runs(kind: np.ndarray) -> list[tuple[int, slice]]:
+    """The classes in the ascending ``kind``, each with its rows."""
+    stops = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    return [(c, slice(low, high)) for c, (low, high) in enumerate(zip(stops, stops[1:], strict=False)) if low < high]
+
+
+def _errors(x: np.ndarray) -> np.ndarray:
+    """Softmax of each column with the sign changed; ``x`` is overwritten."""
+    x -= x.max(axis=0)
+    np.exp(x, out=x)
+    x /= -x.sum(axis=0)
+    return x
 
 
 def _picked(x: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Log-softmax of ``x`` at one place of each row."""
-    x = x - x.max(axis=1, keepdims=True)
-    return x[np.arange(len(x)), which] - np.log(np.exp(x).sum(axis=1))
+    """Log-softmax of ``x`` at one place of each column; ``x`` is overwritten."""
+    x -= x.max(axis=0)
+    at = x[which, np.arange(x.shape[1])]
+    np.exp(x, out=x)
+    return at - np.log(x.sum(axis=0))
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words ``[^\x20\x09-\x0D]+`` of ``texts`` one after the other, and how many each text has."""
+    lists = pc.ascii_split_whitespace(texts.fill_null(""))
+    words, owners = pc.list_flatten(lists), pc.list_parent_indices(lists)
+    found = pc.greater(pc.binary_length(words), 0)  # spaces at the ends of a text leave empty strings
+    return words.filter(found), np.bincount(owners.filter(found).to_numpy(), minlength=len(texts))
+
+
+def parts_of(batch: pa.RecordBatch, texts: str = "text") -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of up to about ``SPLIT_BYTES`` of texts."""
+    sizes = pc.binary_length(batch[texts]).fill_null(0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes, dtype=np.int64) // SPLIT_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
+    for low, high in zip(edges, edges[1:], strict=False):
+        yield batch.slice(low, high - low)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """How often each word occurs in the corpus."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
-            )
+            counts = pc.value_counts(pa.chunked_array(held, pa.string()))
+            return pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], names=["word", "n"])
 
-        counts: Counter[str] = Counter()
+        held: list[pa.Array] = []
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(WORD.findall(text.as_py() or ""))
-                if len(counts) > COUNTED:
+            for part in parts_of(batch):
+                held.append(split_words(part["text"])[0].cast(pa.string()))
+                if sum(map(len, held)) >= COUNTED:
                     yield out()
-                    counts.clear()
-        yield out()
+                    held.clear()
+        if held:
+            yield out()
 
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -210,6 +254,15 @@ def hash_of(word: str) -> Column:
     return F.xxhash64(word).bitwiseOR(F.lit(WORDS))
 
 
+def places_of(texts: pa.Array, place: Callable[[str], int]) -> list[np.ndarray]:
+    """What ``place`` gives for the words of each text; it is asked once for each word of ``texts``."""
+    words, lengths = split_words(texts)
+    coded = words.dictionary_encode()
+    numbers = np.fromiter(map(place, coded.dictionary.to_numpy(zero_copy_only=False)), "<u8", len(coded.dictionary))[coded.indices.to_numpy()]
+    ends = np.cumsum(lengths)
+    return [numbers[end - n : end] for end, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+
+
 def numbered_words(docs: DataFrame, places: Places) -> DataFrame:
     """``doc_id``, a number of the row, the words of every text as 16-bit numbers, and its infrequent ones.
 
@@ -221,21 +274,20 @@ def numbered_words(docs: DataFrame, places: Places) -> DataFrame:
         place = shared.value.__getitem__
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            rows, rare, times = [], [], []
-            for text in batch.column(1):
-                words = WORD.findall(text.as_py() or "")
-                numbers = np.fromiter(map(place, words), "<u8", len(words))
-                others = numbers >= WORDS
-                hashes, often = np.unique(numbers[others], return_counts=True)
-                numbers[others] = KNOWN + numbers[others] % SHARED
-                rows.append(numbers.astype("<u2").tobytes())
-                rare.append(hashes.tobytes())
-                times.append(often.astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.arange(row, row + len(rows))), *[pa.array(x, pa.binary()) for x in (rows, rare, times)]],
-                names=["doc_id", "row", "words", "rare", "times"],
-            )
-            row += len(rows)
+            for part in parts_of(batch):
+                rows, rare, times = [], [], []
+                for numbers in places_of(part["text"], place):
+                    others = numbers >= WORDS
+                    hashes, often = np.unique(numbers[others], return_counts=True)
+                    numbers[others] = KNOWN + numbers[others] % SHARED
+                    rows.append(numbers.astype("<u2").tobytes())
+                    rare.append(hashes.tobytes())
+                    times.append(often.astype("<u4").tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], pa.array(np.arange(row, row + len(rows))), *[pa.array(x, pa.binary()) for x in (rows, rare, times)]],
+                    names=["doc_id", "row", "words", "rare", "times"],
+                )
+                row += len(rows)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, row long, words binary, rare binary, times binary"
@@ -341,9 +393,44 @@ def train(docs: DataFrame) -> tuple[Network, DataFrame]:
     return trained(words, frequency), words
 
 
-def shares(words: DataFrame, counts: DataFrame, frequency: np.ndarray) -> DataFrame:
-    """``row`` and the summed logarithms of its infrequent words' shares of their places."""
-    totals = F.array(*[F.lit(float(np.log(n + 1))) for n in frequency[KNOWN:]])
+@dataclass
+class Often:
+    """The most frequent of the words, as ascending hashes with the logarithms of their counts."""
+
+    hashes: np.ndarray
+    logs: np.ndarray
+    #: Logarithms of the totals of the shared places.
+    totals: np.ndarray
+
+    @classmethod
+    def of(cls, counts: DataFrame, frequency: np.ndarray) -> Often:
+        top = counts.orderBy(F.desc("n"), "word").limit(OFTEN).select(hash_of("word").alias("hash")).distinct()
+        # words that share a hash with one of them belong to its count
+        found = counts.select(hash_of("word").alias("hash"), "n").join(F.broadcast(top), "hash").groupBy("hash").agg(F.sum("n").alias("n")).toArrow()
+        hashes = found["hash"].to_numpy()
+        order = np.argsort(hashes)
+        return cls(hashes[order], np.log(found["n"].to_numpy()[order]), np.log(frequency[KNOWN:] + 1))
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``hashes`` are here, and where these are."""
+        at = np.searchsorted(self.hashes, hashes)
+        here = at < len(self.hashes)
+        here[here] = self.hashes[at[here]] == hashes[here]
+        return here, at[here]
+
+    def sums(self, rare: list[np.ndarray], times: list[np.ndarray]) -> np.ndarray:
+        """Of each array of hashes, the summed logarithms of the shares of those that are here."""
+        hashes = np.concatenate(rare)
+        here, at = self.places(hashes)
+        owners = np.repeat(np.arange(len(rare)), [len(r) for r in rare])[here]
+        shares = self.logs[at] - self.totals[hashes[here] % SHARED]
+        return np.bincount(owners, np.concatenate(times)[here] * shares, len(rare))
+
+
+def shares(words: DataFrame, counts: DataFrame, often: Often) -> DataFrame:
+    """``row`` and the summed logarithms of the shares of its infrequent words that ``often`` lacks."""
+    totals = F.array(*[F.lit(float(n)) for n in often.totals])
+    shared = words.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,8 +439,10 @@ def shares(words: DataFrame, counts: DataFrame, frequency: np.ndarray) -> DataFr
                 rare = [np.frombuffer(r.as_buffer(), "<i8") for r in part.column(1)]
                 times = [np.frombuffer(t.as_buffer(), "<u4") for t in part.column(2)]
                 rows = np.repeat(part.column(0).to_numpy(), [len(r) for r in rare])
+                hashes = np.concatenate(rare)
+                left = ~shared.value.places(hashes)[0]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows), pa.array(np.concatenate(rare)), pa.array(np.concatenate(times).astype(np.int32))],
+                    [pa.array(rows[left]), pa.array(hashes[left]), pa.array(np.concatenate(times)[left].astype(np.int32))],
                     names=["row", "hash", "times"],
                 )
 
@@ -363,12 +452,15 @@ def shares(words: DataFrame, counts: DataFrame, frequency: np.ndarray) -> DataFr
     return pairs.join(counted, "hash", "left").groupBy("row").agg(F.sum(F.col("times") * share).alias("share"))
 
 
-def score(words: DataFrame, network: Network, *more: str) -> DataFrame:
-    """``doc_id``, the columns ``more``, number of words, summed and mean log-probability of every document's places in the vocabulary."""
-    shared = words.sparkSession.sparkContext.broadcast(network)
+def score(words: DataFrame, network: Network, *more: str, often: Often | None = None) -> DataFrame:
+    """``doc_id``, the columns ``more``, number of words, summed and mean log-probability of every document's places in the vocabulary.
+
+    With ``often``, the shares of its words are added.
+    """
+    shared = words.sparkSession.sparkContext.broadcast((network, often))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own, known = shared.value
         for batch in batches:
             arrays = [np.frombuffer(w.as_buffer(), "<u2") for w in batch.column(0)]
             sums = np.zeros(len(arrays))
@@ -384,21 +476,29 @@ def score(words: DataFrame, network: Network, *more: str) -> DataFrame:
                     logs = own.log_probabilities(line[cut], windows(line, cut))
                     sums[start:stop] += np.bincount(owners[at : at + AT_ONCE], logs.astype(np.float64), stop - start)
                 start = stop
+            if known:
+                for at in range(0, len(arrays), 100):
+                    rare, times = (
+                        [np.frombuffer(x.as_buffer(), kind) for x in batch[c].slice(at, 100)]
+                        for c, kind in (("rare", "<i8"), ("times", "<u4"))
+                    )
+                    sums[at : at + 100] += known.sums(rare, times)
             lengths = [len(a) for a in arrays]
             means = [s / n if n else None for s, n in zip(sums.tolist(), lengths, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(lengths, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())],
+                [*batch.columns[1 : 2 + len(more)], pa.array(lengths, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())],
                 names=["doc_id", *more, "n_words", "score", "mean_score"],
             )
 
     schema = "".join(f"{c} long, " for c in ("doc_id", *more)) + "n_words long, score double, mean_score double"
-    return words.select("words", "doc_id", *more).mapInArrow(run, schema)
+    return words.select("words", "doc_id", *more, *(["rare", "times"] if often else [])).mapInArrow(run, schema)
 
 
 def word_scores(words: DataFrame, network: Network, counts: DataFrame, frequency: np.ndarray) -> DataFrame:
     """``doc_id``, number of words, summed and mean log-probability of every document's words."""
     total = F.col("score") + F.coalesce("share", F.lit(0.0))
-    return score(words, network, "row").join(shares(words, counts, frequency), "row", "left").select(
+    often = Often.of(counts, frequency)
+    return score(words, network, "row", often=often).join(shares(words, counts, often), "row", "left").select(
         "doc_id", "n_words", total.alias("score"), F.try_divide(total, F.col("n_words")).alias("mean_score")
     )
 
