@@ -9,8 +9,8 @@ probabilities of all its words.
 Words are counted over the whole corpus. The most frequent have a place of their own in the
 vocabulary, the others share some by hash. The network predicts the place; the word's probability is
 that of its place times the word's share of it, its count among all of the place and one more, which
-stands for words never seen. The counts are joined to the words by a hash of 63 bits; words with equal
-hashes count as one. Training is spread: in each round every task starts from
+stands for words never seen. The counts are found by a hash of 63 bits, those of the ``OFTEN`` most frequent
+words in every task and the others by a join; words with equal hashes count as one. Training is spread: in each round every task starts from
 the same parameters, goes through its own part of the corpus in small batches, and Spark averages the
 results, weighted by the words seen. A round takes every second word of every document as a target and
 the next round the others, so each word of the corpus is predicted once in training. Vocabulary and
@@ -150,13 +150,16 @@ class Network:
         runs = _runs(kind)
         up = _errors(self.in_class(h, kind, runs))
         up[inner, np.arange(n)] += 1
-        to_word, word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
+        to_word, word_bias = np.zeros((CLASSES, PER_CLASS, HIDDEN), np.float32), np.zeros_like(self.word_bias)
+        back, down = self.to_word.transpose(0, 2, 1).copy(), np.empty_like(h)
         for c, cut in runs:
-            to_word[c] = (up[:, cut] @ h[cut]).T
-            up_h[cut] += up[:, cut].T @ self.to_word[c].T
+            some = up[:, cut]
+            np.matmul(some, h[cut], out=to_word[c])
+            np.matmul(some.T, back[c], out=down[cut])
+        up_h += down
         word_bias[[c for c, _ in runs]] = np.add.reduceat(up, [cut.start for _, cut in runs], axis=1).T
         up_in = up_h * (1 - h * h)
-        slopes = [up_in.sum(axis=0), (up_class @ h).T, up_class.sum(axis=1), to_word, word_bias]
+        slopes = [up_in.sum(axis=0), (up_class @ h).T, up_class.sum(axis=1), to_word.transpose(0, 2, 1).copy(), word_bias]
         for part, slope, squares in zip(self.parts()[1:], slopes, seen[1:], strict=True):
             _climb(part, slope, squares, n)
         # rows of words that are nobody's neighbour here have no slope and stay as they are
@@ -165,12 +168,13 @@ class Network:
         here[rows] = True
         hit = np.flatnonzero(here)
         number = (np.cumsum(here) - 1)[rows]
-        near = np.empty((len(hit), HIDDEN))
-        for k, column in enumerate(up_in.T.astype(np.float64, order="C")):
-            near[:, k] = np.bincount(number, np.concatenate([column] * 2 * REACH), len(hit))
+        near, column = np.empty((HIDDEN, len(hit))), np.empty((2 * REACH, n))
+        for k in range(HIDDEN):
+            column[:] = up_in[:, k]
+            near[k] = np.bincount(number, column.ravel(), len(hit))
         every, every_seen = self.near.reshape(-1, HIDDEN), seen[0].reshape(-1, HIDDEN)
         part, squares = every.take(hit, axis=0), every_seen.take(hit, axis=0)
-        _climb(part, near, squares, n)
+        _climb(part, near.T.copy(), squares, n)
         every[hit], every_seen[hit] = part, squares
 
 
