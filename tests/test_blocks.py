@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from shapes import random_areas, random_points
 from tidegrid.functions.geodesy import rounded_metres
-from tidegrid.functions.geometry import ring_contains, ring_distance
-from tidegrid.operators import blocks, spatial
+from tidegrid.functions.geometry import edges_of, ring_contains, ring_distance
+from tidegrid.operators import blocks, nearest, spatial
 from tidegrid.operators.grid import index_areas
 
 BOX = (-51.5, -30.2, -51.3, -30.0)
@@ -63,3 +63,16 @@ def test_lengths_are_rounded_as_by_spark(spark):
     drawn = spark.range(20_000).selectExpr("rand(3) * 1000 AS d").unionByName(spark.range(2000).selectExpr("id / 1000D AS d"))
     both = odd.unionByName(drawn).selectExpr("round(d, 2) AS a", f"{rounded_metres('d')} AS b")
     assert both.filter("NOT (a <=> b)").count() == 0
+
+
+def test_edges_inside_other_areas_are_not_looked_at(spark, monkeypatch):
+    """With areas upon areas few edges may be nearest to a point in none, and the distances stay as they are."""
+    areas = random_areas(spark, 15, 400, [0.05, 0.08], BOX)
+    points = random_points(spark, 16, 400, (-51.7, -30.4, -51.1, -29.8))
+    listed, real = [], nearest._listed_edges
+    monkeypatch.setattr(nearest, "_listed_edges", lambda edges, *rest: listed.append(edges.count()) or real(edges, *rest))
+    got = {r["id"]: r["min_distance_m"] for r in nearest.min_distance(points, areas, ["id"]).collect()}
+    assert 0 < listed[0] < areas.selectExpr(f"sum(size({edges_of('ring')})) AS n").first()["n"] / 4
+    brute = points.crossJoin(areas).groupBy("id").agg(F.expr(f"min({ring_distance('ring', 'lon', 'lat')}) AS d"))
+    expected = {r["id"]: r["d"] for r in brute.collect()}
+    assert len(got) == len(expected) and all(got[i] == pytest.approx(d, abs=1e-3) for i, d in expected.items())

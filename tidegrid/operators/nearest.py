@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.geodesy import metres_per_degree_lat, metres_per_degree_lon
 from tidegrid.functions.geometry import edges_of
-from tidegrid.operators.grid import BROADCAST_BYTES, cell_no, index_areas, power_of_two, with_bounds
+from tidegrid.operators.edgewise import PARTS
+from tidegrid.operators.grid import BROADCAST_BYTES, AreaIndex, cell_no, index_areas, power_of_two, with_bounds
 from tidegrid.operators.skew import meet
 from tidegrid.operators.spatial import flag_index, within_join
 from tidegrid.session import materialise
@@ -32,6 +33,7 @@ FAR = 8
 POINTS_PER_CELL = 16
 WIDEN = 2
 CELLS_PER_TASK = 50_000
+PART_BITS = PARTS.bit_length() - 1
 
 _EDGE = ["x1", "y1", "x2", "y2"]
 
@@ -79,9 +81,16 @@ _GY = "(greatest(least(y1, y2) - (_cy + 1) * _s, _cy * _s - greatest(y1, y2), 0D
 _LEAST = f"(sqrt({_GX} * {_GX} + {_GY} * {_GY}) * (1D - 1e-9D))"
 
 
-def _listed_edges(areas: DataFrame, area_id: str, side: float, bits: list[int]) -> DataFrame:
-    """Edges under every cell they may run through: ``_bits, _ux, _uy``, the area id, the edge."""
-    edges = areas.selectExpr(f"`{area_id}`", f"inline({edges_of('ring')}) AS (x1, y1, x2, y2)")
+def _flat_edges(areas: DataFrame, area_id: str) -> DataFrame:
+    """The edges of areas, a row each with the area id; edges in this form stay as they are."""
+    if "ring" not in areas.columns:
+        return areas.select(area_id, *_EDGE)
+    return areas.selectExpr(f"`{area_id}`", f"inline({edges_of('ring')}) AS (x1, y1, x2, y2)")
+
+
+def _finest_cells(areas: DataFrame, area_id: str, side: float) -> DataFrame:
+    """Edges under every cell of one size they may run through: ``_ux, _uy``, the area id, the edge, and where it runs in its column."""
+    edges = _flat_edges(areas, area_id)
     slack = "1e-6D"
     in_columns = edges.selectExpr(
         "*", f"(y2 - y1) / nullif(x2 - x1, 0D) AS slope",
@@ -102,7 +111,12 @@ def _listed_edges(areas: DataFrame, area_id: str, side: float, bits: list[int])
         f"floor(least(ya, yb) / {side!r}D - {slack}) AS first_uy", f"floor(greatest(ya, yb) / {side!r}D + {slack}) AS last_uy",
         f"floor(least(yp, yq) / {side!r}D - {slack}) AS before_uy", f"floor(greatest(yp, yq) / {side!r}D + {slack}) AS until_uy",
     )
-    finest = in_columns.selectExpr("*", "explode(sequence(first_uy, last_uy)) AS _uy")
+    return in_columns.selectExpr("*", "explode(sequence(first_uy, last_uy)) AS _uy")
+
+
+def _listed_edges(areas: DataFrame, area_id: str, side: float, bits: list[int]) -> DataFrame:
+    """Edges under every cell they may run through: ``_bits, _ux, _uy``, the area id, the edge."""
+    finest = _finest_cells(areas, area_id, side)
     # a wider cell comes from the first finest cell of the edge in it; what several columns give is told by the distinct
     top = bits[-1]
     return finest.selectExpr(
@@ -116,6 +130,33 @@ def _listed_edges(areas: DataFrame, area_id: str, side: float, bits: list[int])
     ).distinct()
 
 
+def _open_edges(areas: DataFrame, index: AreaIndex, area_id: str) -> DataFrame:
+    """Edges of indexed areas that may be nearest to a point in none of them, a row each.
+
+    The way from such a point into an area leads over the outline of this area, which is nearer than what lies inside. So edges are
+    left out that run through parts of cells only that are wholly inside some area: with areas upon areas, nearly all.
+    """
+    edges = _flat_edges(with_bounds(areas.select(area_id, "ring")), area_id)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in _EDGE)
+    cores = areas.sparkSession.sparkContext.defaultParallelism
+    for level in index.levels:
+        covered = materialise(
+            index.cells.filter(f"_level = {level}").groupBy("_cx", "_cy").agg(F.expr("bit_or(_full) AS _covered"))
+            .filter("_covered <> 0"), "covered-parts")
+        cells = covered.count()
+        if not cells:
+            continue
+        # each edge is about to become many rows, whatever the size of the files it came from
+        whole = edges.filter(known).repartition(cores, *_EDGE)
+        listed = _finest_cells(whole, area_id, index.level_side(level) / PARTS).selectExpr(
+            f"`{area_id}`", *_EDGE, f"shiftright(_ux, {PART_BITS}) AS _cx", f"shiftright(_uy, {PART_BITS}) AS _cy",
+            f"CAST({PARTS} * (_ux & {PARTS - 1}) + (_uy & {PARTS - 1}) AS INT) AS _part")
+        seen = meet(listed, covered, ["_cx", "_cy"], _EDGE, 32 * cells <= index.broadcast_bytes, "left")
+        still = seen.filter("_covered IS NULL OR getbit(_covered, _part) = 0").select(area_id, *_EDGE).distinct()
+        edges = materialise(still.unionByName(edges.filter(f"NOT ({known})")), "open-edges")
+    return edges
+
+
 def _halvings(number: str, most: int) -> str:
     """How often a cell number can be halved, as SQL text."""
     return f"(CASE WHEN {number} = 0 THEN {most} ELSE least(CAST(round(log2({number} & -{number})) AS INT), {most}) END)"
@@ -128,9 +169,9 @@ def _around(cells: DataFrame, columns: list[str]) -> DataFrame:
     ).selectExpr(*columns, "_ux", "explode(array(_uy - 1, _uy, _uy + 1)) AS _uy")
 
 
-def _cell_side(boxes: DataFrame) -> float:
+def _cell_side(edges: DataFrame) -> float:
     """About one edge per cell where edges are spread out, about eight along a fine outline."""
-    middles = boxes.selectExpr(f"inline({edges_of('ring')}) AS (x1, y1, x2, y2)").selectExpr(
+    middles = edges.selectExpr(
         "count(*) AS n",
         "percentile_approx((x1 + x2) / 2D, array(0.05D, 0.95D)) AS px",
         "percentile_approx((y1 + y2) / 2D, array(0.05D, 0.95D)) AS py",
@@ -147,14 +188,14 @@ def _cell_side(boxes: DataFrame) -> float:
 def candidate_edges(
     points: DataFrame, areas: DataFrame, area_id: str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> tuple[DataFrame, DataFrame, float]:
-    """Which edges may be nearest where.
+    """Which edges may be nearest where, of areas or of edges in rows (``_flat_edges``).
 
     Returns ``(leaves, cells, side)``: ``leaves`` has ``_bits, _cx, _cy``, the area id and the edge
     for cells of side ``side * 2**_bits``; ``cells`` gives for each finest cell holding points the
     ``_bits`` of the leaf that covers it.
     """
-    boxes = with_bounds(areas.select(area_id, "ring"))
-    side = _cell_side(boxes)
+    edges = _flat_edges(with_bounds(areas.select(area_id, "ring")) if "ring" in areas.columns else areas, area_id)
+    side = _cell_side(edges)
     cells = materialise(
         points.selectExpr(f"{cell_no('lon', side)} AS _cx", f"{cell_no('lat', side)} AS _cy")
         .filter("_cx IS NOT NULL AND _cy IS NOT NULL")
@@ -182,7 +223,7 @@ def candidate_edges(
         .repartition(parts, "_cx", "_cy")
         .distinct()
     )
-    listed = materialise(_listed_edges(boxes, area_id, side, bits), "listed-edges")
+    listed = materialise(_listed_edges(edges, area_id, side, bits), "listed-edges")
     small = listed.count() * 80 <= broadcast_bytes
     at = ["_bits", "_ux", "_uy"]
 
@@ -323,14 +364,15 @@ def min_distance(
 ) -> DataFrame:
     """The least distance per ``keys``, in metres, as ``min_distance_m``.
 
-    Points in some area are told by a flag, however many areas that are; only the others look for edges.
+    Points in some area are told by a flag, however many areas that are; only the others look for edges, and only for those
+    that do not run inside other areas.
     """
     index = index_areas(areas, [area_id], broadcast_bytes=broadcast_bytes)
     flagged = materialise(
         flag_index(points.select(*keys, "lon", "lat"), index, "_within", row_id=row_id), "flagged-points")
     inside = flagged.filter("_within").select(*keys).withColumn("distance_m", F.lit(0.0))
     outside = flagged.filter("NOT _within").drop("_within")
-    pairs = _edge_pairs(outside, areas, area_id, row_id, broadcast_bytes).select(*keys, "distance_m").unionByName(inside)
+    pairs = _edge_pairs(outside, _open_edges(areas, index, area_id), area_id, row_id, broadcast_bytes).select(*keys, "distance_m").unionByName(inside)
     return pairs.groupBy(*keys).agg(F.expr("min(distance_m) AS min_distance_m"))
 
 
