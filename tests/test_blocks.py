@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from shapes import random_areas, random_points
 from tidegrid.functions.geodesy import rounded_metres
-from tidegrid.functions.geometry import edges_of, ring_contains, ring_distance
+from tidegrid.functions.geometry import edges_of, ring_contains, ring_distance, segments_touch
 from tidegrid.operators import blocks, nearest, spatial
 from tidegrid.operators.grid import index_areas
 
@@ -65,6 +65,21 @@ def test_lengths_are_rounded_as_by_spark(spark):
     assert both.filter("NOT (a <=> b)").count() == 0
 
 
+def test_areas_meet_by_blocks(crowd, always):
+    areas = crowd[1].filter("area_id < 60").unionByName(
+        crowd[1].filter("area_id = 50").selectExpr("2000L AS area_id", "transform(ring, v -> struct(v.x * 0.01D - 50.87D AS x, v.y * 0.01D - 29.8D AS y)) AS ring"))
+    areas = areas.dropDuplicates(["area_id"])
+    others = areas.withColumnRenamed("area_id", "other_id")
+    got = spatial.areas_intersect_join(areas, others, "area_id", "other_id", broadcast_bytes=0)
+    assert "_vertices" in _plan(got) and "collect_list" in _plan(got)
+    pairs = areas.crossJoin(others.withColumnRenamed("ring", "other"))
+    ring, other = edges_of("ring"), edges_of("other")
+    brute = pairs.filter(
+        f"exists({ring}, e -> exists({other}, f -> {segments_touch('e', 'f')})) OR {ring_contains('ring', 'other[0].x', 'other[0].y')} "
+        f"OR {ring_contains('other', 'ring[0].x', 'ring[0].y')}").select("area_id", "other_id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, brute.collect()))
+
+
 def test_edges_inside_other_areas_are_not_looked_at(spark, monkeypatch):
     """With areas upon areas few edges may be nearest to a point in none, and the distances stay as they are."""
     areas = random_areas(spark, 15, 400, [0.05, 0.08], BOX)
